@@ -1,0 +1,4 @@
+"""Checked queries: every operator of the library over the given tables."""
+
+from . import skill_queries  # noqa: F401
+from .base import QUERIES, SQL  # noqa: F401
