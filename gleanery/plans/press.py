@@ -13,9 +13,8 @@ from ..operators.rows import press_rows
 
 def first_highlights(pages: DataFrame, page: str = "page") -> Column:
     """First non-empty highlight list over the result pages, joined by '|', as one value."""
-    kept = pages.select(page, F.array_join(clean_items("highlights"), "|").alias("h")).where(
-        F.size("highlights") > 0
-    )
+    filled = F.exists("highlights", lambda h: h.isNotNull() & (h != ""))
+    kept = pages.where(filled).select(page, F.array_join(clean_items("highlights"), "|").alias("h"))
     return F.coalesce(kept.agg(F.min_by("h", page)).scalar(), F.lit(""))
 
 
