@@ -28,26 +28,35 @@ def _any_of(words) -> str:
     return "(?:" + "|".join(re.escape(w) for w in words) + ")"
 
 
+# A heading is compared with the line after every run of other characters has become one
+# blank. The patterns say the same on the raw line: any such run may stand before and between
+# the heading's words. Headings that hold other characters themselves can never match.
+_OTHER = "[^a-zA-Z0-9\u4e00-\u9fff]"
+
+
+def _opening(headings: list[str]) -> str:
+    words = [h.split(" ") for h in headings if not re.search(_OTHER, h.replace(" ", ""))]
+    return f"^(?i){_OTHER}*(?:" + "|".join(f"{_OTHER}+".join(w) for w in words) + ")"
+
+
 _OPENS = [
-    ("R", "^" + _any_of(fv.RESPONSIBILITY_HEADINGS)),
-    ("S", "^" + _any_of(fv.SKILL_HEADINGS)),
-    ("Q", "^" + _any_of(fv.REQUIREMENT_HEADINGS)),
+    ("R", _opening(fv.RESPONSIBILITY_HEADINGS)),
+    ("S", _opening(fv.SKILL_HEADINGS)),
+    ("Q", _opening(fv.REQUIREMENT_HEADINGS)),
 ]
+_ANY_OPENS = _opening(fv.RESPONSIBILITY_HEADINGS + fv.SKILL_HEADINGS + fv.REQUIREMENT_HEADINGS)
+# Hints are single words, so they can be looked for in the raw line as well.
 _HINTS = [
-    ("R", _any_of(fv.RESPONSIBILITY_HINTS)),
-    ("S", _any_of(fv.SKILL_HINTS)),
-    ("Q", _any_of(fv.REQUIREMENT_HINTS)),
+    ("R", "(?i)" + _any_of(fv.RESPONSIBILITY_HINTS)),
+    ("S", "(?i)" + _any_of(fv.SKILL_HINTS)),
+    ("Q", "(?i)" + _any_of(fv.REQUIREMENT_HINTS)),
 ]
 
 
-def _key(line: Column) -> Column:
-    return F.lower(F.btrim(F.regexp_replace(line, "[^a-zA-Z0-9一-鿿]+", " ")))
-
-
-def _first_match(key: Column, rules) -> Column:
+def _first_match(line: Column, rules) -> Column:
     out = None
     for code, pattern in rules:
-        out = (F if out is None else out).when(key.rlike(pattern), F.lit(code))
+        out = (F if out is None else out).when(line.rlike(pattern), F.lit(code))
     return out
 
 
@@ -60,15 +69,15 @@ def description_sections(description: Column | str) -> Column:
     block per section, with its code in front.
     """
 
-    def mark(row: Column) -> Column:
-        event = F.when(row["line"] == "", F.lit("B")).otherwise(_first_match(row["key"], _OPENS))
-        return F.coalesce(F.concat(F.lit("\n"), event), row["line"])
+    def mark(line: Column) -> Column:
+        # One pattern for all headings first: most lines are none.
+        event = F.when(line == "", F.lit("\nB")).when(
+            line.rlike(_ANY_OPENS), F.concat(F.lit("\n"), _first_match(line, _OPENS))
+        )
+        return event.otherwise(line)
 
-    keyed = F.transform(
-        content_lines(description, fv.LINE_STRIP_CHARS),
-        lambda line: F.struct(line.alias("line"), _key(line).alias("key")),
-    )
-    marked = F.concat(F.array(F.lit("B")), F.transform(keyed, mark))
+    lines = content_lines(description, fv.LINE_STRIP_CHARS)
+    marked = F.concat(F.array(F.lit("B")), F.transform(lines, mark))
     blocks = F.transform(
         F.split(F.array_join(marked, "\n"), "\n\n", -1), lambda block: F.split(block, "\n", -1)
     )
@@ -78,7 +87,7 @@ def description_sections(description: Column | str) -> Column:
         return F.transform(
             F.slice(block, F.lit(2), F.size(block)),
             lambda line: F.struct(
-                F.when(code == "B", _first_match(_key(line), _HINTS)).otherwise(code).alias("code"),
+                F.when(code == "B", _first_match(line, _HINTS)).otherwise(code).alias("code"),
                 line.alias("line"),
             ),
         )
@@ -98,6 +107,9 @@ def description_sections(description: Column | str) -> Column:
 
 
 _PREFIXES = "^(?i)" + _any_of(fv.SKILL_PREFIXES)
+_ANY_CUT = _PREFIXES + "|(?i)" + _any_of(fv.SKILL_SUFFIXES) + r"\z"
+# So many words need more characters than this.
+_SURELY_FEW_WORDS = 2 * fv.MAX_SKILL_WORDS
 
 
 def _trim_phrase(phrase: Column) -> Column:
@@ -105,18 +117,21 @@ def _trim_phrase(phrase: Column) -> Column:
 
 
 def _shorten_phrase(phrase: Column) -> Column:
-    out = _trim_phrase(F.regexp_replace(_trim_phrase(phrase), _PREFIXES, ""))
-    for suffix in fv.SKILL_SUFFIXES:
-        out = _trim_phrase(F.regexp_replace(out, "(?i)" + re.escape(suffix) + r"\z", ""))
-    return out
+    """Cut lead-in and endings; one pattern tells whether there is anything to cut."""
+
+    def cut(trimmed: Column) -> Column:
+        out = _trim_phrase(F.regexp_replace(trimmed, _PREFIXES, ""))
+        for suffix in fv.SKILL_SUFFIXES:
+            out = _trim_phrase(F.regexp_replace(out, "(?i)" + re.escape(suffix) + r"\z", ""))
+        return F.when(trimmed.rlike(_ANY_CUT), out).otherwise(trimmed)
+
+    return let(_trim_phrase(phrase), cut)
 
 
 def _phrase_fits(phrase: Column) -> Column:
-    return (
-        (phrase != "")
-        & (F.length(phrase) <= fv.MAX_SKILL_CHARS)
-        & (word_count(phrase) <= fv.MAX_SKILL_WORDS)
-    )
+    size = F.length(phrase)
+    few = (size <= _SURELY_FEW_WORDS) | (word_count(phrase) <= fv.MAX_SKILL_WORDS)
+    return (phrase != "") & (size <= fv.MAX_SKILL_CHARS) & few
 
 
 def clean_skill_phrase(phrase: Column | str) -> Column:
@@ -138,32 +153,35 @@ def normalize_skills(skills: Column | str) -> Column:
     return distinct_ci(F.coalesce(cleaned, no_strings()))
 
 
-_KNOWN_WORD = "^(?i)" + _any_of(fv.SKILL_WORDS) + r"\z"
+_SKILL_TOKEN = "^(?:(?i:" + _any_of(fv.SKILL_WORDS) + r")|[A-Z0-9]{2,5})[-./]*\z"
 
 
 def _skill_tokens(text: Column) -> Column:
     """Dictionary words in their reported spelling and acronyms, in text order.
 
-    The pattern match comes first: the map lookup is then done for hits only.
+    Repeats are dropped first, as only the first of equal skills counts in the end; one
+    pattern then keeps the hits, and only those are trimmed and looked up.
     """
     spelling = F.create_map(*[F.lit(x) for pair in fv.SKILL_WORDS.items() for x in pair])
-    tokens = F.transform(
-        F.regexp_extract_all(text, F.lit(fv.SKILL_TOKEN_PATTERN), F.lit(0)),
+    tokens = F.array_distinct(F.regexp_extract_all(text, F.lit(fv.SKILL_TOKEN_PATTERN), F.lit(0)))
+    hits = F.transform(
+        F.filter(tokens, lambda t: t.rlike(_SKILL_TOKEN)),
         lambda t: F.btrim(t, F.lit(fv.SKILL_TOKEN_STRIP_CHARS)),
     )
-    kept = F.filter(tokens, lambda t: t.rlike(_KNOWN_WORD) | t.rlike(fv.ACRONYM_PATTERN))
-    return F.transform(kept, lambda t: F.coalesce(F.try_element_at(spelling, F.lower(t)), t))
+    return F.transform(hits, lambda t: F.coalesce(F.try_element_at(spelling, F.lower(t)), t))
 
 
 def local_skills(description: Column | str, section_skills: Column | str, hashtags: bool = True) -> Column:
     """Skills found by rules: the skill section, known phrases, hashtags (optional), known
     words and acronyms; normalized."""
     text = or_empty(description)
-    lowered = F.lower(text)
-    phrases = F.array_compact(
-        F.array(*[F.when(F.contains(lowered, F.lit(p)), F.lit(p)) for p in fv.SKILL_PHRASES])
-    )
-    parts = [F.coalesce(as_col(section_skills), no_strings()), phrases]
+
+    def phrases(lowered: Column) -> Column:
+        return F.array_compact(
+            F.array(*[F.when(F.contains(lowered, F.lit(p)), F.lit(p)) for p in fv.SKILL_PHRASES])
+        )
+
+    parts = [F.coalesce(as_col(section_skills), no_strings()), let(F.lower(text), phrases)]
     if hashtags:
         parts.append(
             F.transform(
@@ -178,7 +196,8 @@ def local_skills(description: Column | str, section_skills: Column | str, hashta
 def _title_pattern(spaced_roles: bool) -> str:
     word = r"[A-Z][A-Za-z0-9\-&/]+"
     gap = r"\s+" if spaced_roles else ""
-    return rf"(?U)\b({word}(?:\s+{word}){{0,5}}{gap}({'|'.join(fv.TITLE_ROLES)}))\b"
+    # The look-ahead spares the costly boundary test at characters that cannot start a title.
+    return rf"(?U)(?=[A-Z])\b({word}(?:\s+{word}){{0,5}}{gap}({'|'.join(fv.TITLE_ROLES)}))\b"
 
 
 def guess_titles(description: Column | str, spaced_roles: bool = False) -> Column:

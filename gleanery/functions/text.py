@@ -67,7 +67,12 @@ def press_text(value: Column | str) -> Column:
 
 
 def unix_newlines(value: Column | str) -> Column:
-    return F.regexp_replace(or_empty(value), r"\r\n?", "\n")
+    """CR LF and CR to LF; texts without CR skip the regular expression."""
+
+    def convert(text: Column) -> Column:
+        return F.when(F.contains(text, F.lit("\r")), F.regexp_replace(text, r"\r\n?", "\n")).otherwise(text)
+
+    return let(or_empty(value), convert)
 
 
 def trimmed_lines(value: Column | str) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
@@ -22,6 +23,18 @@ from ..functions.text import csv_safe, nonblank, nonempty, or_empty, plain_texts
 from ..functions.urls import article_url
 
 
+def keep_computed(df: DataFrame, columns: dict[str, Column], keep: Callable[[Column], Column]) -> DataFrame:
+    """Add (or replace) costly columns and keep the rows that pass a test on them.
+
+    A plain filter would be pushed below the projection, with the costly expressions copied
+    into each of its terms. Here the columns are computed once per row, as a one-row array
+    that is empty when the test fails.
+    """
+    made = F.struct(*[c.alias(n) for n, c in columns.items()])
+    others = [c for c in df.columns if c not in columns]
+    return df.select(*others, F.inline(F.filter(F.array(made), keep)))
+
+
 def normalize_jobs(items: DataFrame, sections: bool = True) -> DataFrame:
     """Job rows from raw items: the first non-empty of the alternative fields, trimmed where
     the reader expects trimmed text, with sections and normalized skills."""
@@ -131,12 +144,13 @@ def clean_matches(
 ) -> DataFrame:
     """Keep recent, long enough matches and clean their text columns; the others stay raw."""
     kept = matches.where(parse_year("published", strict_formats) >= min_year)
-    cleaned = kept.withColumn("article_text", csv_safe("article_text"))
-    for name in ("entry_title", "entry_author", "feed_title"):
-        cleaned = cleaned.withColumn(name, csv_safe(name))
+    names = ["article_text", "entry_title", "entry_author", "feed_title"]
     if dict(matches.dtypes)["categories"] == "string":
-        cleaned = cleaned.withColumn("categories", csv_safe("categories"))
-    return cleaned.where(F.length("article_text") >= min_chars)
+        names.append("categories")
+    cleaned = keep_computed(
+        kept, {n: csv_safe(n) for n in names}, lambda row: F.length(row["article_text"]) >= min_chars
+    )
+    return cleaned.select(*matches.columns)
 
 
 def body_missing(text: str = "article_text", url: str = "article_url") -> Column:

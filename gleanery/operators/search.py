@@ -10,10 +10,11 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fv
-from ..functions.text import as_col, or_empty
+from ..functions.text import as_col, let, or_empty
 from ..sources.jobs import quoted_phrases
 from .dedupe import dedupe_text
 from .limits import first_rows
+from .rows import keep_computed
 
 
 def normalize_keywords(keywords: Sequence[str]) -> list[str]:
@@ -35,22 +36,34 @@ def has_keyword(text: Column | str, keywords: Sequence[str], whole_word: bool =
 
 
 def keyword_hits(text: Column | str, keywords: Sequence[str], whole_word: bool = False) -> Column:
-    """Keywords contained in the text, in keyword order. One test per keyword, without
-    lambdas, so that the list stays in generated code."""
-    lowered = F.lower(as_col(text))
-    return F.array_compact(
-        F.array(*[F.when(_has(lowered, k, whole_word), F.lit(k)) for k in normalize_keywords(keywords)])
-    )
+    """Keywords contained in the text, in keyword order; the text is lower-cased once."""
+    wanted = normalize_keywords(keywords)
+
+    def hits(lowered: Column) -> Column:
+        return F.array_compact(
+            F.array(*[F.when(_has(lowered, k, whole_word), F.lit(k)) for k in wanted])
+        )
+
+    return let(F.lower(as_col(text)), hits)
 
 
 def match_keywords(
     df: DataFrame, text: str, keywords: Sequence[str] = tuple(fv.DEFAULT_KEYWORDS), whole_word: bool = False
 ) -> DataFrame:
     """Rows with text that contain a keyword, with the hits upper-cased in
-    ``matched_keywords``."""
-    rows = df.where((F.col(text) != "") & has_keyword(text, keywords, whole_word))
-    hits = F.transform(keyword_hits(text, keywords, whole_word), F.upper)
-    return rows.withColumn("matched_keywords", hits)
+    ``matched_keywords``. The text, often computed itself, is evaluated once."""
+
+    def match(value: Column) -> Column:
+        hits = F.transform(keyword_hits(value, keywords, whole_word), F.upper)
+        return F.struct(value.alias("text"), hits.alias("hits"))
+
+    found = keep_computed(
+        df,
+        {"_match": let(F.col(text), match)},
+        lambda row: (row["_match"]["text"] != "") & (F.size(row["_match"]["hits"]) > 0),
+    )
+    columns = [F.col("_match.text").alias(c) if c == text else F.col(c) for c in df.columns]
+    return found.select(*columns, F.col("_match.hits").alias("matched_keywords"))
 
 
 def _one_of(value: str | None, allowed: Sequence[str], name: str) -> str | None:

@@ -9,6 +9,7 @@ from ..operators.dedupe import first_wins
 from ..operators.enrich import insights_for_mode
 from ..operators.limits import passes_until_idle
 from ..operators.rows import with_collection_time
+from ..session import materialize
 from ..sources.pages import parse_posts
 
 
@@ -34,7 +35,9 @@ def post_table(
     snapshots: DataFrame, *, mode: str | None = "none", at: Column | None = None, **limits
 ) -> DataFrame:
     """Post rows with insights. ``snapshots`` has ``snapshot_pass, html``."""
-    posts = collect_posts(parse_posts(snapshots), snapshots.select("snapshot_pass"), **limits)
+    # Both the stop rule and the result need the posts; they are parsed once.
+    seen = materialize(parse_posts(snapshots))
+    posts = collect_posts(seen, snapshots.select("snapshot_pass"), **limits)
     rows = with_collection_time(insights_for_mode(posts, "content", mode), at)
     sources = [
         "post_id",

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that decide results (UTC dates) or keep wide text rows inside task memory.
 RECOMMENDED_CONF = {
@@ -39,3 +40,24 @@ def scratch_dir(spark: SparkSession) -> str:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="gleanery-"))
         current = context.getCheckpointDir()
     return current
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a frame to the shared scratch folder and read it back.
+
+    For results of costly work (HTML parsing) that several branches of a plan need: the work
+    runs once, survives lost executors, and later reads take only the columns they need.
+    """
+    path = f"{scratch_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a frame over all cores when it has fewer partitions than there are cores.
+
+    Meant for costly row work on small or few files. On inputs that already have a partition
+    per core it changes nothing.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

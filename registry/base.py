@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gleanery import fixed_values as fv
 from gleanery.functions.text import WHITE_SPACE
+from gleanery.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -102,7 +103,8 @@ JOB_TEXT_SQL = (
 
 
 def job_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text", job_text().alias("descr"))
+    docs = spread(table(spark, sf_dir, "documents"))
+    return docs.select("doc_id", "source", "lang", "text", job_text().alias("descr"))
 
 
 JOB_DOCS_SQL = f"docs as (select doc_id, source, lang, text, {JOB_TEXT_SQL} as descr from documents)"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gleanery.functions.arrays import preview_list
 from gleanery.functions.text import csv_safe
 from gleanery.operators import dedupe, joins, limits, rows, search, tables
+from gleanery.session import spread
 from gleanery.sources.jobs import clean_terms, tag_query
 
 from .base import JOB_TEXT_SQL, big, collapse_sql, job_text, joined, query, strip_sql, table
@@ -30,13 +31,10 @@ def docs(spark, sf_dir):
     from h where len(hits) > 0 and length(body) >= 100""",
 )
 def p8_keyword_hits(spark, sf_dir):
-    cleaned = docs(spark, sf_dir).select("doc_id", csv_safe("text").alias("body"))
-    found = cleaned.where(search.has_keyword("body", KEYWORDS) & (F.length("body") >= 100))
-    return found.select(
-        "doc_id",
-        joined(search.keyword_hits("body", KEYWORDS), ",").alias("hits"),
-        big(F.length("body")).alias("n_chars"),
-    )
+    cleaned = spread(docs(spark, sf_dir)).select("doc_id", csv_safe("text").alias("body"))
+    found = search.match_keywords(cleaned, "body", KEYWORDS)
+    long_enough = rows.keep_computed(found, {"n_chars": big(F.length("body"))}, lambda r: r["n_chars"] >= 100)
+    return long_enough.select("doc_id", F.lower(joined("matched_keywords", ",")).alias("hits"), "n_chars")
 
 
 @query(
@@ -63,8 +61,8 @@ def p9_default_keyword_match(spark, sf_dir):
     f"select doc_id, length({collapse_sql('text')})::bigint as n from documents where length({collapse_sql('text')}) >= 100",
 )
 def p7_length_filter(spark, sf_dir):
-    cleaned = docs(spark, sf_dir).select("doc_id", csv_safe("text").alias("body"))
-    return cleaned.where(F.length("body") >= 100).select("doc_id", big(F.length("body")).alias("n"))
+    text = {"n": big(F.length(csv_safe("text")))}
+    return rows.keep_computed(docs(spark, sf_dir), text, lambda row: row["n"] >= 100).select("doc_id", "n")
 
 
 @query(

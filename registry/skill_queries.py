@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gleanery import fixed_values as fv
 from gleanery.functions import skills as s
+from gleanery.session import spread
 
 from .base import (
     JOB_DOCS_SQL,
@@ -48,7 +49,7 @@ def x2_description_sections(spark, sf_dir):
     select doc_id, pos::bigint as pos, phrase from c where {fits_sql('phrase')}""",
 )
 def x3_clean_skill_phrase(spark, sf_dir):
-    parts = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", ", ", -1)))
+    parts = spread(table(spark, sf_dir, "documents")).select("doc_id", F.posexplode(F.split("text", ", ", -1)))
     phrase = F.concat(F.lit("Experience with "), F.col("col"), F.lit(" skill"))
     return parts.select(
         "doc_id", F.col("pos").cast("bigint").alias("pos"), s.clean_skill_phrase(phrase).alias("phrase")
@@ -65,7 +66,7 @@ def x3_clean_skill_phrase(spark, sf_dir):
     from documents d left join skill_rows s on d.doc_id = s.doc_id group by d.doc_id""",
 )
 def x4_normalize_skills(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return docs.select("doc_id", joined(s.normalize_skills(F.split("text", "\n", -1))).alias("skills"))
 
 

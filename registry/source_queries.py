@@ -11,7 +11,7 @@ from gleanery import fixed_values as fv
 from gleanery.functions.urls import article_url
 from gleanery.operators import rows
 from gleanery.plans import blogs, feeds, jobs, posts, press
-from gleanery.session import scratch_dir
+from gleanery.session import scratch_dir, spread
 from gleanery.sources import feeds as feed_source
 from gleanery.sources import jobs as job_source
 from gleanery.sources import pages as page_source
@@ -105,7 +105,7 @@ def feed_docs(spark, sf_dir):
             F.array_join(F.transform(lines, atom), ""), F.lit("</feed>"),
         )
     )
-    return docs(spark, sf_dir).select("doc_id", F.concat(F.lit("feed:"), F.col("doc_id").cast("string")).alias("xml_url"), raw.alias("raw"))
+    return spread(docs(spark, sf_dir)).select("doc_id", F.concat(F.lit("feed:"), F.col("doc_id").cast("string")).alias("xml_url"), raw.alias("raw"))
 
 
 def feed_list(spark, sf_dir):
@@ -206,7 +206,7 @@ def job_json(spark, sf_dir):
             F.col("doc_id").alias("ord"),
         )
     )
-    return docs(spark, sf_dir).select(item.alias("raw"))
+    return spread(docs(spark, sf_dir)).select(item.alias("raw"))
 
 
 _JOB_SQL = f"""
@@ -428,7 +428,7 @@ def listing_pages(spark, sf_dir):
         F.lit("<html><body><a target='_blank' href='/out'><h3>o</h3></a><main><script>var a='<a target=_blank>';</script>"),
         F.array_join(F.transform(F.split("text", "\n"), card), "\n"), F.lit("</main></body></html>"),
     )
-    return docs(spark, sf_dir).select(F.col("doc_id").alias("page"), html.alias("html"))
+    return spread(docs(spark, sf_dir)).select(F.col("doc_id").alias("page"), html.alias("html"))
 
 
 _CARDS_SQL = f"""
@@ -509,7 +509,7 @@ def post_snapshots(spark, sf_dir):
         )
 
     html = F.concat(F.lit("<body>"), F.array_join(F.transform(F.split("text", "\n"), card), ""), F.lit("</body>"))
-    return docs(spark, sf_dir).select(F.col("doc_id").alias("snapshot_pass"), html.alias("html"))
+    return spread(docs(spark, sf_dir)).select(F.col("doc_id").alias("snapshot_pass"), html.alias("html"))
 
 
 _POSTS_SQL = f"""

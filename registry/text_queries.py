@@ -13,13 +13,14 @@ from gleanery.functions import text as t
 from gleanery.functions import urls as u
 from gleanery.operators.rows import with_collection_time
 from gleanery.plans.press import first_highlights
+from gleanery.session import spread
 from gleanery.sources.pages import page_bodies
 
 from .base import WS_CLASS, big, collapse_sql, joined, query, strip_sql, table
 
 
 def docs(spark, sf_dir, *columns):
-    return table(spark, sf_dir, "documents").select("doc_id", *columns)
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", *columns)
 
 
 @query(
@@ -47,7 +48,7 @@ def _page_text_sql(sep: str = " ") -> str:
 
 @query("x8_plain_text", f"select page_id, {collapse_sql(_page_text_sql())} as plain from pages")
 def x8_plain_text(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", t.plain_text("html").alias("plain"))
+    return spread(table(spark, sf_dir, "pages")).select("page_id", t.plain_text("html").alias("plain"))
 
 
 @query(
@@ -366,7 +367,7 @@ def x26_article_clean(spark, sf_dir):
     "select page_id, regexp_replace(html, '<(script|style)[^>]*>.*?</(script|style)>', '', 'gs') as kept from pages",
 )
 def x27_strip_blocks(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", h.strip_blocks("html").alias("kept"))
+    return spread(table(spark, sf_dir, "pages")).select("page_id", h.strip_blocks("html").alias("kept"))
 
 
 _P_TEXT = "regexp_replace(regexp_replace(piece, '(?s)</?(p|div|article|footer|nav|ul|h1|h2|h3|table|body|html|section)[ >].*', ''), '<[^>]+>', ' ', 'g')"
@@ -386,7 +387,7 @@ _P_DECODED = (
     select page_id, {_article_clean_sql('raw')} as body from b""",
 )
 def x28_page_bodies(spark, sf_dir):
-    return page_bodies(table(spark, sf_dir, "pages").select("page_id", "html"))
+    return page_bodies(spread(table(spark, sf_dir, "pages")).select("page_id", "html"))
 
 
 @query(
