@@ -49,7 +49,7 @@ def parse_opml(docs: DataFrame, raw: str = "value", *, keys: tuple[str, ...] = (
 
 
 def read_opml(spark: SparkSession, path: str) -> DataFrame:
-    return parse_opml(spark.read.option("wholetext", True).text(path))
+    return parse_opml(spark.read.text(path, wholetext=True))
 
 
 _ITEM = """

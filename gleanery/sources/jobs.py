@@ -66,7 +66,7 @@ def clean_terms(lines: DataFrame, text: str = "value", order: str = "ord", keys:
 
 def read_terms(spark: SparkSession, path: str, default: str = fv.DEFAULT_TITLE_QUERY) -> DataFrame:
     """Terms of a text file, or the default term when it has none."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     lines = text.select(F.posexplode(F.split("value", r"\r\n|\r|\n", -1)).alias("ord", "value"))
     terms = clean_terms(lines)
     fallback = spark.range(1).select(F.lit(0).alias("ord"), F.lit(default).alias("term"))

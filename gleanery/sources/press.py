@@ -28,7 +28,7 @@ def _type(ddl: str):
 
 def read_json_texts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Whole JSON files, one row each, as ``raw``."""
-    return spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "raw")
+    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "raw")
 
 
 def parse_hits(pages: DataFrame, raw: str = "raw", page: str = "page") -> DataFrame:
