@@ -42,7 +42,6 @@ def normalize_jobs(items: DataFrame, sections: bool = True) -> DataFrame:
     def first(*names: str) -> Column:
         return F.coalesce(*[nonempty(n) for n in names], F.lit(""))
 
-    description = first("description", "jobDescription", "jobDescriptionText")
     rows = items.select(
         "ord",
         or_empty("search_query").alias("search_query"),
@@ -51,19 +50,22 @@ def normalize_jobs(items: DataFrame, sections: bool = True) -> DataFrame:
         strip(first("location", "companyLocation")).alias("location"),
         first("publishedAt", "listedAt").alias("published_at"),
         first("jobUrl", "url", "link").alias("url"),
-        description.alias("_text"),
+        strip(first("description", "jobDescription", "jobDescriptionText")).alias("description"),
     )
-    text = strip("_text").alias("description")
-    if not sections:
-        return rows.select("*", text).drop("_text")
-    found = rows.withColumn("_sections", description_sections("_text"))
+    return with_sections(rows) if sections else rows
+
+
+def with_sections(jobs: DataFrame) -> DataFrame:
+    """Add responsibilities, normalized skills and requirements from the description. (Outer
+    white space, already trimmed, has no bearing on sections.)"""
+    found = jobs.withColumn("_sections", description_sections("description"))
     return found.select(
         "ord",
         *fv.JOB_COLUMNS[:6],
         F.col("_sections.responsibilities").alias("responsibilities"),
         normalize_skills("_sections.skills").alias("skills"),
         F.col("_sections.requirements").alias("requirements"),
-        text,
+        "description",
     )
 
 

@@ -15,7 +15,7 @@ from pyspark.sql.types import ArrayType, BooleanType, StructType, TimestampType
 from ..functions.arrays import blocks_text
 from ..functions.text import nonblank, nonempty, or_empty
 from ..functions.urls import article_id
-from ..session import scratch_dir
+from ..session import materialize
 from .dedupe import first_wins
 from .rows import body_missing
 
@@ -96,11 +96,9 @@ def write_next_version(spark: SparkSession, df: DataFrame, root: str) -> int:
 # ---- upsert ----
 
 
-def upsert_parts(
-    existing: DataFrame, new: DataFrame, key: str = "region_id", order: str = "ord"
-) -> tuple[DataFrame, DataFrame]:
-    """Changes (new rows with the ``_target`` order of the stored row they replace) and
-    additions (new rows of unknown ids).
+def mark_new(existing: DataFrame, new: DataFrame, key: str = "region_id", order: str = "ord") -> DataFrame:
+    """New rows with the order value of the stored row they replace as ``_target``, null for
+    rows of unknown ids.
 
     Of equal new ids the first counts; of equal stored ids the last is the target. Only ids
     and order values of the stored table take part.
@@ -112,9 +110,7 @@ def upsert_parts(
         .groupBy("_id")
         .agg(F.max(order).alias("_target"))
     )
-    changes = fresh.join(targets, F.col(key) == F.col("_id")).drop("_id")
-    additions = fresh.join(targets, F.col(key) == F.col("_id"), "left_anti")
-    return changes, additions
+    return fresh.join(targets, fresh[key] == targets["_id"], "left").drop("_id")
 
 
 def after_stored(existing: DataFrame, additions: DataFrame, order: str = "ord") -> DataFrame:
@@ -129,10 +125,15 @@ def upsert(existing: DataFrame, new: DataFrame, key: str = "region_id", order: s
     Rows without an id and earlier rows of a repeated id stay as they are. The join that
     rewrites rows runs on the order column, which is unique, so repeated ids cannot skew it.
     """
-    changes, additions = upsert_parts(existing, new, key, order)
-    produced = [c for c in new.columns if c in existing.columns and c != order]
-    renamed = changes.select("_target", *[F.col(c).alias(f"_new_{c}") for c in produced])
-    joined = existing.join(renamed, existing[order] == renamed["_target"], "left")
+    return apply_marked(existing, mark_new(existing, new, key, order), order)
+
+
+def apply_marked(existing: DataFrame, marked: DataFrame, order: str = "ord") -> DataFrame:
+    produced = [c for c in marked.columns if c in existing.columns and c != order]
+    changes = marked.where(F.col("_target").isNotNull()).select(
+        "_target", *[F.col(c).alias(f"_new_{c}") for c in produced]
+    )
+    joined = existing.join(changes, existing[order] == changes["_target"], "left")
     changed = F.col("_target").isNotNull()
     kept = joined.select(
         *[
@@ -140,6 +141,7 @@ def upsert(existing: DataFrame, new: DataFrame, key: str = "region_id", order: s
             for c in existing.columns
         ]
     )
+    additions = marked.where(F.col("_target").isNull()).drop("_target")
     return kept.unionByName(after_stored(existing, additions, order), allowMissingColumns=True)
 
 
@@ -153,24 +155,26 @@ def upsert_table(
 ) -> dict[str, int]:
     """Upsert into a versioned table; returns how many rows were changed and added.
 
-    New rows are checkpointed once, as they are read several times. The table is rewritten as
-    a new version only when a stored row changes; otherwise rows are appended.
+    The marked new rows are written to the scratch folder once, as counting and writing both
+    need them. The table is rewritten as a new version only when a stored row changes;
+    otherwise rows are appended.
     """
-    scratch_dir(spark)
-    new = new.checkpoint()
     existing = read_table(spark, root, schema)
-    changes, additions = upsert_parts(existing, new, key, order)
-    counts = {"changed": changes.count(), "added": additions.count()}
+    marked = materialize(mark_new(existing, new, key, order))
+    counts = marked.agg(
+        F.count("_target").alias("changed"), (F.count(F.lit(1)) - F.count("_target")).alias("added")
+    ).first()
     version = committed_version(spark, root)
     if counts["changed"] or version is None:
-        write_next_version(spark, upsert(existing, new, key, order).select(*existing.columns), root)
+        result = apply_marked(existing, marked, order)
+        write_next_version(spark, result.select(*existing.columns), root)
     elif counts["added"]:
-        rows = after_stored(existing, additions, order).checkpoint()
-        target = spark.createDataFrame([], schema)
-        target.unionByName(rows, allowMissingColumns=True).select(*existing.columns).write.mode(
-            "append"
-        ).parquet(_version_path(root, version))
-    return counts
+        additions = after_stored(existing, marked.drop("_target"), order)
+        empty = spark.createDataFrame([], schema)
+        # The offset reads the folder that is written to; it is computed before, in the copy.
+        rows = materialize(empty.unionByName(additions, allowMissingColumns=True))
+        append_rows(rows.select(*existing.columns), _version_path(root, version))
+    return counts.asDict()
 
 
 # ---- backfill ----
@@ -205,8 +209,7 @@ def backfill(rows: DataFrame, details: DataFrame) -> DataFrame:
 def backfill_table(spark: SparkSession, root: str, details: DataFrame, schema: StructType | str) -> dict[str, int]:
     """Backfill a versioned table into a new version; returns the counts of filled rows and of
     rows that stay without body."""
-    scratch_dir(spark)
-    result = backfill(read_table(spark, root, schema), details).checkpoint()
+    result = materialize(backfill(read_table(spark, root, schema), details))
     write_next_version(spark, result.drop("fill_state"), root)
     states = result.groupBy("fill_state").count().collect()  # at most three rows
     counts = {r["fill_state"]: r["count"] for r in states}

@@ -7,11 +7,17 @@ from pyspark.sql import DataFrame
 from .. import fixed_values as fv
 from ..operators.dedupe import dedupe_jobs
 from ..operators.enrich import skills_for_mode
-from ..operators.rows import normalize_jobs
+from ..operators.rows import normalize_jobs, with_sections
 
 
 def job_table(items: DataFrame, mode: str = "heuristic") -> DataFrame:
-    """Normalized, enriched and de-duplicated jobs, in ``ord`` order of first appearance."""
-    jobs = normalize_jobs(items)
+    """Normalized, de-duplicated and enriched jobs; ``ord`` gives the order of first
+    appearance.
+
+    The key of the de-duplication does not depend on the extraction, so repeated ads are
+    dropped before the costly part.
+    """
+    unique = dedupe_jobs(normalize_jobs(items, sections=False))
+    jobs = with_sections(unique)
     enriched = jobs.withColumn("skills", skills_for_mode(mode, "description", "skills"))
-    return dedupe_jobs(enriched).select("ord", *fv.JOB_COLUMNS)
+    return enriched.select("ord", *fv.JOB_COLUMNS)

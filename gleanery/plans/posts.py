@@ -26,7 +26,8 @@ def collect_posts(
     made = passes_until_idle(
         posts, passes, key="post_id", pass_col="snapshot_pass", max_idle=max_idle, max_passes=max_passes
     )
-    seen = posts.join(made.select("snapshot_pass"), "snapshot_pass", "left_semi")
+    # At most ``max_passes`` rows, so the broadcast is bounded and a crowded pass is no hot key.
+    seen = posts.join(F.broadcast(made.select("snapshot_pass")), "snapshot_pass", "left_semi")
     unique = first_wins(seen, "post_id", ["snapshot_pass", "card_pos"])
     return unique if max_posts is None else unique.orderBy("snapshot_pass", "card_pos").limit(max_posts)
 

@@ -19,15 +19,16 @@ def first_highlights(pages: DataFrame, page: str = "page") -> Column:
 
 
 def new_hits(hits: DataFrame, existing: DataFrame, max_results: int | None = None) -> DataFrame:
-    """Hits still to process: within the limit, with an id, not completed, each id once.
+    """Hits still to process: within the limit, with an id, each id once, not completed.
 
-    Filters run before the de-duplication and both before any join with wide data.
+    Repeated ids go first, inside the map tasks, so that none is hot in the joins; those run on
+    the same key and keep the partitioning.
     """
     limited = hits if max_results is None else first_rows(hits, max_results, "ord")
     with_id = limited.withColumn("region_id", F.col("hit.RegionId")).where(
         F.col("region_id").isNotNull() & (F.col("region_id") != "")
     )
-    return first_wins(not_completed(with_id, existing), "region_id", "ord")
+    return not_completed(first_wins(with_id, "region_id", "ord"), existing)
 
 
 def article_rows(

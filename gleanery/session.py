@@ -12,6 +12,8 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Per-key limits up to this many rows are cut inside the map tasks, before the shuffle.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     # HTML and article bodies are wide: keep Arrow batches small in rows.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     "spark.sql.execution.pythonUDF.arrow.enabled": "true",
@@ -57,7 +59,8 @@ def spread(df: DataFrame) -> DataFrame:
     """Spread a frame over all cores when it has fewer partitions than there are cores.
 
     Meant for costly row work on small or few files. On inputs that already have a partition
-    per core it changes nothing.
+    per core it changes nothing. ``df`` should come straight from files: counting the partitions
+    of a shuffled frame would run its shuffles.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

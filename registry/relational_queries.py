@@ -576,9 +576,8 @@ def m2_upsert(spark, sf_dir):
     select f.region_id, coalesce(l.target, -1) as target from fresh f left join last_old l using (region_id)""",
 )
 def j4_changes_and_additions(spark, sf_dir):
-    changes, additions = tables.upsert_parts(*order_versions(spark, sf_dir))
-    changed = changes.select("region_id", F.col("_target").alias("target"))
-    return changed.unionByName(additions.select("region_id", F.lit(-1).cast("bigint").alias("target")))
+    marked = tables.mark_new(*order_versions(spark, sf_dir))
+    return marked.select("region_id", F.coalesce("_target", F.lit(-1)).cast("bigint").alias("target"))
 
 
 @query(
