@@ -97,11 +97,16 @@ def test_materialize_and_scratch(spark):
     df = materialize(spark.range(5))
     assert df.count() == 5 and scratch_dir(spark)
     assert "Scan parquet" in plan(df)
-    spark.conf.set("spark.checkpoint.dir", "/tmp/somewhere-shared")
-    try:
-        assert scratch_dir(spark) == "/tmp/somewhere-shared"
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+
+
+def test_scratch_folder_named_by_the_cluster_comes_first():
+    class Cluster:
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return "/shared/folder" if name == "spark.checkpoint.dir" else default
+
+    assert scratch_dir(Cluster) == "/shared/folder"
 
 
 def test_spread_leaves_wide_inputs_alone(spark):
