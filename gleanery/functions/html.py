@@ -7,6 +7,7 @@ pieces; every choice, clean-up and filter on those pieces is left to Spark expre
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -197,54 +198,37 @@ def _posts(page: str):
     return out
 
 
-class _BlockStripper(HTMLParser):
-    """Copies the source of a page except for dropped blocks."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=False)
-        self.out, self.stack = [], []
-
-    def _keep(self, source):
-        if not self.stack:
-            self.out.append(source)
-
-    def handle_starttag(self, tag, attrs):
-        if tag in fv.DROPPED_BLOCKS:
-            self.stack.append(tag)
-        self._keep(self.get_starttag_text())
-
-    def handle_startendtag(self, tag, attrs):
-        if tag not in fv.DROPPED_BLOCKS:
-            self._keep(self.get_starttag_text())
-
-    def handle_endtag(self, tag):
-        if tag in self.stack:
-            while self.stack.pop() != tag:
-                pass
-        elif tag not in fv.DROPPED_BLOCKS:
-            self._keep(f"</{tag}>")
-
-    def handle_data(self, data):
-        self._keep(data)
-
-    def handle_entityref(self, name):
-        self._keep(f"&{name};")
-
-    def handle_charref(self, name):
-        self._keep(f"&#{name};")
-
-    def handle_comment(self, data):
-        self._keep(f"<!--{data}-->")
-
-    def handle_decl(self, decl):
-        self._keep(f"<!{decl}>")
+_TAG = re.compile(
+    r"""<!--.*?-->|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?:[^>"']|"[^"]*"|'[^']*')*>""", re.DOTALL
+)
+_RAW_END = {name: re.compile(rf"</{name}[\s/>]", re.IGNORECASE) for name in _RAW}
 
 
 def _stripped(page: str) -> str:
-    stripper = _BlockStripper()
-    stripper.feed(page)
-    stripper.close()
-    return "".join(stripper.out)
+    """Source of a page without dropped blocks; everything else is copied as it stands."""
+    out, inside, kept_from, at = [], [], 0, 0
+    while tag := _TAG.search(page, at):
+        at = tag.end()
+        name = (tag["name"] or "").lower()
+        if name not in fv.DROPPED_BLOCKS:
+            continue
+        if not inside:
+            out.append(page[kept_from : tag.start()])
+            kept_from = at
+        if not tag["end"]:
+            if not tag[0].endswith("/>"):
+                inside.append(name)
+            if name in _RAW:
+                # The content of these is text up to their own end tag, whatever it looks like.
+                end = _RAW_END[name].search(page, at)
+                at = end.start() if end else len(page)
+        elif name in inside:
+            while inside.pop() != name:
+                pass
+            kept_from = at
+    if not inside:
+        out.append(page[kept_from:])
+    return "".join(out)
 
 
 CARD_TYPE = (

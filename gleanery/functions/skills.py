@@ -12,7 +12,7 @@ from pyspark.sql import Column, functions as F
 
 from .. import fixed_values as fv
 from .arrays import distinct_ci, no_strings
-from .text import as_col, content_lines, let, or_empty, strip, trimmed_lines, word_count
+from .text import as_col, content_lines, let, or_empty, string_map, trimmed_lines, word_count
 
 SECTION_TYPE = (
     "struct<responsibilities:array<string>,skills:array<string>,requirements:array<string>>"
@@ -162,7 +162,7 @@ def _skill_tokens(text: Column) -> Column:
     Repeats are dropped first, as only the first of equal skills counts in the end; one
     pattern then keeps the hits, and only those are trimmed and looked up.
     """
-    spelling = F.create_map(*[F.lit(x) for pair in fv.SKILL_WORDS.items() for x in pair])
+    spelling = string_map(fv.SKILL_WORDS)
     tokens = F.array_distinct(F.regexp_extract_all(text, F.lit(fv.SKILL_TOKEN_PATTERN), F.lit(0)))
     hits = F.transform(
         F.filter(tokens, lambda t: t.rlike(_SKILL_TOKEN)),
@@ -177,6 +177,7 @@ def local_skills(description: Column | str, section_skills: Column | str, hashta
     text = or_empty(description)
 
     def phrases(lowered: Column) -> Column:
+        # One test per phrase: faster than a lambda over the phrase list.
         return F.array_compact(
             F.array(*[F.when(F.contains(lowered, F.lit(p)), F.lit(p)) for p in fv.SKILL_PHRASES])
         )

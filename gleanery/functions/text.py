@@ -31,6 +31,16 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def sql_text(value: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def string_map(pairs: dict[str, str]) -> Column:
+    """Constant map of texts, as one expression."""
+    return F.expr(f"map({', '.join(f'{sql_text(k)}, {sql_text(v)}' for k, v in pairs.items())})")
+
+
 def strip(value: Column | str) -> Column:
     """Trim Unicode white space at both ends."""
     return F.btrim(as_col(value), F.lit(WHITE_SPACE))

@@ -40,9 +40,8 @@ def keyword_hits(text: Column | str, keywords: Sequence[str], whole_word: bool =
     wanted = normalize_keywords(keywords)
 
     def hits(lowered: Column) -> Column:
-        return F.array_compact(
-            F.array(*[F.when(_has(lowered, k, whole_word), F.lit(k)) for k in wanted])
-        )
+        found = [F.when(_has(lowered, k, whole_word), F.lit(k)) for k in wanted]
+        return F.array_compact(F.array(*found))
 
     return let(F.lower(as_col(text)), hits)
 

@@ -183,7 +183,7 @@ def n4_insights_with_fallback(spark, sf_dir):
     found = enrich.member_rows(
         requests, insight_answers(requests), enrich.insight_answer("raw", "expected"), "answered"
     )
-    rows = found.join(job_docs(spark, sf_dir).withColumnRenamed("doc_id", "member_id"), "member_id")
+    rows = job_docs(spark, sf_dir).withColumnRenamed("doc_id", "member_id").join(found, "member_id")
     final = rows.select("member_id", enrich.insight_or_fallback("answered", "descr").alias("i"))
     return final.select("member_id", joined("i.job_titles").alias("job_titles"), joined("i.skills").alias("skills"))
 
