@@ -1,22 +1,35 @@
 """Structure out of HTML: the one place where rows need Python.
 
-Spark has no HTML expression, and pages are not well-formed XML. A small tree builder on the
-standard parser runs inside Arrow pandas UDFs that take only the HTML column and return raw
-pieces; every choice, clean-up and filter on those pieces is left to Spark expressions.
+Spark has no HTML expression, and pages are not well-formed XML. A small tree builder runs
+inside Arrow UDFs that take only the HTML column and return raw pieces; every choice, clean-up
+and filter on those pieces is left to Spark expressions.
 """
 
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
+from html import unescape
 from urllib.parse import urljoin
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from .. import fixed_values as fv
 from .text import as_col
 
+# A comment, a declaration, a tag, or markup that never ends. Quotes count only after an equals
+# sign. Nothing backtracks and markup without end is taken in one go, so broken pages cost
+# linear time.
+_TAG = re.compile(
+    r"""<!--.*?(?:-->|\Z)
+    |<[!?][^>]*+>
+    |<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+)>
+    |(?P<endless><(?=[a-zA-Z!?]|/[a-zA-Z]).*+)""",
+    re.DOTALL | re.VERBOSE,
+)
+_ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
@@ -25,33 +38,47 @@ _ENDS_PARAGRAPH = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
+# The content of these is text up to their own end tag, whatever it looks like.
 _RAW = ("script", "style")
+_RAW_END = {name: re.compile(rf"</{name}[\s/>]", re.IGNORECASE) for name in _RAW}
 
 
 class Node:
-    """An element with its parent, attributes and children (elements and strings)."""
+    """An element with its parent and children (elements and texts)."""
 
-    __slots__ = ("tag", "attrs", "parent", "children")
+    __slots__ = ("tag", "source", "parent", "children", "_attrs")
 
-    def __init__(self, tag, attrs, parent):
-        self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
+    def __init__(self, tag, source, parent):
+        self.tag, self.source, self.parent = tag, source, parent
+        self.children, self._attrs = [], None
+
+    @property
+    def attrs(self):
+        """Attributes, read when first asked for: most elements never are."""
+        if self._attrs is None:
+            self._attrs = {
+                name.lower(): unescape(a or b or c) for name, a, b, c in _ATTRIBUTE.findall(self.source)
+            }
+        return self._attrs
 
     def classes(self):
-        return (self.attrs.get("class") or "").split()
+        return self.attrs.get("class", "").split()
 
-    def walk(self):
-        """Descendant elements in document order (no recursion: pages can be deep)."""
-        stack = [c for c in reversed(self.children) if isinstance(c, Node)]
+    def walk(self, skip=()):
+        """Descendant elements in document order, without those in ``skip`` and what they hold
+        (no recursion: pages can be deep)."""
+        stack = [c for c in reversed(self.children) if c.__class__ is Node]
         while stack:
             node = stack.pop()
-            yield node
-            stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
+            if node.tag not in skip:
+                yield node
+                stack.extend([c for c in reversed(node.children) if c.__class__ is Node])
 
     def strings(self, skip=_RAW):
-        stack = list(reversed(self.children))
+        stack = self.children[::-1]
         while stack:
             item = stack.pop()
-            if isinstance(item, str):
+            if item.__class__ is str:
                 yield item
             elif item.tag not in skip:
                 stack.extend(reversed(item.children))
@@ -60,74 +87,78 @@ class Node:
         """All text; with ``sep``, pieces are trimmed, empty ones dropped, then joined."""
         if sep is None:
             return "".join(self.strings())
-        return sep.join(s for s in (p.strip() for p in self.strings()) if s)
+        return sep.join([s for s in [p.strip() for p in self.strings()] if s])
 
-    def first(self, tag, cls=None, attr=None):
+    def first(self, tag, cls=None):
         for node in self.walk():
             if node.tag == tag and (cls is None or cls in node.classes()):
-                if attr is None or attr in node.attrs:
-                    return node
+                return node
         return None
 
-    def inside(self, tag, cls=None):
+    def inside(self, tags, cls=None):
         node = self.parent
         while node is not None:
-            if node.tag == tag and (cls is None or cls in node.classes()):
+            if node.tag in tags and (cls is None or cls in node.classes()):
                 return True
             node = node.parent
         return False
 
 
-class _TreeBuilder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = self.here = Node("", {}, None)
-        self.open = {}
-
-    def _enter(self, tag, attrs):
-        node = Node(tag, {k: v or "" for k, v in attrs}, self.here)
-        self.here.children.append(node)
-        return node
-
-    def _leave(self, tag):
-        while self.here.tag != tag:
-            self.open[self.here.tag] -= 1
-            self.here = self.here.parent
-        self.open[tag] -= 1
-        self.here = self.here.parent
-
-    def handle_starttag(self, tag, attrs):
-        if tag in _ENDS_PARAGRAPH and self.open.get("p"):
-            self._leave("p")
-        node = self._enter(tag, attrs)
-        if tag not in _VOID:
-            self.here = node
-            self.open[tag] = self.open.get(tag, 0) + 1
-
-    def handle_startendtag(self, tag, attrs):
-        self._enter(tag, attrs)
-
-    def handle_endtag(self, tag):
-        if self.open.get(tag):
-            self._leave(tag)
-
-    def handle_data(self, data):
-        self.here.children.append(data)
-
-
 def parse_html(page: str) -> Node:
-    builder = _TreeBuilder()
-    builder.feed(page)
-    builder.close()
-    return builder.root
+    """Element tree of a page. An end tag closes the nearest open element of its name, or
+    nothing; a block element closes an open paragraph."""
+    root = here = Node("", "", None)
+    opened: dict[str, int] = {}
+    at = 0
+
+    def close(tag, node):
+        while node.tag != tag:
+            opened[node.tag] -= 1
+            node = node.parent
+        opened[tag] -= 1
+        return node.parent
+
+    def add_text(end):
+        if end > at:
+            data = page[at:end]
+            here.children.append(unescape(data) if "&" in data else data)
+
+    while found := _TAG.search(page, at):
+        end, tag, source, endless = found.group("end", "name", "attrs", "endless")
+        if endless:
+            break
+        add_text(found.start())
+        at = found.end()
+        if tag is None:
+            continue
+        tag = tag.lower()
+        if end:
+            if opened.get(tag):
+                here = close(tag, here)
+            continue
+        if tag in _ENDS_PARAGRAPH and opened.get("p"):
+            here = close("p", here)
+        node = Node(tag, source, here)
+        here.children.append(node)
+        if tag in _VOID or source.endswith("/"):
+            continue
+        if tag in _RAW:
+            stop = _RAW_END[tag].search(page, at)
+            limit = stop.start() if stop else len(page)
+            node.children.append(page[at:limit])
+            at = limit
+        here = node
+        opened[tag] = opened.get(tag, 0) + 1
+    add_text(len(page))
+    return root
 
 
 def _paragraphs(page: str):
     out = []
-    for node in parse_html(page).walk():
-        if node.tag == "p" and not any(node.inside(b) for b in fv.DROPPED_BLOCKS):
-            parts = (p.strip() for p in node.strings(skip=fv.DROPPED_BLOCKS))
-            out.append(" ".join(p for p in parts if p))
+    for node in parse_html(page).walk(skip=fv.DROPPED_BLOCKS):
+        if node.tag == "p":
+            parts = [p.strip() for p in node.strings(skip=fv.DROPPED_BLOCKS)]
+            out.append(" ".join([p for p in parts if p]))
     return out
 
 
@@ -136,13 +167,15 @@ def _cards(page: str, base_url: str):
     for a in parse_html(page).walk():
         if a.tag != "a" or a.attrs.get("target") != "_blank" or "href" not in a.attrs:
             continue
-        if not a.inside("main"):
+        if not a.inside(("main",)):
             continue
-        heading, summary = a.first("h3"), a.first("p")
-        spans = [n for n in a.walk() if n.tag == "span"]
-        badge = next((n for n in spans if n.inside("div", "flex")), None)
+        parts = list(a.walk())
+        heading = next((n for n in parts if n.tag == "h3"), None)
+        summary = next((n for n in parts if n.tag == "p"), None)
+        spans = [n for n in parts if n.tag == "span"]
+        badge = next((n for n in spans if n.inside(("div",), "flex")), None)
         logo = next(
-            (n for n in a.walk() if n.tag == "img" and "alt" in n.attrs and n.inside("div", "flex")), None
+            (n for n in parts if n.tag == "img" and "alt" in n.attrs and n.inside(("div",), "flex")), None
         )
         out.append(
             {
@@ -198,12 +231,6 @@ def _posts(page: str):
     return out
 
 
-_TAG = re.compile(
-    r"""<!--.*?-->|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?:[^>"']|"[^"]*"|'[^']*')*>""", re.DOTALL
-)
-_RAW_END = {name: re.compile(rf"</{name}[\s/>]", re.IGNORECASE) for name in _RAW}
-
-
 def _stripped(page: str) -> str:
     """Source of a page without dropped blocks; everything else is copied as it stands."""
     out, inside, kept_from, at = [], [], 0, 0
@@ -231,53 +258,53 @@ def _stripped(page: str) -> str:
     return "".join(out)
 
 
-CARD_TYPE = (
-    "array<struct<url:string,title:string,summary:string,badge:string,logo:string,"
-    "spans:array<string>,strings:array<string>>>"
-)
-POST_TYPE = (
-    "array<struct<link:string,data_urn:string,author_name:string,author_profile:string,"
-    "author_job:string,post_time:string,content:string,reactions_label:string,"
-    "comments_label:string,impressions_text:string>>"
+def _struct(*texts: str, lists: tuple[str, ...] = ()) -> ArrayType:
+    fields = [StructField(n, StringType()) for n in texts]
+    fields += [StructField(n, ArrayType(StringType())) for n in lists]
+    return ArrayType(StructType(fields))
+
+
+CARD_TYPE = _struct("url", "title", "summary", "badge", "logo", lists=("spans", "strings"))
+POST_TYPE = _struct(
+    "link",
+    "data_urn",
+    "author_name",
+    "author_profile",
+    "author_job",
+    "post_time",
+    "content",
+    "reactions_label",
+    "comments_label",
+    "impressions_text",
 )
 
 
-def paragraphs(html: Column | str) -> Column:
-    """Texts of all paragraphs outside dropped blocks, in page order."""
+def _per_page(html: Column | str, read, spark_type) -> Column:
+    """Apply ``read`` to every page of an Arrow batch; missing pages stay missing."""
+    arrow_type = to_arrow_type(spark_type)
 
-    @F.pandas_udf("array<string>")
-    def udf(pages: pd.Series) -> pd.Series:
-        return pages.map(_paragraphs, na_action="ignore")
+    def run(pages: pa.Array) -> pa.Array:
+        return pa.array([None if p is None else read(p) for p in pages.to_pylist()], arrow_type)
 
-    return udf(as_col(html))
+    return F.arrow_udf(run, spark_type)(as_col(html))
 
 
-def strip_blocks(html: Column | str) -> Column:
-    """The page without script, style, noscript, pre, code, samp and kbd blocks."""
+def paragraphs(html: Column | str) -> Column:
+    """Texts of all paragraphs outside dropped blocks, in page order."""
+    return _per_page(html, _paragraphs, ArrayType(StringType()))
 
-    @F.pandas_udf("string")
-    def udf(pages: pd.Series) -> pd.Series:
-        return pages.map(_stripped, na_action="ignore")
 
-    return udf(as_col(html))
+def strip_blocks(html: Column | str) -> Column:
+    """The page without script, style, noscript, pre, code, samp and kbd blocks."""
+    return _per_page(html, _stripped, StringType())
 
 
 def listing_cards(html: Column | str, base_url: str = fv.BLOG_BASE_URL) -> Column:
     """Raw pieces of every article card of a listing page."""
     base = base_url.rstrip("/")
-
-    @F.pandas_udf(CARD_TYPE)
-    def udf(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda page: _cards(page, base), na_action="ignore")
-
-    return udf(as_col(html))
+    return _per_page(html, lambda page: _cards(page, base), CARD_TYPE)
 
 
 def post_cards(html: Column | str) -> Column:
     """Raw pieces of every post card of a snapshot."""
-
-    @F.pandas_udf(POST_TYPE)
-    def udf(pages: pd.Series) -> pd.Series:
-        return pages.map(_posts, na_action="ignore")
-
-    return udf(as_col(html))
+    return _per_page(html, _posts, POST_TYPE)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import ArrayType, StringType
 
@@ -101,14 +101,18 @@ def word_count(value: Column | str) -> Column:
     return F.regexp_count(as_col(value), F.lit(WORD))
 
 
-@F.pandas_udf(StringType())
-def _unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
+@F.arrow_udf(StringType())
+def _unescape(texts: pa.Array) -> pa.Array:
+    return pa.array([None if t is None else html.unescape(t) for t in texts.to_pylist()], pa.string())
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def _unescape_all(lists: pd.Series) -> pd.Series:
-    return lists.map(lambda xs: [x if x is None else html.unescape(x) for x in xs], na_action="ignore")
+@F.arrow_udf(ArrayType(StringType()))
+def _unescape_all(lists: pa.Array) -> pa.Array:
+    def decode(texts):
+        return [None if t is None else html.unescape(t) for t in texts]
+
+    decoded = [None if texts is None else decode(texts) for texts in lists.to_pylist()]
+    return pa.array(decoded, pa.list_(pa.string()))
 
 
 def decode_entities(value: Column | str, source: Column | str | None = None) -> Column:
