@@ -105,6 +105,6 @@ def page_bodies(pages: DataFrame, html: str = "html", body: str = "body") -> Dat
     Parser output and joined text are columns of their own, so that each is computed once.
     """
     kept = [c for c in pages.columns if c != html]
-    parsed = pages.select(*kept, paragraphs(html).alias("_paragraphs"))
+    parsed = pages.select(*kept, paragraphs(nonempty(html)).alias("_paragraphs"))
     joined = parsed.select(*kept, join_paragraphs("_paragraphs").alias("_text"))
     return joined.select(*kept, article_clean("_text").alias(body))
