@@ -60,13 +60,15 @@ def _first_match(line: Column, rules) -> Column:
     return out
 
 
-def description_sections(description: Column | str) -> Column:
-    """Responsibilities, skills and requirements of a description, as one struct.
+def tagged_lines(description: Column | str) -> Column:
+    """Lines of a description with the section they belong to ('R', 'S', 'Q' or null), in
+    order; heading and blank lines are left out.
 
     A heading line opens a section, a blank line closes it, other lines go to the open
     section or, outside any, are routed by hint words. Heading and blank lines become empty
     lines plus a code letter; as no other line is empty, splitting at empty lines yields one
-    block per section, with its code in front.
+    block per section, with its code in front. The state is thus carried forward without a
+    window and without a running aggregate.
     """
 
     def mark(line: Column) -> Column:
@@ -92,6 +94,13 @@ def description_sections(description: Column | str) -> Column:
             ),
         )
 
+    return F.flatten(F.transform(blocks, tag))
+
+
+def description_sections(description: Column | str) -> Column:
+    """Responsibilities, skills and requirements of a description, as one struct; the first of
+    equal lines (ignoring case) counts."""
+
     def collect(tagged: Column) -> Column:
         def section(code: str) -> Column:
             mine = F.filter(tagged, lambda t: t["code"] == code)
@@ -103,7 +112,7 @@ def description_sections(description: Column | str) -> Column:
             section("Q").alias("requirements"),
         )
 
-    return let(F.flatten(F.transform(blocks, tag)), collect)
+    return let(tagged_lines(description), collect)
 
 
 _PREFIXES = "^(?i)" + _any_of(fv.SKILL_PREFIXES)

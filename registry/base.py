@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gleanery import fixed_values as fv
 from gleanery.functions.text import WHITE_SPACE
-from gleanery.session import spread
+from gleanery.session import scratch_dir, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -30,6 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def work_folder(spark: SparkSession) -> str:
+    """A new folder for tables a query maintains."""
+    return f"{scratch_dir(spark).rstrip('/')}/work-{uuid.uuid4().hex}"
+
+
 def joined(column, sep: str = " | "):
     """Array to text, so that both engines compare the same thing."""
     return F.coalesce(F.array_join(column, sep), F.lit(""))

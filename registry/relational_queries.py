@@ -10,7 +10,7 @@ from gleanery.operators import dedupe, joins, limits, rows, search, tables
 from gleanery.session import spread
 from gleanery.sources.jobs import clean_terms, tag_query
 
-from .base import JOB_TEXT_SQL, big, collapse_sql, job_text, joined, query, strip_sql, table
+from .base import JOB_TEXT_SQL, big, collapse_sql, job_text, joined, query, strip_sql, table, work_folder
 
 KEYWORDS = ["ai", " The ", "tion", "%%%", "nothere"]
 
@@ -557,19 +557,45 @@ _UPSERT_CTES = """
     last_old as (select region_id, max(ord) as target from old where region_id is not null group by region_id)"""
 
 
-@query(
-    "m2_upsert",
-    f"""with {_UPSERT_CTES}
+_UPSERT_SQL = f"""with {_UPSERT_CTES}
     select o.ord, o.region_id, case when l.target is not null then f.article_text else o.article_text end as article_text, o.note
     from old o left join (last_old l join fresh f using (region_id)) on o.ord = l.target
     union all
     select f.ord + (select max(ord) + 1 from old), f.region_id, f.article_text, null from fresh f
-    where f.region_id not in (select region_id from last_old)""",
-)
+    where f.region_id not in (select region_id from last_old)"""
+
+
+@query("m2_upsert", _UPSERT_SQL)
 def m2_upsert(spark, sf_dir):
     return tables.upsert(*order_versions(spark, sf_dir))
 
 
+@query("m2_versioned_table", _UPSERT_SQL)
+def m2_versioned_table(spark, sf_dir):
+    stored, new = order_versions(spark, sf_dir)
+    root = work_folder(spark)
+    tables.write_next_version(spark, stored, root)
+    tables.upsert_table(spark, root, new, stored.schema)
+    return tables.read_table(spark, root, stored.schema)
+
+
+@query("k2_append_runs", "select doc_id, lang from documents union all select doc_id, lang from documents where lang = 'en'")
+def k2_append_runs(spark, sf_dir):
+    # A later run appends what it finds; nothing is de-duplicated.
+    found = docs(spark, sf_dir).select("doc_id", "lang")
+    path = work_folder(spark)
+    tables.append_rows(found, path)
+    tables.append_rows(found.where(F.col("lang") == "en"), path)
+    return spark.read.schema(found.schema).parquet(path)
+
+
+@query("u3_except_by_key", "select c_custkey from customer where c_custkey not in (select o_custkey from orders where o_orderstatus = 'P')")
+def u3_except_by_key(spark, sf_dir):
+    pending = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
+    ordered = pending.select(F.col("o_custkey").alias("c_custkey")).distinct()
+    return table(spark, sf_dir, "customer").select("c_custkey").join(ordered, "c_custkey", "left_anti")
+
+
 @query(
     "j4_changes_and_additions",
     f"""with {_UPSERT_CTES}

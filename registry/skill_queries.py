@@ -40,6 +40,18 @@ def x2_description_sections(spark, sf_dir):
     )
 
 
+@query(
+    "l7_section_state",
+    f"""with {JOB_DOCS_SQL}, {SECTIONS_SQL} select doc_id, line, coalesce(code, '-') as code, count(*)::bigint as n
+    from routed group by all""",
+)
+def l7_section_state(spark, sf_dir):
+    lines = job_docs(spark, sf_dir).select("doc_id", F.explode(s.tagged_lines("descr")).alias("t"))
+    return lines.groupBy(
+        "doc_id", F.col("t.line").alias("line"), F.coalesce("t.code", F.lit("-")).alias("code")
+    ).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
 @query(
     "x3_clean_skill_phrase",
     f"""with p as (

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import functions as F
 
 from gleanery import fixed_values as fv
 from gleanery.functions.urls import article_url
 from gleanery.operators import rows
 from gleanery.plans import blogs, feeds, jobs, posts, press
-from gleanery.session import scratch_dir, spread
+from gleanery.session import spread
 from gleanery.sources import feeds as feed_source
 from gleanery.sources import jobs as job_source
 from gleanery.sources import pages as page_source
@@ -31,6 +28,7 @@ from .base import (
     query,
     strip_sql,
     table,
+    work_folder,
 )
 
 
@@ -576,10 +574,6 @@ def s8_csv_bad_rows(spark, sf_dir):
 # ---- streams ----
 
 
-def _work_folder(spark) -> str:
-    return os.path.join(scratch_dir(spark), f"stream-{uuid.uuid4().hex}")
-
-
 def _event_stream(spark, sf_dir):
     path = f"{sf_dir}/events.parquet"
     schema = spark.read.parquet(path).schema
@@ -588,7 +582,7 @@ def _event_stream(spark, sf_dir):
 
 
 def _run(spark, stream):
-    folder = _work_folder(spark)
+    folder = work_folder(spark)
     streams.append_stream(stream, f"{folder}/rows", f"{folder}/state").awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
 
@@ -610,7 +604,7 @@ def t1_stream_unseen_in_watermark(spark, sf_dir):
     f"""with {_ENTRY_SQL}, {_MATCH_SQL} select ord, entry_pos, entry_title, article_text from m where contains(lower(body), 'ai')""",
 )
 def t3_stream_feed_scan(spark, sf_dir):
-    folder = _work_folder(spark)
+    folder = work_folder(spark)
     feed_docs(spark, sf_dir).select("xml_url", "raw").write.parquet(f"{folder}/docs")
     arriving = streams.feed_documents(spark, f"{folder}/docs")
     found = streams.scan_feed_stream(arriving, feed_list(spark, sf_dir))
@@ -626,7 +620,7 @@ def t2_stream_ingest(spark, sf_dir):
     from gleanery.operators.dedupe import first_wins
     from gleanery.operators.tables import read_table
 
-    folder = _work_folder(spark)
+    folder = work_folder(spark)
     schema = "ord bigint, region_id string, article_text string"
 
     def to_rows(batch, existing):

@@ -38,7 +38,7 @@ def test_filters_reach_the_scan(spark):
 
 @pytest.mark.parametrize("name", sorted(registered.queries()))
 def test_no_cartesian_or_nested_loop(spark, name):
-    if name.startswith(("t1", "t2", "t3", "flow_blog", "flow_posts", "d6")):
+    if name.startswith(("t1", "t2", "t3", "flow_blog", "flow_posts", "d6", "k2", "m2_versioned")):
         pytest.skip("runs jobs while it is built; covered elsewhere")
     text = plan(registered.queries()[name](spark, SF))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
