@@ -93,8 +93,13 @@ _ZONES = {
 }
 
 
+def _utc_day(moment: Column) -> Column:
+    """UTC day of a timestamp, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(moment) / 86_400).cast("int"))
+
+
 def _mail_date(text: Column) -> Column:
-    """Mail date, with or without weekday, seconds and zone; as a UTC timestamp."""
+    """Mail date, with or without weekday, seconds and zone; as a timestamp (no zone is UTC)."""
     shape = rf"^(\d{{1,2}}) ({_MONTH}) (\d{{4}}|\d{{2}}) (\d{{1,2}}:\d{{2}})(:\d{{2}})?(?: (\S+))?$"
     bare = F.regexp_replace(text, _WEEKDAY, "")
 
@@ -116,24 +121,25 @@ def _mail_date(text: Column) -> Column:
     return F.when(bare.rlike(shape), F.try_to_timestamp(stamp, F.lit("d MMM yyyy H:m:s Z")))
 
 
-def feed_timestamp(value: Column | str) -> Column:
-    """Feed date text as a UTC timestamp: mail date, ISO with offset, ISO with blank, ISO
-    day; else null."""
+def feed_day(value: Column | str) -> Column:
+    """UTC day of a feed date text: mail date, ISO with offset, ISO with blank, ISO day; else
+    null. Texts without offset count as UTC."""
 
     def parse(text: Column) -> Column:
         zoned = F.regexp_replace(F.regexp_replace(text, r"Z$", "+0000"), r"([+-]\d{2}):(\d{2})$", "$1$2")
         no_fraction = F.regexp_replace(zoned, r"(T\d{1,2}:\d{1,2}:\d{1,2})\.\d+", "$1")
-        return F.coalesce(
+        with_offset = F.coalesce(
             _mail_date(text),
             F.when(
                 no_fraction.rlike(rf"^{_ISO_DAY}T{_CLOCK}[+-]\d{{4}}$"),
                 F.try_to_timestamp(no_fraction, F.lit("yyyy-M-d'T'H:m:sXX")),
             ),
-            F.when(
-                text.rlike(rf"^{_ISO_DAY} {_CLOCK}$"),
-                F.try_to_timestamp(text, F.lit("yyyy-M-d H:m:s")),
-            ),
-            _day(text, rf"^{_ISO_DAY}$", "yyyy-M-d").cast("timestamp"),
+        )
+        plain = F.when(
+            text.rlike(rf"^{_ISO_DAY} {_CLOCK}$"), F.try_to_timestamp(text, F.lit("yyyy-M-d H:m:s"))
+        )
+        return F.coalesce(
+            _utc_day(with_offset), plain.cast("date"), _day(text, rf"^{_ISO_DAY}$", "yyyy-M-d")
         )
 
     return let(strip(as_col(value)), parse)
@@ -141,5 +147,5 @@ def feed_timestamp(value: Column | str) -> Column:
 
 def feed_date(*values: Column | str) -> Column:
     """First parsable date of the values as ``dd/MM/yyyy``, else ''."""
-    parsed = F.coalesce(*[feed_timestamp(v) for v in values])
+    parsed = F.coalesce(*[feed_day(v) for v in values])
     return F.coalesce(F.date_format(parsed, "dd/MM/yyyy"), F.lit(""))

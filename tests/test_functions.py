@@ -92,6 +92,18 @@ def test_feed_date(each):
     assert each(dates.feed_date, raw) == want
 
 
+def test_feed_days_are_utc_in_any_session(spark, each):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Auckland")
+    try:
+        raw = ["Mon, 06 May 2024 23:30:00 GMT", "2024-05-06T23:30:00-05:00", "2024-05-06 23:30:00", "2024-05-06"]
+        assert each(dates.feed_date, raw) == ["06/05/2024", "07/05/2024", "06/05/2024", "06/05/2024"]
+        assert each(dates.parse_year, ["2024-01-01T00:00:00Z", "31 Dec 2023"]) == [2024, 2023]
+        assert each(dates.iso_date, ["1/1/2024"]) == ["2024-01-01"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_feed_date_takes_first_parsable(one):
     assert one(dates.feed_date("a", "b"), "a string, b string", "junk", "2024-01-02") == "02/01/2024"
 
