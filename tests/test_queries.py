@@ -7,8 +7,8 @@ import __spark_entry__ as registered
 from .oracle import compare, make_duckdb
 
 SF = "/root/testdata/sf0.001"
-QUERIES = registered.queries()
-SQL = registered.oracle_sql()
+QUERIES = registered.registry.QUERIES
+SQL = registered.registry.SQL
 
 
 @pytest.fixture(scope="module")
