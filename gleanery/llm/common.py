@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gleanery.session import materialize, scratch_dir
 
-__all__ = ["materialize", "pick", "row_key", "scratch_dir"]
+__all__ = ["materialize", "parts", "pick", "row_key", "scratch_dir"]
 
 
 def pick(df: DataFrame, *names: str, **renamed: str) -> DataFrame:
@@ -27,3 +32,13 @@ def row_key(*columns: str | Column) -> Column:
         c = (F.col(c) if isinstance(c, str) else c).cast("string")
         parts += [F.when(c.isNull(), F.lit("n")).otherwise(F.concat(F.length(c).cast("string"), F.lit(":"))), c]
     return F.md5(F.concat_ws("", *parts))
+
+
+def parts(batch: pa.RecordBatch, text: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of about ``size`` bytes of a text column, at least one row each."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(np.diff(np.cumsum(lengths, dtype=np.int64) // size)) + 1 if batch.num_rows else np.empty(0, int)
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+        if b > a:
+            yield batch.slice(a, b - a)
+

@@ -8,6 +8,7 @@ against the total length, and the chunked transfer framing of the joined block i
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -15,7 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import materialize, pick, scratch_dir
+from .common import materialize, parts, pick, scratch_dir
 
 VERSION = b"WARC/1.1"
 END = "\r\n\r\n"
@@ -141,27 +142,31 @@ def write_archives(
 ) -> None:
     """Write archives of about ``archive_bytes`` to a folder, in any place that Spark can write to.
 
-    A payload of which the framed block is longer than ``segment_bytes`` becomes a first segment and
-    continuation records, which may lie in other archives than the first.
+    Archives are compressed files. A payload of which the framed block is longer than ``segment_bytes`` becomes a
+    first segment and continuation records, which may lie in other archives than the first.
     """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, order = [], []
-            for row in batch.to_pylist():
-                for k, piece in enumerate(_records(row, segment_bytes, chunk_bytes)):
-                    out.append(piece)
-                    order.append(f"{row['rec']}/{k}")
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(order, pa.string())], ["record", "part"])
-
-    total = plan.agg(F.sum("payload_bytes")).first()[0] or 0
-    archives = int(total // archive_bytes) + 1
-    wanted = plan.select("rec", "record_type", "refers_rec")
-    rows = digested(pages).drop("page_id").dropDuplicates(["rec"]).join(wanted, "rec")
-    built = rows.mapInArrow(build, "record binary, part string")
-    # Segments are dealt out by their own names, so that one long payload does not fill one archive.
-    spread = built.repartition(archives, "part").select(F.col("record").cast("string").alias("value"))
-    spread.write.option("lineSep", END).text(path)
+            for part in parts(batch, "payload", 4 << 20):
+                out = [(x, f"{r['rec']}/{k}") for r in part.to_pylist() for k, x in enumerate(_records(r, segment_bytes, chunk_bytes))]
+                columns = [pa.array([x for x, _ in out], pa.binary()), pa.array([n for _, n in out], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["record", "part"])
+
+    long = F.col("payload_bytes") > segment_bytes
+    sizes = plan.groupBy(long.alias("long")).agg(F.sum("payload_bytes").alias("total")).collect()
+    if not sizes:
+        plan.select(F.col("rec").alias("value")).write.text(path)
+    for size in sizes:
+        archives = int(size.total // archive_bytes) + 1
+        wanted = plan.where(long if size.long else ~long).select("rec", "record_type", "refers_rec")
+        rows = digested(pages).where(long if size.long else ~long).drop("page_id").repartition(archives, "rec")
+        built = rows.dropDuplicates(["rec"]).join(wanted, "rec").mapInArrow(build, "record binary, part string")
+        if size.long:
+            # Segments are dealt out by their own names, so that one long payload does not fill one archive.
+            built = built.repartition(archives, "part")
+        lines = built.select(F.col("record").cast("string").alias("value"))
+        lines.write.mode("append").option("lineSep", END).option("compression", "gzip").text(path)
 
 
 def _records(row: dict, segment_bytes: int, chunk_bytes: int) -> Iterator[bytes]:
@@ -192,6 +197,10 @@ def _records(row: dict, segment_bytes: int, chunk_bytes: int) -> Iterator[bytes]
         yield record(b"continuation", name + b":segment:%d" % k, piece, (b"WARC-Target-URI", url), origin, number, *total)
 
 
+def _unpacked(content: bytes) -> bytes:
+    return gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
+
+
 RAW = "rec string, record_type string, refers_rec string, segment int, total long, digest string, block binary"
 
 
@@ -209,7 +218,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 rows = []
-                for fields, block in records_of(content.as_py()):
+                for fields, block in records_of(_unpacked(content.as_py())):
                     number, total = fields.get(b"warc-segment-number"), fields.get(b"warc-segment-total-length")
                     rows.append(
                         {
@@ -222,7 +231,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                             "block": block,
                         }
                     )
-                    if len(rows) == 1000:
+                    if len(rows) == 200:
                         yield pa.RecordBatch.from_pylist(rows, schema)
                         rows = []
                 yield pa.RecordBatch.from_pylist(rows, schema)
@@ -234,12 +243,13 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 READ = "rec string, record_type string, refers_rec string, payload_bytes long, payload_digest string, payload binary"
 
 
-def reassemble(records: DataFrame) -> DataFrame:
+def reassemble(records: DataFrame, payloads: bool = True) -> DataFrame:
     """One row per whole record: rec, record_type, refers_rec, payload_bytes, payload_digest, payload.
 
     Segments of one origin meet by their identifier and are joined in the order of their numbers; a missing
     segment, a wrong total length or a digest that does not fit the payload is an error. A revisit record has no
-    payload; its length is unknown here (null) and its digest is the one in its head.
+    payload; its length is unknown here (null) and its digest is the one in its head. Without ``payloads`` the
+    payload column is null: lengths and digests are taken of each payload where it is decoded.
     """
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,7 +258,9 @@ def reassemble(records: DataFrame) -> DataFrame:
              ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())]
         )
         for batch in batches:
-            yield pa.RecordBatch.from_pylist([_whole(x) for x in batch.to_pylist()], schema)
+            for at in range(0, batch.num_rows, 200):
+                rows = [_whole(x) for x in batch.slice(at, 200).to_pylist()]
+                yield pa.RecordBatch.from_pylist(rows if payloads else [x | {"payload": None} for x in rows], schema)
 
     single = records.where("segment is null").select(
         "rec", "record_type", "refers_rec", "digest", F.lit(None).cast("long").alias("total"),
@@ -301,7 +313,7 @@ def archive_round_trip(pages: DataFrame, least_bytes: int = 1000, **sizes: int)
     plan = materialize(plan_records(pages, least_bytes))
     path = f"{scratch_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     write_archives(pages, plan, path, **sizes)
-    read = materialize(reassemble(read_records(spark, path)).drop("payload"))
+    read = materialize(reassemble(read_records(spark, path), payloads=False).drop("payload"))
     lengths = read.where("record_type = 'response'").select(F.col("rec").alias("refers_rec"), F.col("payload_bytes").alias("full_bytes"))
     pages_of = plan.select("rec", "page_id", "n")
     found = read.join(pages_of, "rec").join(lengths, "refers_rec", "left")
