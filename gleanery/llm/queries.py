@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 
-from . import licences, line_spread, projections, topk, warc
+from . import bpe, licences, line_spread, packing, projections, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -102,3 +103,14 @@ def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_collision_dedup")
 def op10_collision_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projections.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op6_bpe_round_trip")
+def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    return bpe.encode_report(table(spark, sf_dir, "documents"), path, pattern)
+
+
+@query("op8_best_fit_packing")
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
