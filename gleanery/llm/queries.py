@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licences, line_spread, minhash, packing, projections, topk, toxicity, warc
+from . import bpe, licences, line_spread, minhash, packing, projections, repeats, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -124,3 +124,8 @@ def op3_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_minhash_dedup")
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, per_cent=85)
+
+
+@query("op1_run_index_dedup")
+def op1_run_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats_report(table(spark, sf_dir, "documents"))
