@@ -30,45 +30,59 @@ GROUP = 32_768
 _PLAIN = re.compile(r"[\t\n\r -~\xa0-įĲ-ɏ]*")
 
 
+class _Bytes(dict):
+    """The letters that stand for the bytes of a character in the tokenizer's vocabulary."""
+
+    def __init__(self):
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.level = ByteLevel(add_prefix_space=False, use_regex=False)
+
+    def __missing__(self, char: int) -> str:
+        self[char] = found = self.level.pre_tokenize_str(chr(char))[0][0]
+        return found
+
+
+class _Words(dict):
+    """Ids of lower-case words between white space, remembered."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.tokenize, self.bytes = tokenizer, tokenizer.model.tokenize, _Bytes()
+
+    def __missing__(self, word: str) -> bytes:
+        if word.isalpha():  # one run of letters: straight to the tokenizer's merges
+            ids = [t.id for t in self.tokenize(word if word.isascii() else word.translate(self.bytes))]
+            found = np.array(ids, "<u4").tobytes()
+        elif word[-1] in MARKS and word[:-1].isalpha():  # a mark behind letters is a run of its own
+            found = self[word[:-1]] + self[word[-1]]
+        else:
+            found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(self) > REMEMBERED:
+            self.clear()
+        if len(word) <= 100:
+            self[word] = found
+        return found
+
+
 class Tokens:
-    """Ids of whole texts by a tokenizer file, remembering the ids of words between white space."""
+    """Ids of whole texts by a tokenizer file."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        self.words = _Words(self.tokenizer)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids as little-endian unsigned 32-bit integers, as the tokenizer gives them for the whole texts.
+    def encode(self, text: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers, as the tokenizer gives them for the whole text.
 
         White space never lies within a token of this tokenizer, so plain texts are encoded word by word. Texts with
         other characters (which may need composition) or with a special token go to the tokenizer as a whole.
         """
-        plain = [bool(_PLAIN.fullmatch(x)) and not any(s in x for s in self.special) for x in texts]
-        cut = [x.lower().split() if p else () for x, p in zip(texts, plain)]
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        missing = set().union(*cut).difference(self.words)
-        # A mark behind a letter is a token run of its own: the word before it is what has to be known.
-        marked = {w: w[:-1] for w in missing if w[-1] in MARKS and w[-2:-1].isalpha()}
-        unknown = list(missing.difference(marked).union(marked.values(), MARKS).difference(self.words))
-        for at in range(0, len(unknown), 10_000):
-            part = unknown[at : at + 10_000]
-            self.words.update(zip(part, self._ids(part)))
-        self.words.update([(w, self.words[core] + self.words[w[-1]]) for w, core in marked.items()])
-        get = self.words.__getitem__
-        out = [b"".join(map(get, x)) for x in cut]
-        for word in [w for w in missing.union(unknown) if len(w) > 100]:
-            del self.words[word]
-        for i in [i for i, p in enumerate(plain) if not p]:
-            out[i] = self._ids([texts[i]])[0]
-        return out
+        if _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
+            return b"".join(map(self.words.__getitem__, text.lower().split()))
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -92,8 +106,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0) ->
             for part in parts(batch, "text", TOGETHER):
                 rows = []
                 names = part.column("doc_id").to_pylist()
-                for name, ids in zip(names, own.encode([x.as_py() or "" for x in part.column("text")])):
-                    ids += end
+                for name, text in zip(names, part.column("text")):
+                    ids = own.encode(text.as_py() or "") + end
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         piece = ids[at : at + 4 * capacity]
                         rows.append((name, k, at // 4, len(piece) // 4, zlib.crc32(piece)))
