@@ -50,11 +50,11 @@ def widespread(pairs: DataFrame, min_sites: int) -> DataFrame:
 
 
 def drop_widespread_lines(
-    docs: DataFrame, min_sites: int = 10, max_share: float = 0.5, site: str = "source"
+    docs: DataFrame, min_sites: int = 10, max_share: float = 0.5, site: str = "source", keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """``docs`` with lines that stand on ``min_sites`` or more sites taken out of ``text``.
 
-    Result: doc_id, text (kept lines joined by newlines), n_lines, n_removed, for each row of ``docs``.
+    Result: doc_id, text (kept lines joined by newlines), the ``keep`` columns, n_lines, n_removed, for each row of ``docs``.
     Lines are compared in their normal form; blank lines are never removed and belong to no count of
     removed lines. A document of which more than ``max_share`` of the characters would go is a copy
     rather than a page with furniture around it: it stays whole, for near-duplicate removal to judge.
@@ -67,7 +67,7 @@ def drop_widespread_lines(
     a third of all rows carry costs a row per task and site. The join of lines with the widespread ones
     has one row per line on its right side; Spark splits its large partitions.
     """
-    docs = pick(docs, "doc_id", "text", site=site)
+    docs = pick(docs, "doc_id", "text", *keep, site=site)
     hashed = _hashed(docs)
     pairs = materialize(hashed.where("site is not null").select("a", "b", "site").distinct())
     bad = widespread(pairs, min_sites).withColumn("bad", F.lit(True))
@@ -88,6 +88,7 @@ def drop_widespread_lines(
     return marked.select(
         "doc_id",
         F.when(F.col("drop").isNull() | whole, F.col("text")).otherwise(F.col("cut")).alias("text"),
+        *keep,
         F.greatest(F.coalesce(F.size("lines"), F.lit(0)), F.lit(0)).cast("long").alias("n_lines"),
         F.when(F.col("drop").isNull() | whole, F.lit(0))
         .otherwise(F.size("lines") - F.size("kept"))

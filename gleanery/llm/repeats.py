@@ -338,15 +338,19 @@ def removed_runs(spans: list[dict] | None, length: int) -> np.ndarray:
     return np.stack([rows[first, 0], reach[np.r_[first[1:], len(rows)] - 1]], axis=1)
 
 
-REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, removed binary"
+REMOVED = "n_bytes long, n_removed long, n_spans long, kept binary, removed binary"
 
 
-def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, length: int = 400, keep: tuple[str, ...] = (), whole_characters: bool = False
+) -> DataFrame:
     """Whole texts as UTF-8 bytes without those covered by a ``length``-byte string that starts anywhere else too.
 
-    Result, a row for each row of ``docs``: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept (the remaining
-    bytes), removed (the runs as pairs of little-endian 64-bit integers: start, end). Every copy is removed, the first
-    one too; strings may overlap, may stand in the same document, and never cross documents; they are judged on the input.
+    Result, a row for each row of ``docs``: doc_id, the ``keep`` columns, n_bytes, n_removed, n_spans (maximal removed runs),
+    kept (the remaining bytes), removed (the runs as pairs of little-endian 64-bit integers: start, end). Every copy is
+    removed, the first one too; strings may overlap, may stand in the same document, and never cross documents; they are
+    judged on the input. With ``whole_characters`` a run gives up a character at its edge of which it does not cover
+    all bytes, so the remaining bytes are text.
 
     Defined cases: a null text is empty; texts shorter than ``length`` stay whole; a row that repeats is a document of its
     own, so its strings of ``length`` bytes stand more than once; an empty table gives an empty result; other columns
@@ -356,27 +360,32 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     distinct context whose key occurs again, and each document twice, by its row. An index holds a bounded number of
     bytes; a key with more (a passage in very many different documents) is settled by the digests of its strings.
     """
-    docs = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    docs = pick(docs, "doc_id", "text", *keep).withColumn("text", F.coalesce("text", F.lit("")))
     docs = docs.select(
-        "doc_id", F.col("text").cast("binary").alias("data"),
+        F.col("doc_id").cast("long"), *keep, F.col("text").cast("binary").alias("data"),
         F.xxhash64("doc_id", "text").alias("r1"), F.xxhash64(F.lit("row"), "text", "doc_id").alias("r2"),
     )
     spans = repeated_spans(docs.select("r1", "r2", "data"), length)
+    names = ["doc_id", *keep]
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in parts(batch, "data", 4 * TOGETHER):
-                rows = [_without(*x, length) for x in zip(*(part.column(c).to_pylist() for c in ("data", "spans")))]
+                both = zip(*(part.column(c).to_pylist() for c in ("data", "spans")))
+                rows = [_without(data, removed_runs(found, length), whole_characters) for data, found in both]
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-                names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "removed"]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=names)
+                given = [part.column(c) for c in names]
+                yield pa.RecordBatch.from_arrays(given + columns, names=[*names, *("n_bytes n_removed n_spans kept removed".split())])
 
-    return docs.join(spans, ["r1", "r2"], "left").select("doc_id", "data", "spans").mapInArrow(remove, REMOVED)
+    joined = docs.join(spans, ["r1", "r2"], "left").select(*names, "data", "spans")
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.select(*names).schema.fields)
+    return joined.mapInArrow(remove, f"{ddl}, {REMOVED}")
 
 
-def _without(data: bytes, spans: list[dict] | None, length: int) -> tuple:
-    runs = removed_runs(spans, length)
+def _without(data: bytes, runs: np.ndarray, whole_characters: bool) -> tuple:
+    if whole_characters and len(runs):
+        runs = _aligned(data, runs)
     kept, at = [], 0
     for a, b in runs.tolist():
         kept.append(data[at:a])
@@ -385,6 +394,19 @@ def _without(data: bytes, spans: list[dict] | None, length: int) -> tuple:
     return len(data), int((runs[:, 1] - runs[:, 0]).sum()), len(runs), b"".join(kept), runs.astype("<i8").tobytes()
 
 
+def _aligned(data: bytes, runs: np.ndarray) -> np.ndarray:
+    """Runs that begin and end between characters, within the given ones."""
+    out = []
+    for a, b in runs.tolist():
+        while a < b and data[a] & 0xC0 == 0x80:
+            a += 1
+        while b > a and b < len(data) and data[b] & 0xC0 == 0x80:
+            b -= 1
+        if a < b:
+            out.append((a, b))
+    return np.array(out, np.int64).reshape(-1, 2)
+
+
 def repeats_report(docs: DataFrame, length: int = 400) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of :func:`remove_repeats`."""
     out = remove_repeats(docs, length)
