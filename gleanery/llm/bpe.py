@@ -9,6 +9,7 @@ come up.
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
@@ -23,11 +24,11 @@ from .common import parts, pick
 #: A run without white space, with the one space before it, or a run of white space as the tokenizers' pattern cuts it.
 _CHUNK = regex.compile(r" ?\S+|\s+(?!\S)|\s+")
 #: Remembered chunks and pre-tokens in each Python worker.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Pre-tokens up to this many bytes are encoded many at a time; longer ones alone, and not remembered.
 SHORT = 64
 #: Characters of text that are encoded together.
-TOGETHER = 16 << 20
+TOGETHER = 4 << 20
 
 
 class RankQueue:
@@ -274,11 +275,20 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def encode_report(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of :func:`encode_documents`."""
-    out = encode_documents(docs, path, pattern)
-    return out.select(
-        "doc_id",
-        F.expr("octet_length(ids) div 4").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: what :func:`encode_documents` gives, digested where it is made."""
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(path, pattern)
+        for batch in batches:
+            for part in parts(batch, "text", TOGETHER):
+                ids = own.encode([x.as_py() or "" for x in part.column("text")])
+                columns = [
+                    part.column("doc_id"),
+                    pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                    pa.array([hashlib.sha256(own.decode(x)).hexdigest() for x in ids], pa.string()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
+    return rows.mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -74,7 +74,7 @@ class Scanner:
         sets = [(name, bigrams(text)) for name in sorted(templates) for text in templates[name]]
         self.templates = sorted(((len(b), name, b) for name, b in sets if b), key=lambda x: x[:2])
         self.threshold = threshold
-        factor = (2 - threshold) / threshold
+        factor = (2 - threshold) / threshold * (1 + 1e-9)  # rounded up: bounds never cost a match
         self.least = min((n for n, _, _ in self.templates), default=0) / factor
         self.most = max((n for n, _, _ in self.templates), default=0) * factor
         self.factor = factor
