@@ -243,7 +243,6 @@ DEFAULT_TITLE_QUERY = (
 WORK_TYPES = ["1", "2", "3"]
 CONTRACT_TYPES = ["F", "P", "C", "T", "I", "V"]
 EXPERIENCE_LEVELS = ["1", "2", "3", "4", "5"]
-MAX_JOB_ROWS = 1000
 
 # Blog listing.
 BLOG_COLUMNS = [

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from .. import fixed_values as fv
-from .text import SPACES, as_col, let, nonempty, or_empty, strip
+from .text import SPACES, as_col, let, nonempty, or_empty, string_map, strip
 
 _WEEKDAY = r"^(?i:mon|tue|wed|thu|fri|sat|sun)[a-z]*,\s*"
 _MONTH = (
@@ -102,23 +102,26 @@ def _mail_date(text: Column) -> Column:
     """Mail date, with or without weekday, seconds and zone; as a timestamp (no zone is UTC)."""
     shape = rf"^(\d{{1,2}}) ({_MONTH}) (\d{{4}}|\d{{2}}) (\d{{1,2}}:\d{{2}})(:\d{{2}})?(?: (\S+))?$"
     bare = F.regexp_replace(text, _WEEKDAY, "")
+    # All parts by one match, with a separator that no date holds.
+    cut = F.split(F.regexp_replace(bare, shape, "\x01".join(["", *(f"${i}" for i in range(1, 7))])), "\x01")
 
-    def part(i: int) -> Column:
-        return F.regexp_extract(bare, shape, i)
+    def moment(parts: Column) -> Column:
+        def part(i: int) -> Column:
+            return F.get(parts, F.lit(i))
 
-    year = F.when(F.length(part(3)) == 4, part(3)).otherwise(
-        F.concat(F.when(part(3) >= "69", F.lit("19")).otherwise(F.lit("20")), part(3))
-    )
-    zone = F.upper(part(6))
-    offset = F.when(zone.rlike(r"^[+-]\d{4}$"), zone)
-    for name, shift in _ZONES.items():
-        offset = offset.when(zone == name, F.lit(shift))
-    offset = offset.otherwise(F.lit("+0000"))
-    seconds = F.coalesce(nonempty(part(5)), F.lit(":00"))
-    stamp = F.concat_ws(
-        " ", part(1), F.substring(part(2), 1, 3), year, F.concat(part(4), seconds), offset
-    )
-    return F.when(bare.rlike(shape), F.try_to_timestamp(stamp, F.lit("d MMM yyyy H:m:s Z")))
+        year = F.when(F.length(part(3)) == 4, part(3)).otherwise(
+            F.concat(F.when(part(3) >= "69", F.lit("19")).otherwise(F.lit("20")), part(3))
+        )
+        zone = F.upper(part(6))
+        known = F.try_element_at(string_map(_ZONES), zone)
+        offset = F.coalesce(F.when(zone.rlike(r"^[+-]\d{4}$"), zone), known, F.lit("+0000"))
+        seconds = F.coalesce(nonempty(part(5)), F.lit(":00"))
+        stamp = F.concat_ws(
+            " ", part(1), F.substring(part(2), 1, 3), year, F.concat(part(4), seconds), offset
+        )
+        return F.when(F.size(parts) == 7, F.try_to_timestamp(stamp, F.lit("d MMM yyyy H:m:s Z")))
+
+    return let(cut, moment)
 
 
 def feed_day(value: Column | str) -> Column:

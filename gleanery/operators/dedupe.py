@@ -27,7 +27,7 @@ def first_n(df: DataFrame, keys: str | Sequence[str], order: Sequence[Column], n
 
 
 def first_wins(df: DataFrame, keys: str | Sequence[str], order: Order) -> DataFrame:
-    """The first row of each key in the given order."""
+    """The first row of each key in the given order. Null counts as a key."""
     return first_n(df, keys, [F.col(c).asc() for c in _names(order)], 1)
 
 
@@ -38,10 +38,10 @@ def last_wins(df: DataFrame, keys: str | Sequence[str], order: Order) -> DataFra
 
 def dedupe_jobs(jobs: DataFrame, order: Order = "ord") -> DataFrame:
     """First job of equal link, title, company and location, letter case ignored."""
-    parts = ("url", "title", "company", "location")
-    keyed = jobs.withColumns({f"_key_{c}": F.lower(or_empty(c)) for c in parts})
-    keys = [f"_key_{c}" for c in parts]
-    return first_wins(keyed, keys, order).drop(*keys)
+    parts = [F.lower(or_empty(c)) for c in ("url", "title", "company", "location")]
+    # A digest stands for the texts in the shuffle; lengths keep the parts apart.
+    digest = F.sha2(F.concat_ws("|", *[F.length(p).cast("string") for p in parts], *parts), 256)
+    return first_wins(jobs.withColumn("_digest", digest), "_digest", order).drop("_digest")
 
 
 def dedupe_text(df: DataFrame, text: str, order: Order) -> DataFrame:

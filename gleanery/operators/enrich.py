@@ -35,17 +35,18 @@ def build_requests(
     order: str = "ord",
     partition_by: Sequence[str] = (),
     size: int = fv.TEXTS_PER_REQUEST,
+    max_chars: int | None = None,
 ) -> DataFrame:
     """One row per request: ``batch_id``, ``member_ids`` in order and the ``prompt``.
 
-    ``kind`` is 'skills' or 'insights'. Texts are cut before they are shuffled.
+    ``kind`` is 'skills' or 'insights'. Whole texts go into the prompt; where the service has a
+    limit, ``max_chars`` cuts them before they are shuffled.
     """
     body = strip(or_empty(text))
-    cut = F.substring(body, 1, fv.MAX_REQUEST_CHARS)
+    cut = body if max_chars is None else F.substring(body, 1, max_chars)
     if kind == "skills":
-        shown = F.when(body == "", F.lit(fv.NO_DESCRIPTION)).when(
-            F.length(body) > fv.MAX_REQUEST_CHARS, F.concat(cut, F.lit("..."))
-        ).otherwise(cut)
+        over = F.lit(False) if max_chars is None else F.length(body) > max_chars
+        shown = F.when(body == "", F.lit(fv.NO_DESCRIPTION)).when(over, F.concat(cut, F.lit("..."))).otherwise(cut)
         head, sep, label = fv.SKILL_REQUEST_TEXT + "\n\n", "\n\n", lambda i: F.concat(i, F.lit(". "))
     elif kind == "insights":
         shown = cut
@@ -69,21 +70,22 @@ def build_requests(
 
 
 def answer_requests(requests: DataFrame, answer: Callable[[str], str | None], keys: Sequence[str] = ("batch_id",)) -> DataFrame:
-    """Run a function over the prompts, batch by batch inside the tasks. A failing call gives
-    a null answer."""
+    """Run a function over the prompts, batch by batch inside the tasks: ``raw`` is the answer, ``error``
+    the message of a call that failed, whose answer is null."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def safe(prompt):
+        def called(prompt):
             try:
-                return answer(prompt)
-            except Exception:
-                return None
+                return answer(prompt), None
+            except Exception as failure:
+                return None, f"{type(failure).__name__}: {failure}"
 
         for batch in batches:
-            yield batch[list(keys)].assign(raw=batch["prompt"].map(safe))
+            found = [called(p) for p in batch["prompt"]]
+            yield batch[list(keys)].assign(raw=[a for a, _ in found], error=[e for _, e in found])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in requests.schema.fields if f.name in keys]
-    return requests.select(*keys, "prompt").mapInPandas(run, ", ".join([*fields, "raw string"]))
+    return requests.select(*keys, "prompt").mapInPandas(run, ", ".join([*fields, "raw string", "error string"]))
 
 
 # ---- answers ----

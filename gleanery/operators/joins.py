@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import nonblank, or_empty
 from ..functions.urls import candidate_urls
-from .dedupe import last_wins
+from .dedupe import first_wins, last_wins
 
 
 def latest_by_id(df: DataFrame, key: str, order) -> DataFrame:
@@ -19,12 +19,25 @@ def latest_by_id(df: DataFrame, key: str, order) -> DataFrame:
     return last_wins(df.where(F.col(key).isNotNull() & (F.col(key) != "")), key, order)
 
 
-def inner_by_id(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    return left.join(right, key, "inner")
+def one_per_id(df: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """One row per key: the last in ``order``, or without an order the smallest row."""
+    others = [c for c in df.columns if c not in (key, order)]
+    return first_wins(df, key, others or key) if order is None else last_wins(df, key, order)
 
 
-def left_by_id(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    return left.join(right, key, "left")
+def inner_by_id(left: DataFrame, right: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """Rows of ``left`` with the one row of ``right`` that counts for their key."""
+    return left.join(one_per_id(right, key, order), key, "inner")
+
+
+def left_by_id(left: DataFrame, right: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """All rows of ``left``, with the one row of ``right`` that counts for their key, if any."""
+    return left.join(one_per_id(right, key, order), key, "left")
+
+
+def except_by_id(left: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """Rows of ``left`` whose key is not in ``done``."""
+    return left.join(done.select(key), key, "left_anti")
 
 
 def not_completed(hits: DataFrame, existing: DataFrame, key: str = "region_id") -> DataFrame:
@@ -40,27 +53,36 @@ def not_completed(hits: DataFrame, existing: DataFrame, key: str = "region_id")
     return hits.join(done, key, "left_anti")
 
 
-def by_row_id(records: DataFrame, results: DataFrame, key: str, column: str, default: Column) -> DataFrame:
-    """Attach results to records by row id; records without a result get the default."""
-    joined = records.join(results.select(key, F.col(column)), key, "left")
+def by_row_id(
+    records: DataFrame, results: DataFrame, key: str, column: str, default: Column, order: str | None = None
+) -> DataFrame:
+    """Attach results to records by row id; records without a result get the default.
+
+    Of several results of one id the last in ``order`` counts (without an order the largest).
+    """
+    one = F.max(column) if order is None else F.max_by(column, order)
+    joined = records.join(results.groupBy(key).agg(one.alias(column)), key, "left")
     return joined.withColumn(column, F.coalesce(F.col(column), default))
 
 
 def by_candidate_url(
-    articles: DataFrame, stored: DataFrame, *, url: str = "url", body: str = "body"
+    articles: DataFrame, stored: DataFrame, *, url: str = "url", body: str = "body", order: str | None = None
 ) -> DataFrame:
     """Attach the body of the first host variant of each article's link that is stored, else
-    ''. Links are unique on both sides.
+    ''. Of several stored pages of one link the last in ``order`` counts (without an order the
+    smallest body).
 
     Finding the variant joins links only; bodies are shuffled once, for the winners.
     """
-    stored = stored.select(F.col(url).alias("_page_url"), F.col(body).alias("_body"))
+    place = F.lit(0) if order is None else F.col(order)
+    stored = stored.select(F.col(url).alias("_page_url"), F.col(body).alias("_body"), place.alias("_place"))
+    one = F.min("_body") if order is None else F.max_by("_body", "_place")
     variants = articles.select(
         F.col(url).alias("_url"), F.posexplode(candidate_urls(url)).alias("_idx", "_page_url")
     )
     known = variants.join(stored.select("_page_url"), "_page_url")
     best = known.groupBy("_url").agg(F.min_by("_page_url", "_idx").alias("_page_url"))
-    found = best.join(stored, "_page_url").select(
+    found = best.join(stored, "_page_url").groupBy("_url", "_page_url").agg(one.alias("_body")).select(
         F.col("_url").alias(url), F.col("_page_url").alias("stored_url"), F.col("_body").alias(body)
     )
     return articles.join(found, url, "left").withColumns(

@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .. import fixed_values as fv
 from ..functions.arrays import preview_list
 from ..functions.text import nonempty
+from ..session import materialize
 from .dedupe import first_n
 
 # Rows a single task may number, and buckets a single task may add up, as powers of two.
 _ROW_BITS = 20
 _BUCKET_BITS = 22
-_SMALL_LIMIT = 100_000
 
 
 def row_index(
@@ -26,7 +26,8 @@ def row_index(
     Rows fall into buckets of neighbouring order values. As values are unique, a bucket holds
     at most 2**20 rows, also where one partition key holds most of the table. Bucket counts
     become offsets in two steps, over groups of 2**22 buckets and over the at most 2**22
-    groups, so every window is bounded.
+    groups, so every window is bounded. The input is read twice, for the counts and for the
+    rows: store a costly one first.
     """
     keys = list(partition_by)
     rows = df.withColumn("_bucket", F.shiftright(F.col(order).cast("bigint"), _ROW_BITS))
@@ -60,11 +61,39 @@ def row_index(
     )
 
 
-def first_rows(df: DataFrame, n: int, order: str) -> DataFrame:
-    """The first ``n`` rows in arrival order (a top-k; large limits go by row number)."""
-    if n <= _SMALL_LIMIT:
-        return df.orderBy(order).limit(n)
-    return row_index(df, order, "_idx").where(F.col("_idx") < n).drop("_idx")
+def first_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
+    """The first ``n`` rows in the order of any sortable columns, nulls first, for any ``n``.
+
+    Rows of equal order values are told apart by a hash of the whole row, so the choice is the same on every run, and
+    many equal values do not meet in one task. Order values and hashes alone are sorted, once, into ranges that are
+    counted; the range in which the n-th row lies gives the last key that is taken, and the rows are filtered by it.
+    Runs jobs when called.
+    """
+    columns = [F.col(c).alias(f"k{i}") for i, c in enumerate(order)]
+    key = F.struct(*columns, F.xxhash64(*df.columns).alias("row"))
+    ranges = df.select(key.alias("key")).repartitionByRange("key").withColumn("part", F.spark_partition_id())
+    keys = materialize(ranges)
+    before, part, rest = 0, None, 0
+    for row in keys.groupBy("part").count().orderBy("part").collect():  # a row for each partition
+        if before + row["count"] >= n:
+            part, rest = row["part"], n - before
+            break
+        before += row["count"]
+    if part is None:
+        return df
+    if rest <= 0:
+        return df.limit(0)
+    place = F.row_number().over(Window.partitionBy("part").orderBy("key"))
+    last = materialize(keys.where(F.col("part") == part).withColumn("n", place).where(F.col("n") == rest).select("key"))
+    cut = last.scalar()
+    rank = keys.where(F.col("part") == part).agg(
+        F.count(F.when(F.col("key") < cut, 1)).alias("less"), F.count(F.when(F.col("key") == cut, 1)).alias("same")
+    )
+    found = rank.first()
+    if rest - found["less"] == found["same"]:
+        return df.where(key <= cut)
+    # Rows that equal the last one in all columns: any of them will do.
+    return df.where(key < cut).unionByName(df.where(key == cut).limit(rest - found["less"]))
 
 
 def first_per_key(df: DataFrame, key: str, n: int, *order: str) -> DataFrame:
@@ -79,7 +108,7 @@ def batch_ids(
     numbered = row_index(df, order, "_idx", partition_by)
     return numbered.withColumns(
         {
-            "batch_id": F.floor(F.col("_idx") / size).cast("bigint"),
+            "batch_id": F.expr(f"_idx div {size}"),
             "batch_pos": F.col("_idx") % size,
         }
     ).drop("_idx")
@@ -104,21 +133,18 @@ def passes_until_idle(
     key: str,
     pass_col: str,
     max_idle: int = fv.MAX_IDLE_PASSES,
-    max_passes: int = fv.MAX_PASSES,
+    max_passes: int | None = None,
 ) -> DataFrame:
     """The passes that a run makes: it stops after ``max_idle`` passes in a row without a new
-    key, or after ``max_passes``.
+    key, or after ``max_passes`` if that is given.
 
-    ``passes`` holds one row per pass. Only per-pass counts, at most ``max_passes`` of them,
-    reach the ordered window.
+    ``passes`` holds one row per pass. Only per-pass counts reach the ordered window.
     """
     first_seen = sightings.groupBy(key).agg(F.min(pass_col).alias("_pass"))
     fresh = first_seen.groupBy("_pass").agg(F.count(F.lit(1)).alias("new_keys"))
+    made = passes.select(F.col(pass_col).alias("_pass")).distinct()
     counted = (
-        passes.select(F.col(pass_col).alias("_pass"))
-        .distinct()
-        .orderBy("_pass")
-        .limit(max_passes)
+        (made if max_passes is None else made.orderBy("_pass").limit(max_passes))
         .join(fresh, "_pass", "left")
         .select("_pass", F.coalesce("new_keys", F.lit(0)).cast("bigint").alias("new_keys"))
     )

@@ -145,7 +145,9 @@ def clean_matches(
     strict_formats: bool = False,
 ) -> DataFrame:
     """Keep recent, long enough matches and clean their text columns; the others stay raw."""
-    kept = matches.where(parse_year("published", strict_formats) >= min_year)
+    # A plain filter would be pushed down, with the date parsed in it and again in the result.
+    year = {"_year": parse_year("published", strict_formats)}
+    kept = keep_computed(matches, year, lambda row: row["_year"] >= min_year).drop("_year")
     names = ["article_text", "entry_title", "entry_author", "feed_title"]
     if dict(matches.dtypes)["categories"] == "string":
         names.append("categories")

@@ -82,11 +82,11 @@ def search_jobs(
     work_type: str | None = None,
     contract_type: str | None = None,
     experience_level: str | None = None,
-    rows: int = 50,
+    rows: int | None = None,
     order: str = "ord",
 ) -> DataFrame:
     """Job search: any quoted phrase of the title expression, location and company by
-    substring, codes by equality, at most ``rows`` (1 to 1000) rows in order."""
+    substring, codes by equality; with ``rows``, that many first rows in order."""
     out = jobs
     if title:
         lowered = F.lower(or_empty("title"))
@@ -107,7 +107,7 @@ def search_jobs(
     ):
         if _one_of(value, allowed, column):
             out = out.where(F.col(column) == value)
-    return first_rows(out, max(1, min(rows, fv.MAX_JOB_ROWS)), order)
+    return out if rows is None else first_rows(out, rows, order)
 
 
 def search_articles(
@@ -124,10 +124,12 @@ def search_articles(
     search_in: str = "ALL",
     hide_same: bool = False,
     order: str = "ord",
+    order_by: str | None = None,
 ) -> DataFrame:
     """Article search: text in title or body (or the title alone), author by substring, comma
     separated lists by equality, dates inclusive; ``hide_same`` keeps the first of equal
-    bodies."""
+    bodies in ``order``. ``order_by`` sorts the result: 'date' (newest first), 'rank' (best
+    first), or the name of a column; ties go by ``order``."""
     out = articles
     if text:
         needle = F.lit(text.lower())
@@ -150,7 +152,10 @@ def search_articles(
         out = out.where(F.col("issue_date") <= stop_date)
     if hide_same:
         out = dedupe_text(out, "article_text", order)
-    return out
+    if order_by is None:
+        return out
+    newest = {"date": F.desc_nulls_last("issue_date"), "rank": F.desc_nulls_last("rank")}
+    return out.orderBy(newest.get(order_by, F.asc_nulls_last(order_by)), order)
 
 
 def past_window(code: str) -> int:

@@ -44,8 +44,9 @@ def csv_edge(df: DataFrame, separators: Mapping[str, str] | None = None) -> Data
 def write_csv(
     df: DataFrame, path: str, separators: Mapping[str, str] | None = None, mode: str = "overwrite"
 ) -> None:
-    """CSV files with a header; quotes doubled, empty fields left empty."""
-    csv_edge(df, separators).write.mode(mode).options(header="true", escape='"', emptyValue="").csv(path)
+    """CSV files with a header; quotes doubled, empty fields left empty, white space kept."""
+    spaces = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    csv_edge(df, separators).write.mode(mode).options(header="true", escape='"', emptyValue="", **spaces).csv(path)
 
 
 def append_rows(df: DataFrame, path: str) -> None:
@@ -103,7 +104,8 @@ def mark_new(existing: DataFrame, new: DataFrame, key: str = "region_id", order:
     Of equal new ids the first counts; of equal stored ids the last is the target. Only ids
     and order values of the stored table take part.
     """
-    fresh = first_wins(new.where(nonblank(key).isNotNull()), key, order)
+    trimmed = new.withColumn(key, nonblank(key))
+    fresh = first_wins(trimmed.where(F.col(key).isNotNull()), key, order)
     targets = (
         existing.select(nonblank(key).alias("_id"), order)
         .where(F.col("_id").isNotNull())
@@ -180,17 +182,20 @@ def upsert_table(
 # ---- backfill ----
 
 
-def backfill(rows: DataFrame, details: DataFrame) -> DataFrame:
-    """Fill missing bodies from details (``Id``, ``Blocks``; one per id) and flag the outcome
-    in ``fill_state``: 'kept', 'filled' or 'missing'.
+def backfill(rows: DataFrame, details: DataFrame, order: str | None = None) -> DataFrame:
+    """Fill missing bodies from details (``Id``, ``Blocks``) and flag the outcome in
+    ``fill_state``: 'kept', 'filled' or 'missing'.
 
-    Rows that need nothing, or have no id to look up, bypass the join.
+    Of several details of one id that have a body the last in ``order`` counts (without an order
+    the smallest body), so no row is multiplied. Rows that need nothing, or have no id to look
+    up, bypass the join.
     """
     looked_up = F.when(body_missing(), article_id("region_id", "article_url"))
     marked = rows.withColumns({"_lookup": looked_up, "_missing": body_missing()})
-    bodies = details.select(
-        F.col("Id").alias("_lookup"), nonempty(blocks_text("Blocks")).alias("_body")
-    ).where(F.col("_body").isNotNull())
+    place = [] if order is None else [F.col(order).alias("_place")]
+    found = details.select(F.col("Id").alias("_lookup"), nonempty(blocks_text("Blocks")).alias("_body"), *place)
+    one = F.min("_body") if order is None else F.max_by("_body", "_place")
+    bodies = found.where(F.col("_body").isNotNull()).groupBy("_lookup").agg(one.alias("_body"))
     filled = (
         marked.where(F.col("_lookup").isNotNull())
         .join(bodies, "_lookup", "left")

@@ -17,7 +17,7 @@ def scan_feeds(
     docs: DataFrame,
     keywords: Sequence[str] = tuple(fv.DEFAULT_KEYWORDS),
     *,
-    max_items: int = fv.MAX_ITEMS_PER_FEED,
+    max_items: int | None = None,
     whole_word: bool = False,
 ) -> DataFrame:
     """Entries that contain a keyword, in ``(ord, entry_pos)`` order.
@@ -38,7 +38,7 @@ def scan_and_clean(
     *,
     min_year: int = fv.MIN_YEAR,
     min_chars: int = fv.MIN_CHARS,
-    max_items: int = fv.MAX_ITEMS_PER_FEED,
+    max_items: int | None = None,
 ) -> DataFrame:
     """Scan and clean as one plan."""
     found = scan_feeds(feeds, docs, keywords, max_items=max_items)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import fixed_values as fv
 from ..operators.dedupe import first_wins
 from ..operators.enrich import insights_for_mode
-from ..operators.limits import passes_until_idle
+from ..operators.limits import first_rows, passes_until_idle
 from ..operators.rows import with_collection_time
 from ..session import materialize
 from ..sources.pages import parse_posts
@@ -19,17 +19,16 @@ def collect_posts(
     *,
     max_posts: int | None = None,
     max_idle: int = fv.MAX_IDLE_PASSES,
-    max_passes: int = fv.MAX_PASSES,
+    max_passes: int | None = None,
 ) -> DataFrame:
     """The first sighting of every post, over the passes that a run makes, up to a number of
     posts in ``(snapshot_pass, card_pos)`` order."""
     made = passes_until_idle(
         posts, passes, key="post_id", pass_col="snapshot_pass", max_idle=max_idle, max_passes=max_passes
     )
-    # At most ``max_passes`` rows, so the broadcast is bounded and a crowded pass is no hot key.
-    seen = posts.join(F.broadcast(made.select("snapshot_pass")), "snapshot_pass", "left_semi")
+    seen = posts.join(made.select("snapshot_pass"), "snapshot_pass", "left_semi")
     unique = first_wins(seen, "post_id", ["snapshot_pass", "card_pos"])
-    return unique if max_posts is None else unique.orderBy("snapshot_pass", "card_pos").limit(max_posts)
+    return unique if max_posts is None else first_rows(unique, max_posts, "snapshot_pass", "card_pos")
 
 
 def post_table(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.arrays import clean_items
 from ..operators.dedupe import first_wins
-from ..operators.joins import inner_by_id, latest_by_id, left_by_id, not_completed
+from ..operators.joins import latest_by_id, not_completed
 from ..operators.limits import first_rows
 from ..operators.rows import press_rows
 
@@ -44,14 +44,17 @@ def article_rows(
     """Rows for new hits: metadata is required, details are optional.
 
     ``hits`` has ``ord, hit``; ``metadata`` has ``ord, meta`` (the last of equal ids counts);
-    ``details`` has ``detail``, one per id; ``existing`` has ``ord, region_id, article_text``.
+    ``details`` has ``detail`` (of equal ids the largest counts, or the last one where it has an
+    ``ord``); ``existing`` has ``ord, region_id, article_text``.
     """
     todo = new_hits(hits, existing, max_results)
     meta = latest_by_id(
         metadata.select("ord", "meta", F.col("meta.Id").alias("region_id")), "region_id", "ord"
     ).drop("ord")
-    detail = details.select("detail", F.col("detail.Id").alias("region_id"))
-    joined = left_by_id(inner_by_id(todo, meta, "region_id"), detail, "region_id")
+    one = F.max_by("detail", "ord") if "ord" in details.columns else F.max("detail")
+    detail = details.groupBy(F.col("detail.Id").alias("region_id")).agg(one.alias("detail"))
+    # Both have one row per id already.
+    joined = todo.join(meta, "region_id").join(detail, "region_id", "left")
     return press_rows(
         joined.select("ord", "hit", "meta", "detail"), search_text, F.lit("") if highlights is None else highlights
     )

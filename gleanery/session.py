@@ -30,8 +30,8 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, local mode) is a new temporary folder made
-    and used as the checkpoint folder.
+    Only in local mode, where driver and tasks are one process, is a new temporary folder made
+    if the session names none. On a cluster that would be a folder of one machine: an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
@@ -39,6 +39,8 @@ def scratch_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current is None:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="gleanery-"))
         current = context.getCheckpointDir()
     return current
@@ -53,14 +55,3 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{scratch_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a frame over all cores when it has fewer partitions than there are cores.
-
-    Meant for costly row work on small or few files. On inputs that already have a partition
-    per core it changes nothing. ``df`` should come straight from files: counting the partitions
-    of a shuffled frame would run its shuffles.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -90,9 +90,9 @@ def feed_items(raw: Column) -> Column:
 
 
 def parse_feeds(
-    docs: DataFrame, raw: str = "raw", *, max_items: int = fv.MAX_ITEMS_PER_FEED
+    docs: DataFrame, raw: str = "raw", *, max_items: int | None = None
 ) -> DataFrame:
-    """Entries of feed documents, at most ``max_items`` of each, with one row per entry.
+    """Entries of feed documents (the first ``max_items`` of each, if given), one row per entry.
 
     All columns but ``raw`` are kept; ``entry_pos`` is the place in the feed and ``entry``
     holds title, summary, contents, summary_detail, link, hrefs, author names, terms and the
@@ -101,7 +101,8 @@ def parse_feeds(
     kept = [c for c in docs.columns if c != raw]
     parsed = docs.select(*kept, feed_items(F.col(raw)).alias("doc"))
     items = F.coalesce(F.col("doc.channel.item"), F.col("doc.item"), F.col("doc.entry"))
-    rows = parsed.select(*kept, F.posexplode(F.slice(items, 1, max_items)).alias("entry_pos", "item"))
+    wanted = items if max_items is None else F.slice(items, 1, max_items)
+    rows = parsed.select(*kept, F.posexplode(wanted).alias("entry_pos", "item"))
     return rows.select(*kept, F.col("entry_pos").cast("bigint").alias("entry_pos"), _entry("item").alias("entry"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from .. import fixed_values as fv
 
 CORRUPT = "_corrupt_record"
-_CSV = {"escape": '"', "multiLine": "true", "maxCharsPerColumn": "-1"}
+_CSV = {"escape": '"', "maxCharsPerColumn": "-1"}
 
 
 def _text_schema(columns: list[str], corrupt: bool = False) -> StructType:
@@ -16,10 +16,15 @@ def _text_schema(columns: list[str], corrupt: bool = False) -> StructType:
     return StructType([StructField(c, StringType()) for c in names])
 
 
-def read_csv(spark: SparkSession, path: str | list[str], columns: list[str] | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str | list[str], columns: list[str] | None = None, multi_line: bool = True
+) -> DataFrame:
     """Text columns of CSV files with a header; quotes are doubled inside quoted fields, which
-    may span lines; a missing field is ''."""
-    reader = spark.read.options(header="true", **_CSV)
+    may span lines; a missing field is ''.
+
+    A file whose fields may span lines is read by one task; without ``multi_line`` it is split.
+    """
+    reader = spark.read.options(header="true", multiLine=str(multi_line).lower(), **_CSV)
     if columns:
         reader = reader.schema(_text_schema(columns))
     return reader.csv(path).fillna("")
@@ -34,12 +39,12 @@ def _is_bad(columns: list[str], max_chars: int):
 
 
 def read_csv_tolerant(
-    spark: SparkSession, path: str, columns: list[str], max_chars: int = fv.MAX_FIELD_CHARS
+    spark: SparkSession, path: str, columns: list[str], max_chars: int = fv.MAX_FIELD_CHARS, multi_line: bool = True, header: bool = True
 ) -> DataFrame:
     """Like ``read_csv``, with a ``bad_row`` flag for rows with a wrong number of fields or a
     field over the size limit."""
     rows = spark.read.options(
-        header="true", mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, **_CSV
+        header=str(header).lower(), mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, multiLine=str(multi_line).lower(), **_CSV
     ).schema(_text_schema(columns, corrupt=True)).csv(path)
     return _flagged(rows, columns, max_chars)
 

@@ -63,7 +63,7 @@ def scan_feed_stream(
     feeds: DataFrame,
     keywords: Sequence[str] = tuple(fv.DEFAULT_KEYWORDS),
     *,
-    max_items: int = fv.MAX_ITEMS_PER_FEED,
+    max_items: int | None = None,
 ) -> DataFrame:
     """Keyword matches of arriving feed documents; the feed list is a static table."""
     entries = parse_feeds(docs, max_items=max_items)

@@ -44,7 +44,7 @@ def _sql_text(text: str) -> str:
 @query(
     "n1_skill_requests",
     f"""with {_NUMBERED}, p as (select *, case when body = '' then '{fv.NO_DESCRIPTION}'
-        when length(body) > 4000 then substr(body, 1, 4000) || '...' else body end as shown from n)
+        else body end as shown from n)
     select i // 5 as batch_id, string_agg(doc_id::varchar, ',' order by i) as members,
         {_sql_text(fv.SKILL_REQUEST_TEXT)} || chr(10) || chr(10) ||
         string_agg((i % 5 + 1) || '. ' || shown, chr(10) || chr(10) order by i) as prompt from p group by 1""",
@@ -55,12 +55,25 @@ def n1_skill_requests(spark, sf_dir):
     return found.select("batch_id", members.alias("members"), "prompt")
 
 
+@query(
+    "n1_cut_skill_requests",
+    f"""with {_NUMBERED}, p as (select *, case when body = '' then '{fv.NO_DESCRIPTION}'
+        when length(body) > 4000 then substr(body, 1, 4000) || '...' else body end as shown from n)
+    select i // 5 as batch_id,
+        {_sql_text(fv.SKILL_REQUEST_TEXT)} || chr(10) || chr(10) ||
+        string_agg((i % 5 + 1) || '. ' || shown, chr(10) || chr(10) order by i) as prompt from p group by 1""",
+)
+def n1_cut_skill_requests(spark, sf_dir):
+    found = enrich.build_requests(texts(spark, sf_dir), kind="skills", max_chars=fv.MAX_REQUEST_CHARS)
+    return found.select("batch_id", "prompt")
+
+
 @query(
     "n1_insight_requests",
     f"""with {_NUMBERED.replace('over (order by doc_id) - 1', 'over (partition by lang order by doc_id) - 1')}
     select lang, i // 5 as batch_id, string_agg(doc_id::varchar, ',' order by i) as members,
         {_sql_text(chr(10).join(fv.INSIGHT_REQUEST_LINES))} || chr(10) || chr(10) ||
-        string_agg('CONTENT ' || (i % 5 + 1) || ':' || chr(10) || substr(body, 1, 4000), chr(10) order by i) as prompt
+        string_agg('CONTENT ' || (i % 5 + 1) || ':' || chr(10) || body, chr(10) order by i) as prompt
     from n group by all""",
 )
 def n1_insight_requests(spark, sf_dir):

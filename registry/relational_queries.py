@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gleanery import fixed_values as fv
 from gleanery.functions.arrays import preview_list
 from gleanery.functions.text import csv_safe
 from gleanery.operators import dedupe, joins, limits, rows, search, tables
-from gleanery.session import spread
-from gleanery.sources.jobs import clean_terms, tag_query
+from gleanery.sources.jobs import clean_terms, read_terms, tag_query
 
-from .base import JOB_TEXT_SQL, big, collapse_sql, job_text, joined, query, strip_sql, table, work_folder
+from .base import JOB_TEXT_SQL, big, collapse_sql, job_text, joined, query, quote, strip_sql, table, work_folder
 
 KEYWORDS = ["ai", " The ", "tion", "%%%", "nothere"]
 
@@ -31,7 +31,7 @@ def docs(spark, sf_dir):
     from h where len(hits) > 0 and length(body) >= 100""",
 )
 def p8_keyword_hits(spark, sf_dir):
-    cleaned = spread(docs(spark, sf_dir)).select("doc_id", csv_safe("text").alias("body"))
+    cleaned = docs(spark, sf_dir).select("doc_id", csv_safe("text").alias("body"))
     found = search.match_keywords(cleaned, "body", KEYWORDS)
     long_enough = rows.keep_computed(found, {"n_chars": big(F.length("body"))}, lambda r: r["n_chars"] >= 100)
     return long_enough.select("doc_id", F.lower(joined("matched_keywords", ",")).alias("hits"), "n_chars")
@@ -137,7 +137,6 @@ def p12_job_search(spark, sf_dir):
         companies=["Brand#1", "BRAND#2"],
         published_after="0005",
         work_type="2",
-        rows=5000,
     )
     return found.select("p_partkey", "p_name", "p_brand")
 
@@ -251,17 +250,13 @@ def d5_last_per_key(spark, sf_dir):
         count(*) filter (contains(lower(text), 'ai'))::bigint as matched from documents""",
 )
 def d6_run_counters(spark, sf_dir):
-    # Counters ride on the job that writes the rows; here that job is the unique-row count.
-    source = docs(spark, sf_dir).select("doc_id", "text")
-    seen, counters = rows.counted(source, "scan", matched=F.contains(F.lower("text"), F.lit("ai")))
-    key = seen.withColumn("k", F.lower("text"))
-    unique = dedupe.first_wins(key, "k", "doc_id").count()
-    found = counters.get
-    return spark.range(1).select(
-        F.lit(found["rows"]).cast("bigint").alias("raw"),
-        F.lit(unique).cast("bigint").alias("unique_rows"),
-        F.lit(found["matched"]).cast("bigint").alias("matched"),
+    source = docs(spark, sf_dir).select("doc_id", F.lower("text").alias("k"))
+    unique = dedupe.first_wins(source.withColumn("digest", F.sha2("k", 256)), "digest", "doc_id")
+    counts = source.agg(
+        F.count("*").alias("raw"), F.count(F.when(F.contains("k", F.lit("ai")), 1)).alias("matched")
     )
+    both = counts.unionByName(unique.agg(F.count("*").alias("unique_rows")), allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in ("raw", "unique_rows", "matched")])
 
 
 # ---- limits and stop rules ----
@@ -269,8 +264,17 @@ def d6_run_counters(spark, sf_dir):
 
 @query("l1_first_rows", "select event_id from events order by ts, event_id limit 500")
 def l1_first_rows(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    return events.orderBy("ts", "event_id").limit(500).select("event_id")
+    events = table(spark, sf_dir, "events").select("ts", "event_id")
+    return limits.first_rows(events, 500, "ts", "event_id").select("event_id")
+
+
+@query(
+    "l1_text_order",
+    "select event_id, event_type from events order by event_type, props, event_id limit 3000",
+)
+def l1_text_order(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "props")
+    return limits.first_rows(events, 3000, "event_type", "props", "event_id").select("event_id", "event_type")
 
 
 @query(
@@ -279,8 +283,8 @@ def l1_first_rows(spark, sf_dir):
     qualify row_number() over (order by l_orderkey, l_linenumber) <= 150000""",
 )
 def l1_large_limit(spark, sf_dir):
-    items = table(spark, sf_dir, "lineitem").withColumn("ord", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
-    return limits.first_rows(items, 150_000, "ord").select("l_orderkey", "l_linenumber")
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return limits.first_rows(items, 150_000, "l_orderkey", "l_linenumber")
 
 
 @query(
@@ -375,7 +379,7 @@ def l5_stop_at_empty_page(spark, sf_dir):
     f as (select user_id, min(pass) as pass from p group by user_id),
     k as (select pass, count(*) as new_keys from f group by pass),
     a as (select a.pass, coalesce(new_keys, 0) as new_keys, row_number() over (order by a.pass) as turn
-          from (select distinct pass from p order by pass limit 2000) a left join k on a.pass = k.pass),
+          from (select distinct pass from p) a left join k on a.pass = k.pass),
     i as (select *, turn - coalesce(max(case when new_keys > 0 then turn end) over (order by turn), 0) as idle_run from a),
     s as (select min(turn) filter (idle_run >= 3) as stop from i)
     select pass::bigint as pass, new_keys::bigint as new_keys, idle_run::bigint as idle_run
@@ -418,6 +422,19 @@ def j2_optional_detail(spark, sf_dir):
     return found.select("doc_id", big(F.coalesce("quality", F.lit(-1))).alias("quality"))
 
 
+@query(
+    "j2_repeated_details",
+    """select d.doc_id, coalesce(l.quality, -1)::bigint as quality from documents d
+    left join labels l on d.doc_id = l.doc_id""",
+)
+def j2_repeated_details(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    older = labels.select("doc_id", (F.col("quality") + 7).alias("quality"), F.lit(0).alias("turn"))
+    right = older.unionByName(labels.withColumn("turn", F.lit(1)))
+    found = joins.left_by_id(docs(spark, sf_dir).select("doc_id"), right, "doc_id", "turn")
+    return found.select("doc_id", big(F.coalesce("quality", F.lit(-1))).alias("quality"))
+
+
 @query(
     "j3_not_completed",
     """select doc_id from documents where doc_id not in (select doc_id from labels where quality = 1)""",
@@ -441,9 +458,7 @@ def j5_results_by_row_id(spark, sf_dir):
     return joins.by_row_id(docs(spark, sf_dir).select("doc_id"), results, "doc_id", "verdict", F.lit("none"))
 
 
-@query(
-    "j7_candidate_urls",
-    """with a as (select page_id, case when page_id % 2 = 0 then url
+_URL_SQL = """with a as (select page_id, case when page_id % 2 = 0 then url
             when starts_with(url, 'https://www.') then replace(url, '://www.', '://cdn.')
             else replace(url, '://', '://www.') end as link from pages),
     v as (select page_id, link, 1 as i, link as cand from a
@@ -453,17 +468,31 @@ def j5_results_by_row_id(spark, sf_dir):
     b as (select v.page_id, v.link, p.url, p.page_id as stored from v join pages p on p.url = v.cand
         qualify row_number() over (partition by v.page_id order by i) = 1)
     select a.page_id, a.link, coalesce(b.url, '') as stored_url, coalesce('body ' || b.stored, '') as body
-    from a left join b on a.page_id = b.page_id""",
-)
+    from a left join b on a.page_id = b.page_id"""
+
+
+@query("j7_candidate_urls", _URL_SQL)
 def j7_candidate_urls(spark, sf_dir):
+    return candidate_urls(spark, sf_dir, 1)
+
+
+@query("j7_repeated_pages", _URL_SQL)
+def j7_repeated_pages(spark, sf_dir):
+    return candidate_urls(spark, sf_dir, 3)
+
+
+def candidate_urls(spark, sf_dir, copies):
+    """Links to pages that are stored several times; the last copy has the body."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     link = (
         F.when(F.col("page_id") % 2 == 0, F.col("url"))
         .when(F.col("url").startswith("https://www."), F.replace("url", F.lit("://www."), F.lit("://cdn.")))
         .otherwise(F.replace("url", F.lit("://"), F.lit("://www.")))
     )
-    stored = pages.select("url", F.concat(F.lit("body "), F.col("page_id").cast("string")).alias("body"))
-    found = joins.by_candidate_url(pages.select("page_id", link.alias("url")), stored)
+    stored = pages.withColumn("turn", F.explode(F.sequence(F.lit(1), F.lit(copies)))).select(
+        "url", "turn", F.concat(F.when(F.col("turn") == copies, "body ").otherwise("old "), F.col("page_id").cast("string")).alias("body")
+    )
+    found = joins.by_candidate_url(pages.select("page_id", link.alias("url")), stored, order="turn")
     return found.select("page_id", F.col("url").alias("link"), "stored_url", "body")
 
 
@@ -515,6 +544,26 @@ def s10_state_rows(spark, sf_dir):
     return joins.latest_by_id(stored, "region_id", "ord")
 
 
+@query("s9_default_term", f"select 0::bigint as ord, {quote(fv.DEFAULT_TITLE_QUERY)} as term")
+def s9_default_term(spark, sf_dir):
+    """A file of comments and blank lines, one line for each document, has no term."""
+    path = f"{work_folder(spark)}/terms"
+    lines = docs(spark, sf_dir).select(F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("# "), "source")).otherwise(F.lit("  ")).alias("value"))
+    lines.write.text(path)
+    return read_terms(spark, path).select(big("ord").alias("ord"), "term")
+
+
+@query("s10_stored_table", "select o_orderkey as ord, o_custkey::varchar as region_id from orders")
+def s10_stored_table(spark, sf_dir):
+    """A table that is not there yet is empty; a stored one is read as of its last version."""
+    root, schema = work_folder(spark), "ord bigint, region_id string"
+    missing = tables.read_table(spark, f"{root}/none", schema)
+    stored = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("ord"), F.col("o_custkey").cast("string").alias("region_id"))
+    tables.write_next_version(spark, stored.limit(0), root)
+    tables.write_next_version(spark, stored, root)
+    return tables.read_table(spark, root, schema).unionByName(missing)
+
+
 # ---- sinks and maintenance ----
 
 
@@ -592,8 +641,8 @@ def k2_append_runs(spark, sf_dir):
 @query("u3_except_by_key", "select c_custkey from customer where c_custkey not in (select o_custkey from orders where o_orderstatus = 'P')")
 def u3_except_by_key(spark, sf_dir):
     pending = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
-    ordered = pending.select(F.col("o_custkey").alias("c_custkey")).distinct()
-    return table(spark, sf_dir, "customer").select("c_custkey").join(ordered, "c_custkey", "left_anti")
+    ordered = pending.select(F.col("o_custkey").alias("c_custkey"))
+    return joins.except_by_id(table(spark, sf_dir, "customer").select("c_custkey"), ordered, "c_custkey")
 
 
 @query(
@@ -631,18 +680,38 @@ _BACKFILL_SQL = """
         case when region_id <> '' then region_id when article_url <> '' then ord::varchar end as id from r)"""
 
 
-@query(
-    "m3_backfill",
-    f"""with {_BACKFILL_SQL}
+_FILLED_SQL = f"""with {_BACKFILL_SQL}
     select ord, region_id, article_url,
         case when missing and body is not null then body else article_text end as article_text,
         case when not missing then 'kept' when body is not null then 'filled' else 'missing' end as fill_state
-    from k left join b on k.missing and k.id = b.id""",
-)
+    from k left join b on k.missing and k.id = b.id"""
+
+
+@query("m3_backfill", _FILLED_SQL)
 def m3_backfill(spark, sf_dir):
     return tables.backfill(*backfill_inputs(spark, sf_dir))
 
 
+@query("m3_backfill_repeated_details", _FILLED_SQL)
+def m3_backfill_repeated_details(spark, sf_dir):
+    stored, details = backfill_inputs(spark, sf_dir)
+    older = details.withColumn("Blocks", F.array(F.struct(F.lit("text").alias("Role"), F.lit("older").alias("Text"))))
+    blank = details.withColumn("Blocks", F.array(F.struct(F.lit("text").alias("Role"), F.lit(" ").alias("Text"))))
+    bodies = details.where(F.col("Blocks")[0]["Text"] != "")
+    turns = [older.join(bodies.select("Id"), "Id", "left_semi"), details, blank]
+    repeated = [d.select("Id", "Blocks", F.lit(i).alias("turn")) for i, d in enumerate(turns)]
+    return tables.backfill(stored, repeated[0].unionByName(repeated[1]).unionByName(repeated[2]), "turn")
+
+
+@query("m3_backfill_table", f"select * exclude (fill_state) from ({_FILLED_SQL})")
+def m3_backfill_table(spark, sf_dir):
+    stored, details = backfill_inputs(spark, sf_dir)
+    root = work_folder(spark)
+    tables.write_next_version(spark, stored, root)
+    tables.backfill_table(spark, root, details, stored.schema)
+    return tables.read_table(spark, root, stored.schema)
+
+
 def backfill_inputs(spark, sf_dir):
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     source = docs(spark, sf_dir)

@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from gleanery import fixed_values as fv
 from gleanery.functions.urls import article_url
-from gleanery.operators import rows
+from gleanery.operators import rows, tables
 from gleanery.plans import blogs, feeds, jobs, posts, press
-from gleanery.session import spread
 from gleanery.sources import feeds as feed_source
 from gleanery.sources import jobs as job_source
 from gleanery.sources import pages as page_source
@@ -103,7 +102,7 @@ def feed_docs(spark, sf_dir):
             F.array_join(F.transform(lines, atom), ""), F.lit("</feed>"),
         )
     )
-    return spread(docs(spark, sf_dir)).select("doc_id", F.concat(F.lit("feed:"), F.col("doc_id").cast("string")).alias("xml_url"), raw.alias("raw"))
+    return docs(spark, sf_dir).select("doc_id", F.concat(F.lit("feed:"), F.col("doc_id").cast("string")).alias("xml_url"), raw.alias("raw"))
 
 
 def feed_list(spark, sf_dir):
@@ -117,7 +116,7 @@ def feed_list(spark, sf_dir):
 
 _ENTRY_SQL = f"""
     l as (select doc_id, source, lang, {_LINES} from documents),
-    e as (select * from l where i < 50),
+    e as (select * from l),
     t as (select *, {collapse_sql("regexp_replace(line, '<[^>]+>', ' ', 'g')")} as title,
               source || ' of ' || lang as summary from e),
     x as (select *, (case when title = '' then '' else title || chr(10) || chr(10) end)
@@ -146,6 +145,15 @@ def s2_feed_entries(spark, sf_dir):
     )
 
 
+@query(
+    "s2_first_feed_entries",
+    f"with l as (select doc_id, source, lang, {_LINES} from documents) select doc_id, i::bigint as entry_pos from l where i < 50",
+)
+def s2_first_feed_entries(spark, sf_dir):
+    entries = feed_source.parse_feeds(feed_docs(spark, sf_dir), max_items=fv.MAX_ITEMS_PER_FEED)
+    return entries.select("doc_id", "entry_pos")
+
+
 _MATCH_SQL = f"""
     m as (select doc_id as ord, i::bigint as entry_pos, source || ' feed' as feed_title, 'feed:' || doc_id as feed_xml_url,
         case when lang = 'en' then 'home' else '' end as feed_html_url, {collapse_sql('line')} as entry_title,
@@ -204,7 +212,7 @@ def job_json(spark, sf_dir):
             F.col("doc_id").alias("ord"),
         )
     )
-    return spread(docs(spark, sf_dir)).select(item.alias("raw"))
+    return docs(spark, sf_dir).select(item.alias("raw"))
 
 
 _JOB_SQL = f"""
@@ -426,7 +434,7 @@ def listing_pages(spark, sf_dir):
         F.lit("<html><body><a target='_blank' href='/out'><h3>o</h3></a><main><script>var a='<a target=_blank>';</script>"),
         F.array_join(F.transform(F.split("text", "\n"), card), "\n"), F.lit("</main></body></html>"),
     )
-    return spread(docs(spark, sf_dir)).select(F.col("doc_id").alias("page"), html.alias("html"))
+    return docs(spark, sf_dir).select(F.col("doc_id").alias("page"), html.alias("html"))
 
 
 _CARDS_SQL = f"""
@@ -507,7 +515,7 @@ def post_snapshots(spark, sf_dir):
         )
 
     html = F.concat(F.lit("<body>"), F.array_join(F.transform(F.split("text", "\n"), card), ""), F.lit("</body>"))
-    return spread(docs(spark, sf_dir)).select(F.col("doc_id").alias("snapshot_pass"), html.alias("html"))
+    return docs(spark, sf_dir).select(F.col("doc_id").alias("snapshot_pass"), html.alias("html"))
 
 
 _POSTS_SQL = f"""
@@ -530,7 +538,7 @@ def s6_post_cards(spark, sf_dir):
     f"""with {_POSTS_SQL},
     f as (select * from posts qualify row_number() over (partition by post_id order by snapshot_pass, card_pos) = 1),
     n as (select doc_id as p, (select count(*) from f where f.snapshot_pass = doc_id) as k from documents
-          order by doc_id limit 2000),
+          order by doc_id),
     t as (select p, row_number() over (order by p) as turn, k from n),
     r as (select *, turn - coalesce(max(case when k > 0 then turn end) over (order by turn), 0) as idle from t),
     s as (select min(turn) filter (idle >= 3) as stop from r)
@@ -571,6 +579,27 @@ def s8_csv_bad_rows(spark, sf_dir):
     return tables_csv.parse_csv_tolerant(lines, ["text", "source"], max_chars=5000).select("doc_id", "bad_row")
 
 
+@query("k1_csv_files", "select doc_id::varchar as doc_id, source, coalesce(text, '') as text from documents")
+def k1_csv_files(spark, sf_dir):
+    """Written and read back: line breaks and quotes inside fields, white space at their ends."""
+    path = f"{work_folder(spark)}/csv"
+    tables.write_csv(docs(spark, sf_dir).select("doc_id", "source", "text"), path)
+    return tables_csv.read_csv(spark, path, ["doc_id", "source", "text"])
+
+
+@query(
+    "s8_csv_files",
+    """select doc_id::varchar as doc_id, source, (lang <> 'en' or length(source) > 4) as bad_row from documents""",
+)
+def s8_csv_files(spark, sf_dir):
+    path = f"{work_folder(spark)}/csv"
+    extra = F.when(F.col("lang") != "en", F.lit(",extra")).otherwise(F.lit(""))
+    lines = docs(spark, sf_dir).select(F.concat(F.col("doc_id").cast("string"), F.lit(","), F.col("source"), extra).alias("value"))
+    lines.write.text(path)
+    rows = tables_csv.read_csv_tolerant(spark, path, ["doc_id", "source"], max_chars=4, multi_line=False, header=False)
+    return rows.select("doc_id", "source", "bad_row")
+
+
 # ---- streams ----
 
 

@@ -1,6 +1,7 @@
 """Row operators: de-duplication, limits, stop rules, joins, tables, enrichment."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -44,11 +45,20 @@ def test_row_index_per_key_with_null_key(spark):
     assert sorted(got, key=repr) == sorted([(k, o, o >> 20) for k, o in data], key=repr)
 
 
-def test_first_rows_by_number(spark, monkeypatch):
-    df = spark.range(100).withColumnRenamed("id", "ord")
-    monkeypatch.setattr(limits, "_SMALL_LIMIT", 10)
-    assert sorted(r.ord for r in limits.first_rows(df, 37, "ord").collect()) == list(range(37))
-    assert [r.ord for r in limits.first_rows(df, 3, "ord").collect()] == [0, 1, 2]
+@pytest.mark.parametrize("n", [0, 3, 99_999, 100_000, 100_001, 250_000])
+def test_first_rows(spark, n):
+    df = spark.range(200_000).selectExpr("concat('t', id div 7) as title", "id % 5 as k", "id")
+    expected = sorted((f"t{i // 7}", i % 5, i) for i in range(200_000))[:n]
+    got = limits.first_rows(df, n, "title", "k", "id")
+    assert sorted(collected(got)) == expected
+    # Repeated order values: any rows of the last value, but the right number of each value.
+    titles = Counter(r.title for r in limits.first_rows(df, n, "title").select("title").collect())
+    assert titles == Counter(t for t, _, _ in expected)
+
+
+def test_first_rows_that_repeat_and_nulls(spark):
+    df = frame(spark, "a string, b int", *[("x", 1)] * 30, (None, 2), ("a", None), ("y", 3))
+    assert sorted(collected(limits.first_rows(df, 12, "a")), key=repr) == sorted([(None, 2), ("a", None)] + [("x", 1)] * 10, key=repr)
 
 
 def test_batches(spark):
@@ -110,9 +120,10 @@ def test_keywords(spark):
     assert search.normalize_keywords([" "]) == ["ai"]
 
 
-def test_search_jobs_checks_codes_and_clamps(spark):
+def test_search_jobs_checks_codes_and_never_clamps(spark):
     df = spark.range(1200).select(F.col("id").alias("ord"), F.lit("AI lead").alias("title"), F.lit("1").alias("work_type"))
-    assert search.search_jobs(df, title='("ai" OR "b")', work_type="1", rows=5000).count() == 1000
+    assert search.search_jobs(df, title='("ai" OR "b")', work_type="1", rows=1100).count() == 1100
+    assert search.search_jobs(df, work_type="1").count() == 1200
     assert search.search_jobs(df, title='("zz")', rows=0).count() == 0
     with pytest.raises(ValueError):
         search.search_jobs(df, work_type="9")
@@ -230,11 +241,13 @@ def test_append(spark, tmp_path):
 
 def test_requests(spark):
     df = frame(spark, "id string, ord bigint, text string", ("a", 1, " one "), ("b", 2, None), ("c", 3, "z" * 4001))
-    first, second = enrich.build_requests(df, kind="skills", size=2).orderBy("batch_id").collect()
+    whole = enrich.build_requests(df, kind="skills").first()
+    assert whole.prompt.endswith("3. " + "z" * 4001)
+    first, second = enrich.build_requests(df, kind="skills", size=2, max_chars=4000).orderBy("batch_id").collect()
     assert first.member_ids == ["a", "b"]
     assert first.prompt == f"{fv.SKILL_REQUEST_TEXT}\n\n1. one\n\n2. {fv.NO_DESCRIPTION}"
     assert second.prompt.endswith("1. " + "z" * 4000 + "...")
-    insight = enrich.build_requests(df, kind="insights").first()
+    insight = enrich.build_requests(df, kind="insights", max_chars=4000).first()
     assert insight.prompt.startswith(fv.INSIGHT_REQUEST_LINES[0] + "\n")
     assert insight.prompt.endswith("\n\nCONTENT 1:\none\nCONTENT 2:\n\nCONTENT 3:\n" + "z" * 4000)
     with pytest.raises(ValueError):
@@ -282,4 +295,4 @@ def test_answer_function_failures_become_null(spark):
             raise RuntimeError
         return prompt.upper()
 
-    assert collected(enrich.answer_requests(requests, answer), "batch_id") == [(0, "OK"), (1, None)]
+    assert collected(enrich.answer_requests(requests, answer), "batch_id") == [(0, "OK", None), (1, None, "RuntimeError: ")]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 from gleanery.operators import dedupe, joins, limits, tables
-from gleanery.session import materialize, scratch_dir, spread
+from gleanery.session import materialize, scratch_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -109,7 +109,24 @@ def test_scratch_folder_named_by_the_cluster_comes_first():
     assert scratch_dir(Cluster) == "/shared/folder"
 
 
-def test_spread_leaves_wide_inputs_alone(spark):
-    wide = spark.range(0, 100, 1, 16)
-    assert spread(wide) is wide
-    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+def test_a_cluster_without_a_shared_folder_is_told_so():
+    class Cluster:
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return default
+
+        class sparkContext:
+            master = "yarn"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Cluster)
+
+
+def test_feed_dates_are_parsed_once(spark):
+    text = plan(registered.registry.QUERIES["flow_feeds_scan_and_clean"](spark, SF))
+    assert text.count("jan(?:uary)") <= 2 * plan(registered.registry.QUERIES["p15_feed_match_rows"](spark, SF)).count("jan(?:uary)")

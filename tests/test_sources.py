@@ -66,7 +66,8 @@ def test_rss_1_and_atom(spark):
 
 def test_feed_limits_and_broken_documents(spark):
     many = "<rss><channel>" + "".join(f"<item><title>{i}</title></item>" for i in range(51)) + "</channel></rss>"
-    assert len(entries(spark, many)) == 50
+    assert len(entries(spark, many)) == 51
+    assert len(entries(spark, many, max_items=50)) == 50
     assert [r.entry.title for r in entries(spark, many, max_items=2)] == ["0", "1"]
     for raw in ("<rss><channel><item>", "", "not xml", "<rss><channel></channel></rss>"):
         assert entries(spark, raw) == []
