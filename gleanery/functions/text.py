@@ -106,15 +106,6 @@ def _unescape(texts: pa.Array) -> pa.Array:
     return pa.array([None if t is None else html.unescape(t) for t in texts.to_pylist()], pa.string())
 
 
-@F.arrow_udf(ArrayType(StringType()))
-def _unescape_all(lists: pa.Array) -> pa.Array:
-    def decode(texts):
-        return [None if t is None else html.unescape(t) for t in texts]
-
-    decoded = [None if texts is None else decode(texts) for texts in lists.to_pylist()]
-    return pa.array(decoded, pa.list_(pa.string()))
-
-
 def decode_entities(value: Column | str, source: Column | str | None = None) -> Column:
     """Character references to characters (the whole HTML5 table).
 
@@ -143,31 +134,66 @@ def decode_basic_entities(value: Column | str) -> Column:
     return out
 
 
+def _shown(page: str, sep: str, strip_parts: bool) -> str:
+    """The texts of markup that a reader sees: comments, scripts, styles and templates left out."""
+    from .html import parse_html
+
+    found = parse_html(page).strings(skip=("script", "style", "template"))
+    return sep.join([p for p in (x.strip() for x in found) if p] if strip_parts else found)
+
+
+@F.arrow_udf(StringType())
+def _markup_text(pages: pa.Array) -> pa.Array:
+    return pa.array([None if p is None else _shown(p, " ", True) for p in pages.to_pylist()], pa.string())
+
+
+@F.arrow_udf(StringType())
+def _markup_lines(pages: pa.Array) -> pa.Array:
+    return pa.array([None if p is None else _shown(p, "\n", False) for p in pages.to_pylist()], pa.string())
+
+
+@F.arrow_udf(ArrayType(StringType()))
+def _markup_texts(lists: pa.Array) -> pa.Array:
+    def read(texts):
+        return [None if t is None else _shown(t, " ", True) for t in texts]
+
+    return pa.array([None if texts is None else read(texts) for texts in lists.to_pylist()], pa.list_(pa.string()))
+
+
+def _is_markup(text: Column) -> Column:
+    return F.contains(text, F.lit("<")) | F.contains(text, F.lit("&"))
+
+
 def plain_text(value: Column | str, full_entities: bool = True) -> Column:
-    """Markup to text: tags to blanks, references decoded, white space collapsed."""
-    no_tags = F.regexp_replace(or_empty(value), r"<[^>]+>", " ")
-    decoded = decode_entities(no_tags, value) if full_entities else decode_basic_entities(no_tags)
-    return collapse(decoded)
+    """Markup to text: what a reader sees of the element tree, references decoded, white space
+    collapsed. A ``<`` that begins no tag is text.
+
+    Texts without ``<`` and ``&`` stay in the JVM. Without ``full_entities`` all do: tags then go
+    by a pattern and only the most frequent references are decoded.
+    """
+    text = or_empty(value)
+    if not full_entities:
+        return collapse(decode_basic_entities(F.regexp_replace(text, r"<[^>]+>", " ")))
+    return collapse(F.coalesce(_markup_text(F.when(_is_markup(text), text)), text))
 
 
 def plain_texts(values: Column | str) -> Column:
-    """``plain_text`` over an array of texts; lists without any ampersand stay in the JVM."""
+    """``plain_text`` over an array of texts; lists without any markup stay in the JVM."""
     source = as_col(values)
-    no_tags = F.transform(source, lambda x: F.regexp_replace(or_empty(x), r"<[^>]+>", " "))
-    referenced = F.exists(source, lambda x: F.contains(or_empty(x), F.lit("&")))
-    decoded = F.coalesce(_unescape_all(F.when(referenced, no_tags)), no_tags)
+    marked = F.exists(source, lambda x: _is_markup(or_empty(x)))
+    decoded = F.coalesce(_markup_texts(F.when(marked, source)), source)
     return F.transform(decoded, collapse)
 
 
 def article_clean(value: Column | str, fix_mojibake: bool = True, full_entities: bool = True) -> Column:
-    """Clean an article body but keep its paragraphs."""
+    """Clean an article body but keep its paragraphs; markup in it goes by its element tree."""
     decode = decode_entities if full_entities else decode_basic_entities
     text = F.replace(decode(or_empty(value)), F.lit("\u00a0"), F.lit(" "))
     if fix_mojibake:
         text = F.replace(text, F.lit("Â"), F.lit(" "))
     text = strip(text)
     markup = F.contains(text, F.lit("<")) & F.contains(text, F.lit(">"))
-    text = F.when(markup, F.regexp_replace(text, r"(?:<[/!?a-zA-Z][^>]*>)+", "\n")).otherwise(text)
+    text = F.coalesce(_markup_lines(F.when(markup, text)), text)
     text = F.regexp_replace(text, r"[ \t]+\n", "\n")
     text = F.regexp_replace(text, r"\n{3,}", "\n\n")
     text = F.regexp_replace(text, r"[ \t]{2,}", " ")

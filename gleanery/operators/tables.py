@@ -1,22 +1,24 @@
 """Sinks and table maintenance: CSV edge, append, incremental run, upsert, backfill.
 
-A maintained table is a folder of numbered versions. A version counts once Spark has committed
-it (its success marker exists), and readers take the highest one: a job that dies half-way
-leaves the table as it was, and no job overwrites files it reads.
+A maintained table is a folder of numbered versions, and of numbered changes on top of each. Both
+count once Spark has committed them (their success marker exists); readers take the highest
+version with its changes: a job that dies half-way leaves the table as it was, and no job
+overwrites files it reads. One writer at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StructType, TimestampType
 
 from ..functions.arrays import blocks_text
 from ..functions.text import nonblank, nonempty, or_empty
 from ..functions.urls import article_id
 from ..session import materialize
-from .dedupe import first_wins
+from .dedupe import first_wins, last_wins
 from .rows import body_missing
 
 
@@ -66,34 +68,72 @@ def _version_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/version-{version:08d}"
 
 
-def committed_version(spark: SparkSession, root: str) -> int | None:
-    """Highest committed version, or null when there is none."""
+def _committed(spark: SparkSession, root: str, kind: str) -> list[str]:
+    """Names of the committed folders of a kind, in order."""
     fs, path = _folder(spark, root)
     if not fs.exists(path):
-        return None
+        return []
     marker = spark._jvm.org.apache.hadoop.fs.Path
-    found = []
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        if name.startswith("version-") and fs.exists(marker(status.getPath(), "_SUCCESS")):
-            found.append(int(name.removeprefix("version-")))
-    return max(found, default=None)
+    names = [status.getPath() for status in fs.listStatus(path)]
+    return sorted(p.getName() for p in names if p.getName().startswith(kind) and fs.exists(marker(p, "_SUCCESS")))
 
 
-def read_table(spark: SparkSession, root: str, schema: StructType | str) -> DataFrame:
-    """The table as of its last committed version; an empty one when there is none."""
+def committed_version(spark: SparkSession, root: str) -> int | None:
+    """Highest committed version, or null when there is none."""
+    found = _committed(spark, root, "version-")
+    return int(found[-1].removeprefix("version-")) if found else None
+
+
+def committed_deltas(spark: SparkSession, root: str, version: int) -> list[str]:
+    """Names of the changes committed on top of a version, in order."""
+    return _committed(spark, root, f"delta-{version:08d}-")
+
+
+def read_table(spark: SparkSession, root: str, schema: StructType | str, order: str = "ord") -> DataFrame:
+    """The table as of its last commit; an empty one when there is none.
+
+    Rows of a version that a later change rewrote (same order value) give way to the last change.
+    """
     version = committed_version(spark, root)
     if version is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(_version_path(root, version))
-
-
-def write_next_version(spark: SparkSession, df: DataFrame, root: str) -> int:
+    base = spark.read.schema(schema).parquet(_version_path(root, version))
+    deltas = committed_deltas(spark, root, version)
+    if not deltas:
+        return base
+    changes = [
+        spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{name}").withColumn("_turn", F.lit(i))
+        for i, name in enumerate(deltas)
+    ]
+    together = reduce(DataFrame.unionByName, changes)
+    latest = last_wins(together, order, "_turn").drop("_turn")
+    return base.join(latest.select(order), order, "left_anti").select(*latest.columns).unionByName(latest)
+
+
+def write_next_version(spark: SparkSession, df: DataFrame, root: str, keep: int = 2) -> int:
+    """Write a new version, then drop all but the last ``keep`` ones with their changes.
+
+    Older folders than the kept ones are no longer read by jobs that start now; jobs that still read one fail and
+    can be run again.
+    """
     version = (committed_version(spark, root) or 0) + 1
     df.write.mode("overwrite").parquet(_version_path(root, version))
+    fs, path = _folder(spark, root)
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith(("version-", "delta-")) and int(name.split("-")[1]) <= version - keep:
+            fs.delete(status.getPath(), True)
     return version
 
 
+def write_delta(spark: SparkSession, df: DataFrame, root: str, version: int) -> str:
+    """Write changed and added rows on top of a version; they count once all of them are written."""
+    number = len(committed_deltas(spark, root, version)) + 1
+    path = f"{root.rstrip('/')}/delta-{version:08d}-{number:06d}"
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
 # ---- upsert ----
 
 
@@ -154,28 +194,33 @@ def upsert_table(
     schema: StructType | str,
     key: str = "region_id",
     order: str = "ord",
+    max_deltas: int = 16,
 ) -> dict[str, int]:
     """Upsert into a versioned table; returns how many rows were changed and added.
 
-    The marked new rows are written to the scratch folder once, as counting and writing both
-    need them. The table is rewritten as a new version only when a stored row changes;
-    otherwise rows are appended.
+    The marked new rows are written to the scratch folder once, as counting and writing both need
+    them. Changed and added rows are written as one change on top of the last version, so files of
+    untouched rows stay as they are and readers see all of a change or none of it. After ``max_deltas``
+    changes they are merged into a new version.
     """
-    existing = read_table(spark, root, schema)
+    existing = read_table(spark, root, schema, order)
     marked = materialize(mark_new(existing, new, key, order))
     counts = marked.agg(
         F.count("_target").alias("changed"), (F.count(F.lit(1)) - F.count("_target")).alias("added")
     ).first()
     version = committed_version(spark, root)
-    if counts["changed"] or version is None:
+    if version is None or len(committed_deltas(spark, root, version)) >= max_deltas:
         result = apply_marked(existing, marked, order)
         write_next_version(spark, result.select(*existing.columns), root)
-    elif counts["added"]:
-        additions = after_stored(existing, marked.drop("_target"), order)
+    elif counts["changed"] or counts["added"]:
+        targets = marked.where(F.col("_target").isNotNull()).select(F.col("_target").alias(order))
+        touched = apply_marked(existing.join(targets, order, "left_semi"), marked.where(F.col("_target").isNotNull()), order)
+        additions = after_stored(existing, marked.where(F.col("_target").isNull()).drop("_target"), order)
         empty = spark.createDataFrame([], schema)
-        # The offset reads the folder that is written to; it is computed before, in the copy.
-        rows = materialize(empty.unionByName(additions, allowMissingColumns=True))
-        append_rows(rows.select(*existing.columns), _version_path(root, version))
+        change = touched.select(*existing.columns).unionByName(
+            empty.unionByName(additions, allowMissingColumns=True).select(*existing.columns)
+        )
+        write_delta(spark, change, root, version)
     return counts.asDict()
 
 
@@ -211,11 +256,19 @@ def backfill(rows: DataFrame, details: DataFrame, order: str | None = None) -> D
     return filled.select(*columns).unionByName(others.select(*columns))
 
 
-def backfill_table(spark: SparkSession, root: str, details: DataFrame, schema: StructType | str) -> dict[str, int]:
-    """Backfill a versioned table into a new version; returns the counts of filled rows and of
-    rows that stay without body."""
-    result = materialize(backfill(read_table(spark, root, schema), details))
-    write_next_version(spark, result.drop("fill_state"), root)
-    states = result.groupBy("fill_state").count().collect()  # at most three rows
-    counts = {r["fill_state"]: r["count"] for r in states}
-    return {"filled": counts.get("filled", 0), "missing": counts.get("missing", 0)}
+def backfill_table(
+    spark: SparkSession, root: str, details: DataFrame, schema: StructType | str, order: str = "ord"
+) -> dict[str, int]:
+    """Backfill a versioned table; returns the counts of filled rows and of rows that stay without body.
+
+    Only filled rows are written, as one change on top of the last version; nothing is written when none was filled.
+    """
+    seen = Observation("backfill")
+    states = {s: F.count(F.when(F.col("fill_state") == s, 1)).alias(s) for s in ("filled", "missing")}
+    result = backfill(read_table(spark, root, schema, order), details).observe(seen, *states.values())
+    filled = materialize(result.where(~F.col("fill_state").isin("kept", "missing")).drop("fill_state"))
+    counts = seen.get
+    version = committed_version(spark, root)
+    if counts["filled"] and version is not None:
+        write_delta(spark, filled, root, version)
+    return {"filled": counts["filled"], "missing": counts["missing"]}

@@ -39,7 +39,8 @@ def x1_content_lines(spark, sf_dir):
 
 def _page_text_sql(sep: str = " ") -> str:
     """Tags to ``sep`` and the references of the test pages decoded."""
-    out = f"regexp_replace(html, '<[^>]+>', '{sep}', 'g')"
+    out = "regexp_replace(html, '<!--.*?-->|<(script|style)[^>]*>.*?</(script|style)>', ' ', 'gs')"
+    out = f"regexp_replace({out}, '<[^>]+>', '{sep}', 'g')"
     for ref, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">")):
         out = f"replace({out}, '{ref}', '{char}')"
     return f"regexp_replace({out}, '&amp;?', '&', 'g')"
@@ -50,6 +51,20 @@ def x8_plain_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", t.plain_text("html").alias("plain"))
 
 
+@query(
+    "x8_text_with_signs",
+    """select doc_id, 'p < 5 for ai & x > 3 ' || source || case when lang = 'en' then ' é' else '' end as plain from documents""",
+)
+def x8_text_with_signs(spark, sf_dir):
+    """Signs that begin no tag are text; comments, scripts, styles and templates are not shown."""
+    accent = F.when(F.col("lang") == "en", F.lit("&eacute;")).otherwise(F.lit(""))
+    raw = F.concat(
+        F.lit("<!-- no <b> --><p>p < 5 for ai &amp; x > 3</p>\n<script>if (a<b) {}</script><style>p{}</style> <b>"),
+        "source", F.lit("</b><template>none</template> "), accent,
+    )
+    return docs(spark, sf_dir, t.plain_text(raw).alias("plain"))
+
+
 @query(
     "x9_entry_text",
     """select doc_id, source || chr(10) || chr(10) || text ||
@@ -361,6 +376,14 @@ def x26_article_clean(spark, sf_dir):
     return docs(spark, sf_dir, t.article_clean(raw).alias("clean"))
 
 
+@query("x26_article_markup", "select doc_id, source || chr(10) || 'a < b' || chr(10) || lang as clean from documents")
+def x26_article_markup(spark, sf_dir):
+    raw = F.concat(
+        F.lit("<p>"), "source", F.lit("</p><script>x();</script>a < b<!-- c --><i>"), "lang", F.lit("</i><style>b{}</style>")
+    )
+    return docs(spark, sf_dir, t.article_clean(raw).alias("clean"))
+
+
 @query(
     "x27_strip_blocks",
     "select page_id, regexp_replace(html, '<(script|style)[^>]*>.*?</(script|style)>', '', 'gs') as kept from pages",

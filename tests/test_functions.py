@@ -18,7 +18,9 @@ def test_content_lines(each):
 
 def test_plain_text_decodes_after_tags(each):
     raw = ["<p>a&nbsp;b</p>&eacute;", "&lt;b&gt; kept", "a &amp;amp; b", None, "1 < 2 > 1"]
-    assert each(text.plain_text, raw) == ["a b é", "<b> kept", "a &amp; b", "", "1 1"]
+    assert each(text.plain_text, raw) == ["a b é", "<b> kept", "a &amp; b", "", "1 < 2 > 1"]
+    signs = ["p < 5 for ai and x > 3", "<p>a</p><script>if (a<b) c()</script>b<!-- c --><style>d</style>", "x <b"]
+    assert each(text.plain_text, signs) == ["p < 5 for ai and x > 3", "a b", "x <b"]
 
 
 def test_plain_text_basic_entities(each):

@@ -203,13 +203,51 @@ def test_versioned_table(spark, tmp_path):
     assert first == {"changed": 0, "added": 2} and tables.committed_version(spark, root) == 1
     more = tables.upsert_table(spark, root, frame(spark, NEW, (0, "3", "c")), STORED)
     assert more == {"changed": 0, "added": 1} and tables.committed_version(spark, root) == 1
-    changed = tables.upsert_table(spark, root, frame(spark, NEW, (0, "1", "a"), (1, "4", "")), STORED)
-    assert changed == {"changed": 1, "added": 1} and tables.committed_version(spark, root) == 2
-    got = {r.region_id: r.article_text for r in tables.read_table(spark, root, STORED).collect()}
-    assert got == {"1": "a", "2": "b", "3": "c", "4": ""}
-    # A version without its success marker does not count.
+    files = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    changed = tables.upsert_table(spark, root, frame(spark, NEW, (0, " 1", "a"), (1, "4", "")), STORED)
+    assert changed == {"changed": 1, "added": 1} and tables.committed_version(spark, root) == 1
+    want = {"1": "a", "2": "b", "3": "c", "4": ""}
+    assert stored_texts(spark, root) == want
+    # What was there stays as it is: a change is a folder of its own.
+    assert all(p.stat().st_mtime_ns == t for p, t in files.items())
+    # A version or a change without its success marker does not count: no reader sees half of one.
     (tmp_path / "t" / "version-00000009").mkdir()
-    assert tables.committed_version(spark, root) == 2
+    assert tables.committed_version(spark, root) == 1
+    half = tmp_path / "t" / "delta-00000001-000003"
+    frame(spark, STORED, (0, "1", "half", "")).write.parquet(str(half))
+    (half / "_SUCCESS").unlink()
+    assert stored_texts(spark, root) == want
+
+
+def stored_texts(spark, root):
+    rows = tables.read_table(spark, root, STORED).collect()
+    assert len({r.ord for r in rows}) == len(rows)
+    return {r.region_id: r.article_text for r in rows}
+
+
+def test_changes_are_merged_and_old_versions_dropped(spark, tmp_path):
+    root, want = str(tmp_path / "t"), {}
+    for i in range(9):
+        new = frame(spark, NEW, (0, str(i), f"new {i}"), (1, str(i // 2), f"again {i}"))
+        tables.upsert_table(spark, root, new, STORED, max_deltas=2)
+        want |= {str(i // 2): f"again {i}"} | ({str(i): f"new {i}"})
+        assert stored_texts(spark, root) == want
+    assert tables.committed_version(spark, root) == 3
+    assert sorted(p.name for p in (tmp_path / "t").glob("version-*")) == ["version-00000002", "version-00000003"]
+
+
+def test_an_unchanged_table_is_not_written(spark, tmp_path):
+    root = str(tmp_path / "t")
+    tables.upsert_table(spark, root, frame(spark, NEW, (0, "1", "a")), STORED)
+    files = sorted(tmp_path.rglob("*.parquet"))
+    tables.upsert_table(spark, root, frame(spark, NEW), STORED)
+    ddl = "Id string, Blocks array<struct<Role:string,Text:string>>"
+    schema = "ord bigint, region_id string, article_url string, article_text string"
+    empty = frame(spark, schema, (0, "1", "u", "have"))
+    tables.write_next_version(spark, empty, f"{root}2")
+    assert tables.backfill_table(spark, f"{root}2", frame(spark, ddl), schema) == {"filled": 0, "missing": 0}
+    assert sorted(tmp_path.glob("t/**/*.parquet")) == files
+    assert not list(tmp_path.glob("t2/delta-*"))
 
 
 def test_backfill_table(spark, tmp_path):
