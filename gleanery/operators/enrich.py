@@ -23,6 +23,7 @@ from ..functions.skills import (
     normalize_skills,
 )
 from ..functions.text import as_col, let, nonempty, or_empty, strip
+from ..session import materialize
 from .limits import batch_ids
 
 
@@ -183,6 +184,30 @@ def member_rows(requests: DataFrame, answers: DataFrame, parsed: Column, name: s
     ).select(*keys, "member_id", F.get("_parsed", F.col("batch_pos")).alias(name))
 
 
+def answered_texts(
+    texts: DataFrame,
+    answer: Callable[[str], str | None],
+    *,
+    kind: str,
+    key: str,
+    text: str,
+    order: str,
+    parsed: Column,
+    size: int = fv.TEXTS_PER_REQUEST,
+    max_chars: int | None = None,
+) -> DataFrame:
+    """Requests, answers and their reading in one: ``member_id``, ``answered`` (null without a fitting
+    answer) and ``error`` for each text. Every request is answered once: the answers are stored."""
+    if answer is None:
+        raise ValueError("external extraction needs an answer function")
+    requests = materialize(
+        build_requests(texts, kind=kind, key=key, text=text, order=order, size=size, max_chars=max_chars)
+    )
+    answers = materialize(answer_requests(requests, answer))
+    found = member_rows(requests, answers, parsed, "answered")
+    return found.join(answers.select("batch_id", "error"), "batch_id", "left").drop("batch_id")
+
+
 def skills_or_fallback(answered: Column | str, fallback: Column | str) -> Column:
     """Normalized answered skills, else normalized rule-based ones when the answer did not
     fit."""

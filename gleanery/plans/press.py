@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.arrays import clean_items
 from ..operators.dedupe import first_wins
 from ..operators.joins import latest_by_id, not_completed
 from ..operators.limits import first_rows
-from ..operators.rows import press_rows
+from ..operators.rows import counted, press_rows
+from ..operators.tables import read_table, upsert_table
+from ..session import materialize
+from ..sources.press import parse_details, parse_highlights, parse_hits, parse_metadata
 
 
 def first_highlights(pages: DataFrame, page: str = "page") -> Column:
@@ -58,3 +62,38 @@ def article_rows(
     return press_rows(
         joined.select("ord", "hit", "meta", "detail"), search_text, F.lit("") if highlights is None else highlights
     )
+
+
+def in_arrival_order(rows: DataFrame, page: str) -> DataFrame:
+    """``ord`` from a page number and the place within it (``pos``), free of collisions up to 2^31 each."""
+    place = F.shiftleft(F.col(page).cast("bigint"), 32) + F.col("pos")
+    return rows.withColumn("ord", place).drop(page, "pos")
+
+
+def press_run(
+    spark: SparkSession,
+    root: str,
+    pages: DataFrame,
+    batches: DataFrame,
+    details: DataFrame,
+    *,
+    schema: StructType | str,
+    search_text: str,
+    max_results: int | None = None,
+) -> dict[str, int]:
+    """One run from stored responses to the maintained table: new hits become rows and are upserted.
+
+    ``pages`` has ``page, raw``, ``batches`` has ``batch, raw`` and ``details`` has ``raw``. Returns how many hits
+    there were, how many rows they made, and how many stored rows were changed and added.
+    """
+    hits = in_arrival_order(parse_hits(pages), "page")
+    metadata = in_arrival_order(parse_metadata(batches), "batch")
+    existing = read_table(spark, root, schema)
+    made = article_rows(
+        hits, metadata, parse_details(details), existing, search_text=search_text,
+        highlights=first_highlights(parse_highlights(pages)), max_results=max_results,
+    )
+    made, seen = counted(made, "press")
+    made = materialize(made)
+    counts = upsert_table(spark, root, made, schema)
+    return {"hits": hits.count(), "rows": seen.get["rows"], **counts}

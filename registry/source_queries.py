@@ -284,6 +284,30 @@ def n5_flow_jobs_local(spark, sf_dir):
     return _job_flow(spark, sf_dir, "local")
 
 
+def answer_by_length(prompt: str) -> str | None:
+    """A text service for checks: an answer, a failure or noise, by the length of the prompt."""
+    if len(prompt) % 3 == 0:
+        return '[["Skill X"]]' if prompt.startswith(fv.SKILL_REQUEST_TEXT) else '{"job_titles": ["Title X"]}'
+    if len(prompt) % 3 == 1:
+        raise RuntimeError("busy")
+    return "noise"
+
+
+@query(
+    "flow_jobs_external",
+    f"""select t.* replace (case when n % 3 = 0 then 'Skill X' else skills end as skills),
+        case when n % 3 = 1 then 'RuntimeError: busy' end as error
+    from ({_job_flow_sql("select * from ranked")}) t join (with {JOB_DOCS_SQL}
+        select doc_id, {len(fv.SKILL_REQUEST_TEXT) + 5} + length({strip_sql('descr')}) as n from docs) d on d.doc_id = t.ord""",
+)
+def flow_jobs_external(spark, sf_dir):
+    found = jobs.job_table(job_source.parse_jobs(job_json(spark, sf_dir)), "external", answer_by_length, size=1)
+    return found.select(
+        "ord", "title", "company", "location", "published_at", "url",
+        *[joined(c).alias(c) for c in ("responsibilities", "skills", "requirements")], "error",
+    )
+
+
 # ---- press ----
 
 
@@ -412,6 +436,24 @@ def p3_flow_press_rows(spark, sf_dir):
     )
 
 
+_RUN_SCHEMA = "ord bigint, region_id string, title string, article_url string, article_text string"
+
+
+@query(
+    "flow_press_run",
+    f"""with {_BODY_SQL}
+    select doc_id::varchar as region_id, source as title, {_PRESS_URL_SQL} as article_url, coalesce(body, '') as article_text
+    from documents join labels using (doc_id) left join bb using (doc_id)""",
+)
+def flow_press_run(spark, sf_dir):
+    """Two runs over the same responses: the second finds the finished articles stored."""
+    root = work_folder(spark)
+    for _ in range(2):
+        press.press_run(spark, root, *press_inputs(spark, sf_dir), schema=_RUN_SCHEMA, search_text="find")
+    stored = tables.read_table(spark, root, _RUN_SCHEMA)
+    return stored.select("region_id", "title", "article_url", "article_text")
+
+
 # ---- blog listing and posts ----
 
 
@@ -554,6 +596,23 @@ def flow_posts(spark, sf_dir):
     )
 
 
+_INSIGHT_HEAD = len("\n".join([*fv.INSIGHT_REQUEST_LINES, "", ""])) + len("CONTENT 1:\n")
+
+
+@query(
+    "flow_posts_external",
+    f"""with {_POSTS_SQL}, n as (select *, {_INSIGHT_HEAD} + length({strip_sql('content')}) as n from posts
+        qualify row_number() over (partition by post_id order by snapshot_pass, card_pos) = 1)
+    select post_id as Post_ID, content as Post_Content, case when n % 3 = 0 then 'Title X' else '' end as Job_Titles,
+        case when n % 3 = 1 then 'RuntimeError: busy' end as error from n""",
+)
+def flow_posts_external(spark, sf_dir):
+    found = posts.post_table(
+        post_snapshots(spark, sf_dir), mode="external", answer=answer_by_length, request={"size": 1}, max_idle=10**6
+    )
+    return found.select("Post_ID", "Post_Content", joined("Job_Titles").alias("Job_Titles"), "error")
+
+
 # ---- CSV ----
 
 
