@@ -286,6 +286,7 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
 
     found = materialize(docs.mapInArrow(find, "r1 long, r2 long, at long, starts long, key long, own boolean, c1 long, c2 long"))
     again = found.groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("own")).where("n > 1 or own").select("key")
+    again = materialize(again)  # stored, so that both sides of the join are plain shuffles, which Spark can split
     found = materialize(found.join(again, "key", "left_semi").drop("own"))
     distinct = materialize(
         found.groupBy("key", "c1", "c2").agg(
