@@ -170,7 +170,9 @@ SKILL_WORDS = {
 }
 SKILL_TOKEN_PATTERN = r"(?U)\b[A-Za-z][A-Za-z0-9\+#\.\-/]{1,}\b"
 SKILL_TOKEN_STRIP_CHARS = "-./"
-ACRONYM_PATTERN = r"^[A-Z0-9]{2,5}\z"
+ACRONYM = "[A-Z0-9]{2,5}"
+# A word of a job title.
+TITLE_WORD = r"[A-Z][A-Za-z0-9\-&/]+"
 HASHTAG_PATTERN = r"#([A-Za-z0-9][A-Za-z0-9_\-]+)"
 
 # Job titles.
@@ -245,15 +247,6 @@ CONTRACT_TYPES = ["F", "P", "C", "T", "I", "V"]
 EXPERIENCE_LEVELS = ["1", "2", "3", "4", "5"]
 
 # Blog listing.
-BLOG_COLUMNS = [
-    "title",
-    "publisher",
-    "publish_date",
-    "summary",
-    "detail_content",
-    "source_url",
-    "engblogs_page",
-]
 BLOG_BASE_URL = "https://www.engblogs.dev"
 SHORT_DATE_PATTERN = r"(?U)\b\d{1,2}/\d{1,2}/\d{4}\b"
 DROPPED_BLOCKS = ["script", "style", "noscript", "pre", "code", "samp", "kbd"]
@@ -327,7 +320,6 @@ PRESS_COLUMNS = [
     "article_text",
 ]
 PRESS_ARTICLE_BASE = "https://www.pressreader.com/article/"
-PRESS_ID_BATCH = 20
 
 # Text enrichment requests.
 TEXTS_PER_REQUEST = 5

@@ -112,7 +112,3 @@ def preview_list(items: Column | str, max_items: int, max_chars: int) -> Column:
         F.concat(F.substring(joined, 1, max_chars - 1), F.lit("…")),
     ).otherwise(joined)
     return F.when(F.size(F.coalesce(as_col(items), no_strings())) == 0, F.lit("-")).otherwise(cut)
-
-
-def csv_list(items: Column | str) -> Column:
-    return or_empty(F.array_join(as_col(items), "; "))

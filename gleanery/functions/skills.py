@@ -162,7 +162,7 @@ def normalize_skills(skills: Column | str) -> Column:
     return distinct_ci(F.coalesce(cleaned, no_strings()))
 
 
-_SKILL_TOKEN = "^(?:(?i:" + _any_of(fv.SKILL_WORDS) + r")|[A-Z0-9]{2,5})[-./]*\z"
+_SKILL_TOKEN = "^(?:(?i:" + _any_of(fv.SKILL_WORDS) + ")|" + fv.ACRONYM + r")[-./]*\z"
 
 
 def _skill_tokens(text: Column) -> Column:
@@ -204,7 +204,7 @@ def local_skills(description: Column | str, section_skills: Column | str, hashta
 
 
 def _title_pattern(spaced_roles: bool) -> str:
-    word = r"[A-Z][A-Za-z0-9\-&/]+"
+    word = fv.TITLE_WORD
     gap = r"\s+" if spaced_roles else ""
     # The look-ahead spares the costly boundary test at characters that cannot start a title.
     return rf"(?U)(?=[A-Z])\b({word}(?:\s+{word}){{0,5}}{gap}({'|'.join(fv.TITLE_ROLES)}))\b"

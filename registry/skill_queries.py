@@ -103,7 +103,7 @@ def x5_local_skills_no_hashtags(spark, sf_dir):
     return _local_skills(spark, sf_dir, False)
 
 
-_ROLE_WORD = r"[A-Z][A-Za-z0-9\-&/]+"
+_ROLE_WORD = fv.TITLE_WORD
 TITLES_SQL = f"""
     title_lines as (
         select doc_id, {strip_sql('line0')} as line, pos from (

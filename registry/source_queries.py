@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gleanery import fixed_values as fv
 from gleanery.functions.urls import article_url
 from gleanery.operators import rows, tables
+from gleanery.operators.dedupe import first_wins, last_wins
 from gleanery.plans import blogs, feeds, jobs, posts, press
 from gleanery.sources import feeds as feed_source
 from gleanery.sources import jobs as job_source
@@ -362,16 +363,16 @@ def press_inputs(spark, sf_dir):
 
 def press_parsed(spark, sf_dir):
     pages, batches, details = press_inputs(spark, sf_dir)
-    hits = press_source.parse_hits(pages).select((F.col("page") * 1000 + F.col("pos")).alias("ord"), "hit")
-    meta = press_source.parse_metadata(batches).select((F.col("batch") * 1000 + F.col("pos")).alias("ord"), "meta")
+    hits = press.in_arrival_order(press_source.parse_hits(pages), "page")
+    meta = press.in_arrival_order(press_source.parse_metadata(batches), "batch")
     return hits, meta, press_source.parse_details(details)
 
 
 @query(
     "s4_press_records",
-    """select 'hit' as kind, doc_id * 1000 + k as ord, case when k <> 1 then doc_id::varchar end as id
+    """select 'hit' as kind, doc_id * 4294967296 + k as ord, case when k <> 1 then doc_id::varchar end as id
         from documents, (select unnest([0, 1, 2]) as k)
-    union all select 'meta', doc_id * 1000 + k, doc_id::varchar from documents join labels using (doc_id), (select unnest([0, 1]) as k)
+    union all select 'meta', doc_id * 4294967296 + k, doc_id::varchar from documents join labels using (doc_id), (select unnest([0, 1]) as k)
     union all select 'detail', 0, doc_id::varchar from documents where lang in ('en', 'fr')""",
 )
 def s4_press_records(spark, sf_dir):
@@ -393,11 +394,9 @@ _PRESS_URL_SQL = f"""case lang when 'de' then 'http://hit' when 'fr' then 'http:
 )
 def p4_article_urls(spark, sf_dir):
     hits, meta, details = press_parsed(spark, sf_dir)
-    joined_rows = (
-        hits.where(F.col("ord") % 1000 == 0).withColumn("id", F.col("hit.RegionId"))
-        .join(meta.where(F.col("ord") % 1000 == 1).select("meta", F.col("meta.Id").alias("id")), "id")
-        .join(details.withColumn("id", F.col("detail.Id")), "id", "left")
-    )
+    first = first_wins(hits.withColumn("id", F.col("hit.RegionId")).where("id is not null"), "id", "ord")
+    last = last_wins(meta.withColumn("id", F.col("meta.Id")), "id", "ord").select("id", "meta")
+    joined_rows = first.join(last, "id").join(details.withColumn("id", F.col("detail.Id")), "id", "left")
     return joined_rows.select(
         F.col("id").cast("bigint").alias("doc_id"),
         article_url(F.col("hit"), F.col("meta"), F.col("detail")).alias("article_url"),
@@ -413,7 +412,7 @@ _BODY_SQL = f"""
 @query(
     "p3_flow_press_rows",
     f"""with {_BODY_SQL}
-    select doc_id * 1000 as ord, doc_id::varchar as region_id, 'find' as search_text, source as title, 'd1' as issue_date,
+    select doc_id * 4294967296 as ord, doc_id::varchar as region_id, 'find' as search_text, source as title, 'd1' as issue_date,
         source as issue_id, (lang = 'en') as is_top_article, replace(source, 'c', '; ') as authors, lang as classification_tags,
         case lang when 'fr' then '7' when 'en' then length(text)::varchar else '' end as total_text_length,
         {_PRESS_URL_SQL} as article_url, coalesce(body, '') as article_text
@@ -705,7 +704,6 @@ def t3_stream_feed_scan(spark, sf_dir):
     select region_id, first_event::varchar as article_text from f""",
 )
 def t2_stream_ingest(spark, sf_dir):
-    from gleanery.operators.dedupe import first_wins
     from gleanery.operators.tables import read_table
 
     folder = work_folder(spark)
