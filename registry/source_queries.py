@@ -414,6 +414,9 @@ _BODY_SQL = f"""
     f"""with {_BODY_SQL}
     select doc_id * 4294967296 as ord, doc_id::varchar as region_id, 'find' as search_text, source as title, 'd1' as issue_date,
         source as issue_id, (lang = 'en') as is_top_article, replace(source, 'c', '; ') as authors, lang as classification_tags,
+        '' as highlights, 'p' as profile_id, '' as issue_title, '' as issue_country, '' as issue_cid, '12' as page, '' as page_name,
+        '' as section, '' as subtitle, '' as hyphenated_title, lang as language, '' as byline, 0.5::double as rank, '' as rate,
+        null::bigint as similars_count, null::bigint as current_text_length, '' as related_titles, '' as images,
         case lang when 'fr' then '7' when 'en' then length(text)::varchar else '' end as total_text_length,
         {_PRESS_URL_SQL} as article_url, coalesce(body, '') as article_text
     from documents join labels using (doc_id) left join bb using (doc_id)
@@ -427,11 +430,10 @@ def p3_flow_press_rows(spark, sf_dir):
         F.when((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit("done")).otherwise(F.lit("")).alias("article_text"),
     )
     found = press.article_rows(hits, meta, details, stored, search_text="find")
-    return found.select(
-        "ord", "region_id", "search_text", "title", "issue_date", "issue_id", "is_top_article",
-        joined("authors", "; ").alias("authors"), joined("classification_tags", "; ").alias("classification_tags"),
-        F.coalesce(F.col("total_text_length").cast("string"), F.lit("")).alias("total_text_length"),
-        "article_url", "article_text",
+    lists = ("authors", "classification_tags", "related_titles", "images")
+    return found.withColumns(
+        {c: joined(c, "; ") for c in lists}
+        | {"total_text_length": F.coalesce(F.col("total_text_length").cast("string"), F.lit(""))}
     )
 
 
