@@ -459,7 +459,7 @@ def flow_press_run(spark, sf_dir):
 
 
 def listing_pages(spark, sf_dir):
-    """One listing page per document, one card per line; cards lack a field now and then."""
+    """One listing page per document, one card per line; cards lack a field now and then, and a page its cards."""
 
     def card(line, i):
         at = i.cast("string")
@@ -477,11 +477,13 @@ def listing_pages(spark, sf_dir):
         F.lit("<html><body><a target='_blank' href='/out'><h3>o</h3></a><main><script>var a='<a target=_blank>';</script>"),
         F.array_join(F.transform(F.split("text", "\n"), card), "\n"), F.lit("</main></body></html>"),
     )
-    return docs(spark, sf_dir).select(F.col("doc_id").alias("page"), html.alias("html"))
+    empty = F.lit("<html><body><main></main></body></html>")
+    page = F.when(F.col("doc_id") % 400 == 399, empty).otherwise(html)
+    return docs(spark, sf_dir).select(F.col("doc_id").alias("page"), page.alias("html"))
 
 
 _CARDS_SQL = f"""
-    cl as (select doc_id as page, lang, source, {_LINES} from documents),
+    cl as (select doc_id as page, lang, source, {_LINES} from documents where doc_id % 400 <> 399),
     cards as (select page, i::bigint as card_pos, {collapse_sql('line')} as title,
         case i % 3 when 0 then source else 'Logo ' || lang end as publisher,
         case when i % 3 = 1 then '2024-01-02' else '2024-03-' || lpad((i % 28 + 1)::varchar, 2, '0') end as publish_date,
@@ -540,11 +542,14 @@ def flow_blog_table(spark, sf_dir):
 
 
 def post_snapshots(spark, sf_dir):
-    """One snapshot per document, one post per line."""
+    """One snapshot per document, one post per line; now and then, up to four times in a row, one that
+    shows an old post only."""
+    old = (F.col("doc_id") % 10).isin(7, 8) | (F.col("doc_id") % 300).between(290, 293)
 
     def card(line, i):
         at = i.cast("string")
-        urn = F.concat(F.lit("urn:li:activity:"), F.col("doc_id").cast("string"), F.lit("0"), at)
+        own = F.concat(F.col("doc_id").cast("string"), F.lit("0"), at)
+        urn = F.concat(F.lit("urn:li:activity:"), F.when(old, F.lit("100")).otherwise(own))
         return F.concat(
             F.lit(f'<div class="x {fv.POST_CARD_CLASS} y"'),
             F.when(i % 4 == 1, F.concat(F.lit(' data-urn="'), urn, F.lit('"'))).otherwise(F.lit("")), F.lit(">"),
@@ -562,9 +567,10 @@ def post_snapshots(spark, sf_dir):
 
 
 _POSTS_SQL = f"""
-    pl as (select doc_id, lang, source, {_LINES} from documents),
-    posts as (select doc_id as snapshot_pass, i::bigint as card_pos, doc_id || '0' || i as post_id,
-        case when i % 4 = 0 then '{fv.POST_SITE}/feed/update/urn:li:activity:' || doc_id || '0' || i || '/' else '' end as post_url,
+    pl as (select doc_id, lang, source, {_LINES}, case when doc_id % 10 in (7, 8) or doc_id % 300 between 290 and 293
+        then '100' else doc_id || '0' || i end as post_id from documents),
+    posts as (select doc_id as snapshot_pass, i::bigint as card_pos, post_id,
+        case when i % 4 = 0 then '{fv.POST_SITE}/feed/update/urn:li:activity:' || post_id || '/' else '' end as post_url,
         source as author_name, '{fv.POST_SITE}/in/' || source as author_profile, lang as author_job,
         case when {strip_sql('line')} = '' then 'end' else {strip_sql('line')} || chr(10) || 'end' end as content,
         i::bigint * 1000 as reactions, 0::bigint as comments, i::bigint as impressions
