@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gleanery.llm import line_spread, minhash, packing, repeats, toxicity
-from gleanery.llm.common import materialize, pick
+from gleanery.llm.common import materialize, pick, small_batches
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Bytes of a repeated passage that is removed; fifty words of the corpus' languages have more.
@@ -21,12 +21,13 @@ PASSAGE_BYTES = 240
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on a bounded sample of the labelled ones, does not call toxic."""
     docs = pick(docs, *COLUMNS)
-    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    model = toxicity.fit(docs, small_batches(spark).read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.keep_clean(docs, model)
 
 
 def drop_widespread_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that stand on many sources; n_chars is counted again."""
+    small_batches(spark)
     out = line_spread.drop_widespread_lines(docs, keep=("lang", "source"))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
@@ -36,6 +37,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Documents without words and rows without doc_id are in no class and stay.
     """
+    small_batches(spark)
     docs = pick(docs, *COLUMNS)
     found = materialize(minhash.near_duplicates(docs, width=5, per_cent=80))
     chosen = found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"))
@@ -48,6 +50,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages that stand more than once in the corpus; n_chars is counted again."""
+    small_batches(spark)
     out = repeats.remove_repeats(docs, PASSAGE_BYTES, keep=("lang", "source"), whole_characters=True)
     text = F.col("kept").cast("string")
     return out.select("doc_id", text.alias("text"), "lang", "source", F.length(text).cast("long").alias("n_chars"))
@@ -55,6 +58,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens: a row for each piece of a document and its place."""
+    small_batches(spark)
     return packing.best_fit_packing(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -7,11 +7,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gleanery.session import materialize, scratch_dir
 
-__all__ = ["materialize", "parts", "pick", "row_key", "scratch_dir"]
+__all__ = ["materialize", "parts", "pick", "row_key", "scratch_dir", "small_batches"]
 
 
 def pick(df: DataFrame, *names: str, **renamed: str) -> DataFrame:
@@ -41,4 +41,11 @@ def parts(batch: pa.RecordBatch, text: str, size: int) -> Iterator[pa.RecordBatc
     for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
         if b > a:
             yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Send at most this many rows at once to Python: rows with whole texts are wide, and workers are reused."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
 

@@ -27,9 +27,9 @@ SYMBOLS = 48
 MISS = 1e-5
 #: Shingles of one block of sets; a task compares two blocks.
 BLOCK = 250_000
-TOGETHER = 8 << 20
+TOGETHER = 4 << 20
 #: Remembered word hashes in each task.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 
 class _Hashes(dict):

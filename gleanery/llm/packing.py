@@ -20,10 +20,10 @@ from pyspark.sql import DataFrame, functions as F
 from .common import materialize, parts, pick
 
 #: Remembered words in each Python worker.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 #: Punctuation that is looked up apart from the word it ends.
 MARKS = ".,;:!?"
-TOGETHER = 16 << 20
+TOGETHER = 4 << 20
 #: Pieces packed by one task.
 GROUP = 32_768
 #: Texts of these characters need no normal form beyond lower case: ASCII and Latin letters that are composed.
