@@ -96,12 +96,70 @@ def op7_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_spread.line_spread_report(table(spark, sf_dir, "documents"))
 
 
-@query("op9_licence_scan")
+def _templates_sql() -> str:
+    rows = [(name, " ".join(licences.words(text))) for name, texts in licences.TEMPLATES.items() for text in texts]
+    return ", ".join(f"('{name}', '{text}')" for name, text in rows)
+
+
+def _bigrams_sql(found: str) -> str:
+    return f"list_distinct([{found}[k] || ' ' || {found}[k + 1] for k in range(1, len({found}))])"
+
+
+LICENCE_SQL = f"""
+with lines as (
+    select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 as pos
+    from documents
+),
+own as (
+    select doc_id, pos, {_bigrams_sql('w')} as g
+    from (select doc_id, pos, regexp_extract_all(lower(line), '[a-z0-9]+') as w from lines)
+),
+templates as (
+    select name, {_bigrams_sql('w')} as g
+    from (select name, string_split(t, ' ') as w from (values {_templates_sql()}) as v(name, t))
+),
+scored as (
+    select doc_id, pos, name, len(t.g) as n, len(list_intersect(o.g, t.g)) as shared, len(o.g) + len(t.g) as bigrams
+    from own o join templates t on len(o.g) between len(t.g) / 1.6 and len(t.g) * 1.6
+),
+best as (
+    select *, 2 * shared / bigrams as dice from scored where shared > 0 and 2 * shared / bigrams >= 0.8
+    qualify row_number() over (partition by doc_id, pos order by dice desc, n, name) = 1
+),
+top as (select * from best qualify row_number() over (partition by doc_id order by dice desc, pos) = 1)
+select d.doc_id, count(l.pos) as n_units,
+    (select count(*) from best b where b.doc_id = d.doc_id) as n_matches,
+    any_value(t.name) as licence, any_value(t.pos)::int as line, any_value(t.shared)::int as shared,
+    any_value(t.bigrams)::int as bigrams, any_value(t.dice) as dice
+from documents d join lines l using (doc_id) left join top t using (doc_id) group by d.doc_id
+"""
+
+
+@query("op9_licence_scan", LICENCE_SQL)
 def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(table(spark, sf_dir, "documents"))
 
 
-@query("op10_collision_dedup")
+COSINE_SQL = """
+with recursive good as (
+    select vec_id, label, [x::double for x in embedding] as v from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+      and len([x for x in embedding if x is null or not isfinite(x)]) = 0 and len([x for x in embedding if x <> 0]) > 0
+),
+link as (
+    select a.vec_id as a, b.vec_id as b from good a join good b on a.label = b.label and a.vec_id <> b.vec_id
+    where list_cosine_similarity(a.v, b.v) >= 0.98
+),
+reach as (select a, b from link union select r.a, l.b from reach r join link l on r.b = l.a)
+select e.vec_id, (select count(*) from link l where l.a = e.vec_id) as n_links,
+    coalesce(least(e.vec_id, (select min(b) from reach r where r.a = e.vec_id)), e.vec_id) as component_id,
+    e.vec_id <= coalesce((select min(b) from reach r where r.a = e.vec_id), e.vec_id) as kept
+from embeddings e
+"""
+
+
+@query("op10_collision_dedup", COSINE_SQL)
 def op10_collision_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projections.near_duplicates(table(spark, sf_dir, "embeddings"))
 
