@@ -26,7 +26,7 @@ from .components import Forest, components
 SYMBOLS = 48
 MISS = 1e-5
 #: Shingles of one block of sets; a task compares two blocks.
-BLOCK = 250_000
+BLOCK = 1_000_000
 TOGETHER = 4 << 20
 #: Remembered word hashes in each task.
 REMEMBERED = 200_000
