@@ -458,8 +458,9 @@ def flow_press_run(spark, sf_dir):
 # ---- blog listing and posts ----
 
 
-def listing_pages(spark, sf_dir):
-    """One listing page per document, one card per line; cards lack a field now and then, and a page its cards."""
+def listing_pages(spark, sf_dir, gaps=True):
+    """One listing page per document, one card per line; cards lack a field now and then, and with ``gaps`` a
+    page its cards."""
 
     def card(line, i):
         at = i.cast("string")
@@ -478,17 +479,18 @@ def listing_pages(spark, sf_dir):
         F.array_join(F.transform(F.split("text", "\n"), card), "\n"), F.lit("</main></body></html>"),
     )
     empty = F.lit("<html><body><main></main></body></html>")
-    page = F.when(F.col("doc_id") % 400 == 399, empty).otherwise(html)
+    page = F.when(F.col("doc_id") % 400 == 399, empty).otherwise(html) if gaps else html
     return docs(spark, sf_dir).select(F.col("doc_id").alias("page"), page.alias("html"))
 
 
-_CARDS_SQL = f"""
-    cl as (select doc_id as page, lang, source, {_LINES} from documents where doc_id % 400 <> 399),
+_ALL_CARDS_SQL = f"""
+    cl as (select doc_id as page, lang, source, {_LINES} from documents),
     cards as (select page, i::bigint as card_pos, {collapse_sql('line')} as title,
         case i % 3 when 0 then source else 'Logo ' || lang end as publisher,
         case when i % 3 = 1 then '2024-01-02' else '2024-03-' || lpad((i % 28 + 1)::varchar, 2, '0') end as publish_date,
         'Sum mary of ' || i as summary, '{fv.BLOG_BASE_URL}/p/' || page || '/' || i || '?a=1&b=2' as url
         from cl where {collapse_sql('line')} <> '' and (i % 5 <> 4 or i % 3 = 1))"""
+_CARDS_SQL = _ALL_CARDS_SQL.replace(" from documents)", " from documents where doc_id % 400 <> 399)")
 
 
 @query("s5_listing_cards", f"with {_CARDS_SQL} select * from cards")
@@ -528,7 +530,22 @@ def x10_card_publisher(spark, sf_dir):
     from cards, s where stop is null or page < stop""",
 )
 def flow_blog_table(spark, sf_dir):
-    listing = listing_pages(spark, sf_dir)
+    """The run ends at the first empty page, which is the same at every scale; flow_blog_all_pages grows."""
+    return blog_flow(spark, sf_dir, listing_pages(spark, sf_dir))
+
+
+@query(
+    "flow_blog_all_pages",
+    f"""with {_ALL_CARDS_SQL}
+    select title, publisher, publish_date, summary, case when card_pos % 2 = 0 then 'three words here' else '' end as detail_content,
+        url as source_url, page as engblogs_page from cards""",
+)
+def flow_blog_all_pages(spark, sf_dir):
+    """No page is empty: the run goes over the whole table."""
+    return blog_flow(spark, sf_dir, listing_pages(spark, sf_dir, gaps=False))
+
+
+def blog_flow(spark, sf_dir, listing):
     lines = docs(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line"))
     host = fv.BLOG_BASE_URL.replace("://www.", "://")
     stored = lines.where(F.col("i") % 2 == 0).select(

@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registered
+import bench
 from gleanery import fixed_values as fv
 from gleanery.operators.tables import read_table, upsert_table
 from gleanery.plans import blogs, feeds, jobs, posts, press
@@ -48,6 +50,20 @@ def test_feed_flow(spark):
     assert [r.feed_xml_url for r in feeds.scan_feeds(feed_list, docs, ["c\n\ns"]).collect()] == ["f2"]
 
 
+def documents_at(spark, folder, first, last):
+    """A folder with documents of these ids, of two lines each."""
+    text = F.concat(F.lit("one "), F.col("id").cast("string"), F.lit("\ntwo"))
+    docs = spark.range(first, last + 1).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"))
+    docs.write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def test_timed_blog_flow_reads_all_pages(spark, tmp_path):
+    (name,) = [n for n in bench.HEADLINE if n.startswith("flow_blog")]
+    rows = registered.queries()[name](spark, documents_at(spark, tmp_path, 397, 402)).collect()
+    assert {r.engblogs_page for r in rows} == set(range(397, 403))
+
+
 def test_blog_flow(spark):
     later = LISTING.replace('href="/a"', 'href="/late"')
     listing = spark.createDataFrame(
