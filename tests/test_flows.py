@@ -64,6 +64,13 @@ def test_timed_blog_flow_reads_all_pages(spark, tmp_path):
     assert {r.engblogs_page for r in rows} == set(range(397, 403))
 
 
+def test_post_flow_makes_all_passes(spark, tmp_path):
+    """Of the post flows over whole tables one goes on where the fixture of flow_posts stops."""
+    rows = registered.queries()["flow_posts_all_passes"](spark, documents_at(spark, tmp_path, 286, 402)).collect()
+    shown = {int(r.Post_ID[:3]) for r in rows if r.Post_ID != "100"}
+    assert shown == {i for i in range(286, 403) if i % 10 not in (7, 8)}
+
+
 def test_blog_flow(spark):
     later = LISTING.replace('href="/a"', 'href="/late"')
     listing = spark.createDataFrame(
