@@ -23,14 +23,20 @@ def normal_line(line: Column) -> Column:
 
 
 def _hashed(docs: DataFrame) -> DataFrame:
-    """A row (row, site, at, a, b) for each line that is not blank; a and b are a 128-bit hash."""
-    lines = docs.select(
+    """A row (row, site, c, d, at, a, b) for each line that is not blank; a and b are a 128-bit hash of the line,
+    c and d one of the text in its normal form."""
+    # Hashes of whole texts are taken before the lines are laid out, once for each text.
+    texts = docs.select(
         row_key("doc_id", "site", "text").alias("row"),
         "site",
-        F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("at", "line"),
-    ).withColumn("line", normal_line(F.col("line")))
+        F.xxhash64(normal_line(F.col("text"))).alias("c"),
+        F.xxhash64(F.lit("second"), normal_line(F.col("text"))).alias("d"),
+        F.split(F.coalesce("text", F.lit("")), "\n").alias("lines"),
+    )
+    lines = texts.select("row", "site", "c", "d", F.posexplode("lines").alias("at", "line"))
+    lines = lines.withColumn("line", normal_line(F.col("line")))
     return lines.where("line <> ''").select(
-        "row", "site", "at", F.xxhash64("line").alias("a"), F.xxhash64(F.lit("second"), "line").alias("b")
+        "row", "site", "c", "d", "at", F.xxhash64("line").alias("a"), F.xxhash64(F.lit("second"), "line").alias("b")
     )
 
 
@@ -50,26 +56,38 @@ def widespread(pairs: DataFrame, min_sites: int) -> DataFrame:
 
 
 def drop_widespread_lines(
-    docs: DataFrame, min_sites: int = 10, max_share: float = 0.5, site: str = "source", keep: tuple[str, ...] = ()
+    docs: DataFrame, min_sites: int = 10, site: str = "source", keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """``docs`` with lines that stand on ``min_sites`` or more sites taken out of ``text``.
 
     Result: doc_id, text (kept lines joined by newlines), the ``keep`` columns, n_lines, n_removed, for each row of ``docs``.
     Lines are compared in their normal form; blank lines are never removed and belong to no count of
-    removed lines. A document of which more than ``max_share`` of the characters would go is a copy
-    rather than a page with furniture around it: it stays whole, for near-duplicate removal to judge.
+    removed lines. Copies of a text do not spread its lines: texts that are equal in the normal form count
+    with one site, the smallest. Widespread lines go from every document, copies included.
+
+    Texts that are nearly equal count as different ones, so a text that stands on ``min_sites`` sites in
+    versions of its own loses the lines that the versions share.
 
     Defined cases: a null text has no line and stays null; an empty text has one blank line; a null
     site is no site; rows that repeat come back as often as they went in; an empty table gives an
     empty result; other columns, also with clashing names, play no part.
 
-    At scale: the first aggregation leaves a row per line and site in the map tasks, so a line that
-    a third of all rows carry costs a row per task and site. The join of lines with the widespread ones
-    has one row per line on its right side; Spark splits its large partitions.
+    At scale: the first aggregation has a row per line and text, the second leaves a row per line and site in
+    the map tasks, so a line that a third of all rows carry costs a row per task and site there. The join of
+    lines with the widespread ones has one row per line on its right side; Spark splits its large partitions.
     """
+    return _cut(docs, min_sites, None, site, keep)
+
+
+def _cut(docs: DataFrame, min_sites: int, max_share: float | None, site: str, keep: tuple[str, ...]) -> DataFrame:
+    """With ``max_share`` copies count like other rows, and a document of which more than that share of the
+    characters would go stays whole."""
     docs = pick(docs, "doc_id", "text", *keep, site=site)
     hashed = _hashed(docs)
-    pairs = materialize(hashed.where("site is not null").select("a", "b", "site").distinct())
+    sited = hashed.where("site is not null")
+    if max_share is None:
+        sited = sited.groupBy("a", "b", "c", "d").agg(F.min("site").alias("site"))
+    pairs = materialize(sited.select("a", "b", "site").distinct())
     bad = widespread(pairs, min_sites).withColumn("bad", F.lit(True))
     flags = hashed.join(bad, ["a", "b"]).groupBy("row").agg(
         F.array_sort(F.collect_set("at")).alias("places")
@@ -84,7 +102,7 @@ def drop_widespread_lines(
     marked = marked.withColumn("kept", F.when(F.col("drop").isNull(), F.col("lines")).otherwise(kept))
     text = F.array_join("kept", "\n")
     marked = marked.withColumn("cut", F.coalesce(text, F.lit("")))
-    whole = F.length("cut") < F.length("text") * (1 - max_share)
+    whole = F.lit(False) if max_share is None else F.length("cut") < F.length("text") * (1 - max_share)
     return marked.select(
         "doc_id",
         F.when(F.col("drop").isNull() | whole, F.col("text")).otherwise(F.col("cut")).alias("text"),
@@ -115,7 +133,13 @@ def _flags(size: Column, places: Column) -> Column:
     return F.flatten(runs)
 
 
-def line_spread_report(docs: DataFrame, min_sites: int = 10, max_share: float = 0.5, site: str = "source") -> DataFrame:
-    """Digest form of :func:`drop_widespread_lines`: doc_id, n_lines, n_removed, kept_sha256."""
-    out = drop_widespread_lines(docs, min_sites, max_share, site)
+def line_spread_report(
+    docs: DataFrame, min_sites: int = 10, max_share: float | None = 0.5, site: str = "source"
+) -> DataFrame:
+    """doc_id, n_lines, n_removed, kept_sha256: with ``max_share`` None the digest form of :func:`drop_widespread_lines`.
+
+    Otherwise copies count like other rows, and a document of which more than ``max_share`` of the characters
+    would go stays whole, with its widespread lines.
+    """
+    out = _cut(docs, min_sites, max_share, site, ())
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))

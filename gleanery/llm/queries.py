@@ -93,9 +93,41 @@ from documents d left join judged j using (doc_id)
 
 @query("op7_line_spread", LINE_SPREAD_SQL)
 def op7_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves documents whole that are mostly widespread lines; op7_line_spread_whole does not."""
     return line_spread.line_spread_report(table(spark, sf_dir, "documents"))
 
 
+ALL_LINES_SQL = """
+with texts as (
+    select *, lower(trim(regexp_replace(text, '[ \\t\\n\\v\\f\\r]+', ' ', 'g'), ' ')) as same
+    from documents where text is not null
+),
+sited as (select *, min(source) over (partition by same) as site from texts),
+raw as (
+    select doc_id, site, unnest(string_split(text, chr(10))) as line,
+           generate_subscripts(string_split(text, chr(10)), 1) as pos
+    from sited
+),
+lines as (select *, lower(trim(regexp_replace(line, '[ \\t\\n\\v\\f\\r]+', ' ', 'g'), ' ')) as plain from raw),
+spread as (
+    select plain from lines where plain <> '' group by plain having count(distinct site) >= 10
+),
+cut as (
+    select doc_id, count(*) as n_lines, count(s.plain) as n_removed,
+        coalesce(string_agg(line, chr(10) order by pos) filter (s.plain is null), '') as kept
+    from lines l left join spread s using (plain) group by doc_id
+)
+select d.doc_id, coalesce(n_lines, 0)::bigint as n_lines, coalesce(n_removed, 0)::bigint as n_removed,
+    sha256(coalesce(kept, '')) as kept_sha256
+from documents d left join cut using (doc_id)
+"""
+
+
+@query("op7_line_spread_whole", ALL_LINES_SQL)
+def op7_line_spread_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_spread.line_spread_report(table(spark, sf_dir, "documents"), max_share=None)
+
+
 def _templates_sql() -> str:
     rows = [(name, " ".join(licences.words(text))) for name, texts in licences.TEMPLATES.items() for text in texts]
     return ", ".join(f"('{name}', '{text}')" for name, text in rows)

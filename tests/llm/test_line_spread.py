@@ -60,3 +60,38 @@ def test_many_sites_are_settled_by_sketches_and_near_ones_exactly(spark):
 
 def test_empty_table(spark):
     assert line_spread.line_spread_report(documents(spark, cases()).limit(0)).collect() == []
+
+
+def plain_texts(rows, min_sites):
+    """Every widespread line goes; equal texts count with one site."""
+    first, sites = {}, defaultdict(set)
+    for _, text, site in rows:
+        if text is not None and site is not None:
+            first[normal(text)] = min(site, first.get(normal(text), site))
+    for _, text, site in rows:
+        counted = first.get(normal(text or ""), site)
+        for line in (text or "").split("\n"):
+            if site is not None:
+                sites[normal(line)].add(counted)
+    out = []
+    for i, text, _ in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if not normal(x) or len(sites[normal(x)]) < min_sites]
+        out.append((i, None if text is None else "\n".join(kept), len(lines) - len(kept)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("min_sites", [1, 9, 10, 11])
+def test_all_widespread_lines_go(spark, min_sites):
+    rows = cases()
+    found = line_spread.drop_widespread_lines(clashing(documents(spark, rows)), min_sites=min_sites)
+    assert sorted([(r.doc_id, r.text, r.n_removed) for r in found.collect()], key=str) == plain_texts(rows, min_sites)
+
+
+def test_pages_of_mostly_furniture_lose_it_and_copies_stay(spark):
+    furniture = "\n".join(f"a line of the page frame number {k}" for k in range(6))
+    copied = "\n".join(f"a line of the copied text number {k}" for k in range(6))
+    rows = [(i, f"{furniture}\nown {i}", f"s{i}") for i in range(12)]
+    rows += [(100 + i, copied.replace(" ", " " * (1 + i % 2)), f"s{i}") for i in range(12)]
+    found = {r.doc_id: r.text for r in line_spread.drop_widespread_lines(documents(spark, rows)).collect()}
+    assert found == {i: f"own {i}" if i < 100 else text for i, text, _ in rows}
