@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -134,3 +136,135 @@ def scan_licences(
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=NAMES)
 
     return pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, SCHEMA)
+
+
+def full_texts() -> dict[str, list[str]]:
+    """Whole licence texts by name, of the files beside this module."""
+    files = sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))
+    return {f.stem: [f.read_text(encoding="utf-8")] for f in files}
+
+
+def all_templates() -> dict[str, list[str]]:
+    """The notices and the whole licence texts."""
+    whole = full_texts()
+    return {name: TEMPLATES.get(name, []) + whole.get(name, []) for name in sorted(TEMPLATES | whole)}
+
+
+TEXT_NAMES = ["doc_id", "n_words", "licences", "licence", "unit", "first_word", "n_unit", "shared", "bigrams", "dice"]
+TEXT_SCHEMA = (
+    "doc_id long, n_words long, licences array<string>, licence string, unit string, first_word int, n_unit int, "
+    "shared int, bigrams int, dice double"
+)
+
+
+class TextScanner:
+    """Units over line ends: lines, paragraphs, the document, and windows of each template's words.
+
+    A unit with s of the n bigrams of a template has a Dice of 2 s / (n + s) at most, so s >= t / (2 - t) n is needed:
+    a template of which the document has fewer is left out, and so is a unit with fewer.
+    """
+
+    def __init__(self, templates: dict[str, list[str]], threshold: float):
+        self.templates, self.homes = [], {}
+        for name in sorted(templates):
+            for text in templates[name]:
+                if pairs := bigrams(text):
+                    least = max(1, threshold / (2 - threshold) * len(pairs) * (1 - 1e-9))
+                    for pair in pairs:
+                        self.homes.setdefault(pair, []).append(len(self.templates))
+                    self.templates.append((name, pairs, len(words(text)), least))
+        self.threshold = threshold
+
+    def document(self, text: str | None) -> tuple:
+        found, lines, paragraphs, open_at = [], [], [], None
+        for line in (text or "").split("\n"):
+            start = len(found)
+            found += words(line)
+            lines.append((start, len(found)))
+            if line.strip():
+                open_at = start if open_at is None else open_at
+            elif open_at is not None:
+                paragraphs.append((open_at, start))
+                open_at = None
+        if open_at is not None:
+            paragraphs.append((open_at, len(found)))
+        pairs = list(zip(found, found[1:]))
+        has: dict[int, set] = {}
+        for pair in pairs:
+            for k in self.homes.get(pair, ()):
+                has.setdefault(k, set()).add(pair)
+        names, top = set(), None
+        for k, shared in has.items():
+            name, template, size, least = self.templates[k]
+            if len(shared) < least:
+                continue
+            fixed = [("document", 0, len(found)), *[("paragraph", a, b) for a, b in paragraphs], *[("line", a, b) for a, b in lines]]
+            for kind, a, b, common, own in [*self.fixed(pairs, template, fixed, least), *self.windows(pairs, template, size, least)]:
+                dice = 2 * common / (own + len(template))
+                if dice >= self.threshold:
+                    names.add(name)
+                    rank = (-common, -dice, a, b - a, len(template), name, kind, own)
+                    top = rank if top is None or rank < top else top
+        if top is None:
+            return (len(found), [], *(None,) * 7)
+        common, dice, a, n, of, name, kind, own = top
+        return (len(found), sorted(names), name, kind, a, n, -common, own + of, -dice)
+
+    def fixed(self, pairs, template, units, least) -> Iterator[tuple]:
+        before = [0]
+        for pair in pairs:
+            before.append(before[-1] + (pair in template))
+        for kind, a, b in units:
+            last = max(a, b - 1)
+            if before[last] - before[a] >= least:
+                own = set(pairs[a:last])
+                yield kind, a, b, len(own & template), len(own)
+
+    def windows(self, pairs, template, size, least) -> Iterator[tuple]:
+        """Every window of ``size`` words with enough shared bigrams; counts are carried from one to the next."""
+        held, common = Counter(), 0
+        for at, pair in enumerate(pairs):
+            held[pair] += 1
+            if held[pair] == 1 and pair in template:
+                common += 1
+            start = at - size + 2
+            if start > 0:
+                gone = pairs[start - 1]
+                held[gone] -= 1
+                if not held[gone]:
+                    del held[gone]
+                    common -= gone in template
+            if start >= 0 and common >= least:
+                yield "window", start, start + size, common, len(held)
+
+
+def scan_licence_texts(
+    docs: DataFrame, templates: dict[str, list[str]] | None = None, threshold: float = 0.8
+) -> DataFrame:
+    """Licence notices and whole licence texts anywhere in whole texts: one row per row of ``docs``.
+
+    Units are the lines, the paragraphs (between blank lines), the whole document, and for each template all windows
+    of as many words as it has, over line ends. Result: doc_id, n_words, licences (names with a unit at or over
+    ``threshold``, sorted), and of the best unit its licence, kind, first word from 0, words, shared bigrams,
+    bigrams of unit and template together, and Dice coefficient. The best unit is the one that shares most bigrams
+    with a template, so that a whole licence text goes before a notice inside it; ties go to the higher Dice, the
+    earlier unit, the shorter one, the smaller template, the name, then the kind.
+
+    Defined cases: a null or empty text has no word and no licence; units of fewer than two words match nothing;
+    without templates nothing matches; repeated rows come back as often as they went in; other columns play no
+    part. Narrow map work: no shuffle; linear in the words, and once more for each template that is mostly there.
+    """
+    chosen = all_templates() if templates is None else templates
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner = TextScanner(chosen, threshold)
+        for batch in batches:
+            found = list(zip(*[scanner.document(x.as_py()) for x in batch.column("text")])) or [()] * 9
+            kinds = (
+                pa.int64(), pa.list_(pa.string()), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(),
+                pa.float64(),
+            )
+            columns = [pa.array(v, kind) for v, kind in zip(found, kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=TEXT_NAMES)
+
+    return pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, TEXT_SCHEMA)

@@ -170,9 +170,15 @@ from documents d join lines l using (doc_id) left join top t using (doc_id) grou
 
 @query("op9_licence_scan", LICENCE_SQL)
 def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units are single lines; op9_licence_texts looks over line ends and for whole licence texts."""
     return licences.scan_licences(table(spark, sf_dir, "documents"))
 
 
+@query("op9_licence_texts")
+def op9_licence_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licence_texts(table(spark, sf_dir, "documents"))
+
+
 COSINE_SQL = """
 with recursive good as (
     select vec_id, label, [x::double for x in embedding] as v from embeddings

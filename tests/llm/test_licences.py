@@ -55,3 +55,48 @@ def test_empty_table_and_no_templates(spark):
     docs = documents(spark, cases())
     assert licences.scan_licences(docs.limit(0)).collect() == []
     assert {r.n_matches for r in licences.scan_licences(docs, templates={}).collect()} == {0}
+
+
+def plain_text(text, threshold, templates):
+    """Every unit against every template."""
+    found, lines, blocks = [], [], [[]]
+    for line in (text or "").split("\n"):
+        own = licences.words(line)
+        lines.append((len(found), len(found) + len(own)))
+        blocks[-1].append(lines[-1]) if line.strip() else blocks.append([])
+        found += own
+    units = [("line", *x) for x in lines] + [("paragraph", b[0][0], b[-1][1]) for b in blocks if b] + [("document", 0, len(found))]
+    names, best = set(), []
+    for name in templates:
+        for template in templates[name]:
+            size, other = len(licences.words(template)), licences.bigrams(template)
+            windows = [("window", i, i + size) for i in range(len(found) - size + 1)]
+            for kind, a, b in units + windows:
+                own = frozenset(zip(found[a:b], found[a + 1 : b]))
+                shared, both = len(own & other), len(own) + len(other)
+                if shared and 2 * shared / both >= threshold:
+                    names.add(name)
+                    best.append((-shared, -2 * shared / both, a, b - a, len(other), name, kind, both))
+    if not best:
+        return (len(found), [], *(None,) * 7)
+    shared, dice, a, n, _, name, kind, both = min(best)
+    return (len(found), sorted(names), name, kind, a, n, -shared, both, -dice)
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
+def test_texts_against_all_units(spark, threshold):
+    rows = [(i, t) for i, t in cases() if i != 203]
+    rows += [(i + 300, (t or "").replace(" ", "\n", i % 7).replace(". ", ".\n\n")) for i, t in rows if i is not None]
+    found = licences.scan_licence_texts(clashing(documents(spark, rows)), licences.TEMPLATES, threshold)
+    wanted = [(i, *plain_text(t, threshold, licences.TEMPLATES)) for i, t in rows]
+    assert sorted([tuple(r) for r in found.collect()], key=str) == sorted(wanted, key=str)
+
+
+def test_whole_and_wrapped_licences_are_found(spark):
+    texts = licences.full_texts()
+    rows = [(i, f"Copyright 2020 Foo Inc.\n\n{texts[name][0]}\nThe end.") for i, name in enumerate(texts)]
+    rows += [(10 + i, "Some prose first. " + " ".join(texts[name][0].split())) for i, name in enumerate(texts)]
+    rows += [(20, "Copyright 2020 Foo Inc. Released under the MIT License."), (21, "Released\nunder the\nMIT License."), (22, "prose " * 300)]
+    found = {r.doc_id: r for r in licences.scan_licence_texts(documents(spark, rows)).collect()}
+    assert all(found[i + j].licence == name and found[i + j].dice > 0.99 for j in (0, 10) for i, name in enumerate(texts))
+    assert (found[20].licences, found[21].licences, found[22].licences) == (["MIT"], ["MIT"], [])
