@@ -70,7 +70,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: The stages train, hash and tokenize: SQL cannot express them. The tests hold each against a brute-force version.
+#: The stages train, hash and tokenize: SQL cannot express them. The tests compare the operators, not the stages, with plain versions.
 ORACLE_SQL = None
 
 
