@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licences, line_spread, minhash, packing, projections, repeats, topk, toxicity, warc
+from . import bpe, licences, line_spread, minhash, packing, projections, repeats, topk, toxicity, url_filter, warc
 from .common import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -226,3 +226,35 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_run_index_dedup")
 def op1_run_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeats_report(table(spark, sf_dir, "documents"))
+
+
+#: The rules of op12 as rows of (host, path, verdict).
+URL_RULES = """
+values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+       ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+"""
+
+URL_SQL = f"""
+with rules as (select * from ({URL_RULES}) as r(rule_host, rule_path, verdict)),
+rest as (
+    select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest from pages
+),
+parsed as (
+    select page_id,
+        translate(regexp_extract(rest, '^([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+        regexp_extract(rest, '^([^/?#]*)([^?#]*)', 2) as path
+    from rest
+)
+select page_id, host, path,
+    (select arg_max(rule_host || rule_path, length(rule_host || rule_path)) from rules
+     where (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)) as rule,
+    coalesce((select arg_max(verdict, length(rule_host || rule_path)) from rules
+     where (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)), 'allow') as verdict
+from parsed
+"""
+
+
+@query("op12_url_filter", URL_SQL)
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.sql(f"select * from ({URL_RULES}) as r(host, path, verdict)")
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
