@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licences, line_spread, minhash, packing, projections, repeats, topk, toxicity, url_filter, warc
+from . import bpe, licences, line_spread, minhash, packing, projections, repeats, runs, topk, toxicity, url_filter, warc
 from .common import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -258,3 +258,8 @@ from parsed
 def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.sql(f"select * from ({URL_RULES}) as r(host, path, verdict)")
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.runs_report(runs.periodic_runs(runs.with_planted_runs(table(spark, sf_dir, "documents"))))
