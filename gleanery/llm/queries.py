@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licences, line_spread, minhash, packing, projections, repeats, runs, topk, toxicity, url_filter, warc
+from . import bpe, licences, line_spread, minhash, packing, projections, repeats, runs, topk, toxicity, trie, url_filter, warc
 from .common import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -263,3 +263,59 @@ def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_periodic_runs")
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.runs_report(runs.periodic_runs(runs.with_planted_runs(table(spark, sf_dir, "documents"))))
+
+
+#: The unsigned CRC-32 of a text of ASCII characters.
+CRC32_SQL = """xor(4294967295::bigint, list_reduce(
+    list_prepend(4294967295::bigint, [ascii(x)::bigint for x in string_split({text}, '')]),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0]::bigint[], lambda p, q: xor(p >> 1, 3988292384 * (p & 1)))))"""
+
+TRIE_SQL = f"""
+with own as (
+    select conv_id, row_number() over (partition by conv_id order by turn nulls first, role, text) as place,
+        coalesce(role, '') as role, coalesce(text, '') as text
+    from conversations where conv_id is not null
+),
+convs as (
+    select conv_id, conv_id - conv_id % 20 as base, {CRC32_SQL.format(text="conv_id::varchar")} % 4 as h from own group by conv_id
+),
+rebuilt as (
+    select c.conv_id, o.place, role, text from convs c join own o on o.conv_id = c.base and o.place <= c.h
+    union all
+    select c.conv_id, o.place, role, text from convs c join own o on o.conv_id = c.conv_id and o.place > c.h
+),
+turns as (
+    select conv_id, row_number() over (partition by conv_id order by place) as depth, sha256(role) || sha256(text) as turn,
+        len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as words
+    from rebuilt
+),
+steps as (
+    select conv_id, depth, words, sha256(string_agg(turn, '') over (partition by conv_id order by depth)) as node from turns
+    union all
+    select conv_id, 0, 0, '' from convs
+),
+chained as (
+    select s.*, lag(node) over (partition by conv_id order by depth) as parent,
+        depth = max(depth) over (partition by conv_id) as ends
+    from steps s
+),
+nodes as (
+    select node, any_value(depth) as depth, any_value(parent) as parent, min(conv_id) as conv_id, count(*) as n_convs,
+        any_value(words) as words, sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) as ends_sha256
+    from chained group by node
+),
+children as (select parent as node, count(*) as n_children from nodes where parent is not null group by parent),
+inside as (
+    select s.node as top, sum((c.node is null)::int) as n_leaves, sum((n.n_convs - 1) * n.words) as saved_tokens
+    from nodes n join chained s on s.conv_id = n.conv_id and s.depth <= n.depth left join children c on c.node = n.node
+    group by s.node
+)
+select n.conv_id, n.depth::bigint as depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(n_children, 0)::bigint as n_children,
+    n_leaves::bigint as n_leaves, saved_tokens::bigint as saved_tokens, n.ends_sha256
+from nodes n left join nodes p on p.node = n.parent left join children c on c.node = n.node join inside i on i.top = n.node
+"""
+
+
+@query("op11_conversation_trie", TRIE_SQL)
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.rebuilt_trie(table(spark, sf_dir, "conversations")).drop("enter_at", "leave_at")
