@@ -46,12 +46,33 @@ def scratch_dir(spark: SparkSession) -> str:
     return current
 
 
+# Shuffle files of a query are deleted when it ends, not only when the driver collects garbage.
+_DELETE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a frame to the shared scratch folder and read it back.
 
     For results of costly work (HTML parsing) that several branches of a plan need: the work
     runs once, survives lost executors, and later reads take only the columns they need.
     """
-    path = f"{scratch_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    before = spark.conf.get(_DELETE_SHUFFLES, "false")
+    spark.conf.set(_DELETE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_DELETE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote. Only for tables that nothing reads any more: what was made of
+    them has to be stored itself."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+            if folder.rsplit("/", 1)[1].startswith("table-"):
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
