@@ -9,9 +9,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gleanery.session import materialize, scratch_dir
+from gleanery.session import discard, materialize, scratch_dir
 
-__all__ = ["materialize", "parts", "pick", "row_key", "scratch_dir", "small_batches"]
+__all__ = ["discard", "gathered", "materialize", "parts", "pick", "row_key", "scratch_dir", "small_batches"]
 
 
 def pick(df: DataFrame, *names: str, **renamed: str) -> DataFrame:
@@ -44,6 +44,20 @@ def parts(batch: pa.RecordBatch, text: str, size: int) -> Iterator[pa.RecordBatc
     pa.default_memory_pool().release_unused()
 
 
+def gathered(batches: Iterator[pa.RecordBatch], text: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``size`` bytes of a text column, put together from smaller ones or cut from larger ones."""
+    held, total = [], 0
+    for batch in batches:
+        for part in parts(batch, text, size):
+            held.append(part)
+            total += pc.sum(pc.binary_length(part.column(text))).as_py() or 0
+            if total >= size:
+                yield pa.concat_batches(held)
+                held, total = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def small_batches(spark: SparkSession) -> SparkSession:
     """Send at most this many rows at once to Python: rows with whole texts are wide, and workers are reused."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")

@@ -16,10 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import materialize, parts, pick
+from .common import discard, materialize, parts, pick
 from .components import Forest, components
 
 #: Symbols of a signature, at most, and the chance at which a pair right at the threshold may be missed.
@@ -138,35 +139,37 @@ def _compare(left: pa.Table, right: pa.Table, per_cent: int) -> pa.Table:
     return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def compare_groups(left: DataFrame, right: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
-    """Links (a, b) between the sets that ``left`` and ``right`` (group, id) name in each group.
+def compare_groups(left: DataFrame, right: DataFrame, sets: DataFrame, sizes: DataFrame, per_cent: int) -> DataFrame:
+    """Links (a, b) between the sets that ``left`` and ``right`` (group, id: distinct rows) name in each group.
 
-    Each side of a group is cut into blocks of about ``BLOCK`` shingles, so a group of any size is compared by
-    tasks of bounded memory; they return spanning links, not pairs.
+    Each side of a group is cut into blocks of about ``BLOCK`` shingles by the ``sizes`` (id, n) of its sets, so a group of
+    any size is compared by tasks of bounded memory; they return spanning links, not pairs. The ``sets`` (id, found)
+    are joined once, when the rows are dealt.
     """
-    left = left.join(sets, "id")
-    right = right.join(sets, "id")
 
     def blocks(side: DataFrame, name: str) -> DataFrame:
-        return side.groupBy("group").agg(F.ceil(F.sum(F.octet_length("found")) / (8 * BLOCK)).cast("long").alias(name))
+        sized = side.join(sizes, "id").groupBy("group")
+        return sized.agg(F.ceil(F.sum("n") / BLOCK).cast("long").alias(name))
 
-    sizes = materialize(blocks(left, "lefts").join(blocks(right, "rights"), "group"))
+    counts = materialize(blocks(left, "lefts").join(blocks(right, "rights"), "group"))
 
-    def dealt(side: DataFrame, own: str, other: str, own_name: str, other_name: str) -> DataFrame:
-        return side.join(sizes, "group").select(
-            F.col("group").alias("group"), F.col("id").alias("id"), F.col("found").alias("found"),
-            F.pmod(F.xxhash64("id"), F.col(own)).alias(own_name),
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other_name),
-        )
+    def dealt(side: DataFrame, is_left: bool) -> DataFrame:
+        own, other = ("lefts", "rights") if is_left else ("rights", "lefts")
+        block = F.pmod(F.xxhash64("id"), F.col(own)).alias("l" if is_left else "r")
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias("r" if is_left else "l")
+        rows = side.join(counts, "group").select("group", "id", block, every)
+        return rows.select("group", "l", "r", "id", F.lit(is_left).alias("left"))
 
-    keys = ("group", "l", "r")
-    a = dealt(left, "lefts", "rights", "l", "r").groupBy(*keys)
-    b = dealt(right, "rights", "lefts", "r", "l").groupBy(*keys)
-    return a.cogroup(b).applyInArrow(lambda x, y: _compare(x, y, per_cent), "a long, b long")
+    rows = dealt(left, True).unionByName(dealt(right, False)).join(sets, "id")
+
+    def compare(table: pa.Table) -> pa.Table:
+        return _compare(table.filter(table["left"]), table.filter(pc.invert(table["left"])), per_cent)
+
+    return rows.groupBy("group", "l", "r").applyInArrow(compare, "a long, b long")
 
 
 def signatures(docs: DataFrame, width: int, signer: Signer) -> DataFrame:
-    """doc_id, n_shingles, digest (two longs) and signature of the shingle set of each whole text."""
+    """doc_id, hash of the text (t1, t2), n_shingles, digest (d1, d2) and signature of the shingle set of each whole text."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
@@ -176,12 +179,19 @@ def signatures(docs: DataFrame, width: int, signer: Signer) -> DataFrame:
                 digests = np.array([_digest(x) for x in found], np.uint64).view(np.int64).reshape(-1, 2)
                 signed = [signer.signature(x).tobytes() if len(x) else None for x in found]
                 columns = [
-                    part.column("doc_id"), pa.array([len(x) for x in found], pa.int64()),
+                    *[part.column(c) for c in ("doc_id", "t1", "t2")], pa.array([len(x) for x in found], pa.int64()),
                     pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(signed, pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "d1", "d2", "signature"])
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "t1", "t2", "n_shingles", "d1", "d2", "signature"])
+
+    named = docs.select("doc_id", *text_hash("text"), "text")
+    return named.mapInArrow(sign, "doc_id long, t1 long, t2 long, n_shingles long, d1 long, d2 long, signature binary")
 
-    return docs.mapInArrow(sign, "doc_id long, n_shingles long, d1 long, d2 long, signature binary")
+
+def text_hash(text: str) -> tuple[Column, Column]:
+    """t1 and t2, a hash of a text; null counts as empty."""
+    whole = F.coalesce(text, F.lit(""))
+    return F.xxhash64(whole).alias("t1"), F.xxhash64(F.lit("second"), whole).alias("t2")
 
 
 def _digest(found: np.ndarray) -> tuple[int, int]:
@@ -190,7 +200,7 @@ def _digest(found: np.ndarray) -> tuple[int, int]:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(id, found): the sets of the rows that ``wanted`` (id, d1, d2) names, once each."""
+    """(id, found): the sets of the classes that ``wanted`` (id, doc_id, d1, d2, copies) names, each taken from the rows of a doc_id."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
@@ -204,8 +214,10 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 names, sets = zip(*rows) if rows else ((), ())
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.binary())], names=["id", "found"])
 
-    joined = docs.withColumnRenamed("doc_id", "id").join(wanted, "id").select("id", "text", "d1", "d2")
-    return joined.mapInArrow(build, "id long, found binary").dropDuplicates(["id"])
+    joined = docs.join(wanted, "doc_id").select("id", "text", "d1", "d2", "copies")
+    once, more = (joined.where(x).mapInArrow(build, "id long, found binary") for x in ("copies = 1", "copies > 1"))
+    # Only a class of several rows can come from several rows of its doc_id.
+    return once.unionByName(more.dropDuplicates(["id"]))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, per_cent: int = 80) -> DataFrame:
@@ -215,17 +227,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, per_cent: int = 80) -> Data
     included), kept (doc_id = component_id).
 
     Defined cases: texts without words and null texts have no shingle and link with nothing; a row with a null
-    doc_id links with nothing and is kept (component_id null); rows that share a doc_id are one node; equal sets are
-    linked; an empty table gives an empty result; other columns play no part.
+    doc_id links with nothing and is kept (component_id null); rows that share a doc_id but not the set are nodes of their own,
+    which bear the same name; equal sets are linked; an empty table gives an empty result; other columns play no part.
 
     All pairs whose signatures differ in fewer than twice as many symbols as there are chunks are found; a pair at the
     threshold is missed with a chance of at most ``MISS``, a closer one far less.
     """
+    return near_duplicate_rows(docs, width, per_cent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def near_duplicate_rows(docs: DataFrame, width: int, per_cent: int) -> DataFrame:
+    """:func:`near_duplicates`, with the hash of each text (t1, t2) and the digest of its set (d1, d2)."""
     docs = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
     signer = Signer(per_cent / 100)
     signed = materialize(signatures(docs, width, signer))
     usable = signed.where("n_shingles > 0 and doc_id is not null")
-    classes = materialize(usable.groupBy("d1", "d2").agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature")))
+    # A class is a distinct set; it has a number of its own, as a doc_id may stand on rows of different sets.
+    classes = usable.groupBy("d1", "d2").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"), F.count("*").alias("copies")
+    )
+    classes = materialize(classes.withColumn("id", F.monotonically_increasing_id()))
+    sizes = classes.select("id", "n")
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = signer.size * signer.chunks
@@ -238,26 +260,33 @@ def near_duplicates(docs: DataFrame, width: int = 5, per_cent: int = 80) -> Data
     keys = classes.select("id", "signature").mapInArrow(file, "key long, id long")
     shared = keys.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last")
     filed = materialize(keys.join(shared.select("key", "pivot"), "key"))
-    wanted = filed.select("id").distinct().join(classes.select("id", "d1", "d2"), "id")
+    wanted = filed.select("id").distinct().join(classes.select("id", "doc_id", "d1", "d2", "copies"), "id")
     sets = materialize(full_sets(docs, wanted, width))
-    # First each row with the pivot that most of its keys have.
-    votes = filed.where("id <> pivot").groupBy("id", "pivot").agg(F.count("*").alias("n"))
-    stars = materialize(votes.groupBy("id").agg(F.max(F.struct("n", -F.col("pivot"), "pivot"))["pivot"].alias("group")))
+    # First each row with the pivot that most of its keys have, of those whose sets are not too unlike in size.
+    votes = filed.where("id <> pivot").groupBy("id", "pivot").agg(F.count("*").alias("votes"))
+    votes = votes.join(sizes, "id").join(sizes.select(F.col("id").alias("pivot"), F.col("n").alias("m")), "pivot")
+    votes = votes.where(100 * F.least("n", "m") >= per_cent * F.greatest("n", "m"))
+    stars = materialize(votes.groupBy("id").agg(F.max(F.struct("votes", -F.col("pivot"), "pivot"))["pivot"].alias("group")))
     pivots = stars.select("group").distinct().select("group", F.col("group").alias("id"))
-    first = materialize(compare_groups(stars, pivots, sets, per_cent))
+    first = materialize(compare_groups(stars, pivots, sets, sizes, per_cent))
     members = components(first)
     rows = filed.select("key", "id").join(members, "id", "left")
     rows = materialize(rows.select("key", "id", F.coalesce("component", "id").alias("component")))
+    discard(filed, stars, members)
     anchors = anchors_of(rows)
     outside = rows.join(anchors, "key").where(F.col("component") != F.col("group")).select("group", "id").distinct()
     outside = materialize(outside)
     inside = rows.select(F.col("component").alias("group"), "id").distinct().join(outside.select("group").distinct(), "group", "left_semi")
-    second = compare_groups(outside, inside.unionByName(outside), sets, per_cent)
-    found = components(first.unionByName(second)).withColumnRenamed("id", "node")
-    named = usable.join(classes.select("d1", "d2", F.col("id").alias("node")), ["d1", "d2"]).join(found, "node", "left")
-    named = named.select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
-    alone = signed.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return named.unionByName(alone).withColumn("kept", _same("doc_id", "component_id"))
+    second = compare_groups(outside, inside.unionByName(outside).distinct(), sets, sizes, per_cent)
+    found = components(first.unionByName(second))
+    discard(sets, first, rows, outside)
+    named = classes.select("d1", "d2", "id", "doc_id").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named = materialize(named.join(least, "component").select("d1", "d2", "component_id"))
+    discard(classes, found)
+    linked_rows = usable.drop("signature").join(named, ["d1", "d2"])
+    alone = signed.where("n_shingles = 0 or doc_id is null").drop("signature").withColumn("component_id", F.col("doc_id"))
+    return linked_rows.unionByName(alone).withColumn("kept", _same("doc_id", "component_id"))
 
 
 def anchors_of(rows: DataFrame) -> DataFrame:

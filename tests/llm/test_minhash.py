@@ -65,6 +65,14 @@ def test_odd_rows(spark):
     assert found(spark, [], 3, 85) == []
 
 
+def test_rows_that_share_a_doc_id_keep_their_own_classes(spark):
+    a, b, c = ("".join(f"{x}{i} " for i in range(40)) for x in "abc")
+    rows = [(1, a), (1, b), (2, c), (3, b), (4, b.upper()), (5, a + "more"), (1, a)]
+    expected = [(1, 38, 1, True)] * 3 + [(2, 38, 2, True), (3, 38, 1, False), (4, 38, 1, False), (5, 39, 1, False)]
+    for _ in range(2):
+        assert found(spark, rows, 3, 85) == sorted(expected, key=str)
+
+
 @pytest.mark.parametrize("similarity", [0.8, 0.85, 0.95])
 def test_every_pair_within_the_distance_shares_a_key(similarity):
     signer = minhash.Signer(similarity)

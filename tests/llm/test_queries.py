@@ -58,3 +58,10 @@ def test_repeated_passages_go(spark):
     found = {r.doc_id: r.text for r in corpus_pipeline.drop_repeated_passages(spark, documents(spark, rows), SF).collect()}
     assert all("päss30" not in found[i] and str(i * 7919) in found[i] for i in range(4))
     assert found[9] == rows[-1][1]
+
+
+def test_no_text_of_a_shared_doc_id_is_lost(spark):
+    a, b, c = ("".join(f"{x}{i} " for i in range(40)) for x in "abc")
+    rows = [(1, a), (1, b), (2, c), (3, b), (1, a), (4, ""), (4, ""), (4, " ")]
+    kept = corpus_pipeline.drop_near_copies(spark, documents(spark, rows), SF).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(1, a), (1, b), (2, c), (4, ""), (4, " ")]
