@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialize, parts, pick
+from .common import discard, materialize, parts, pick
 
 #: Bytes of the substrings whose smallest hash is a key.
 GRAM = 32
@@ -131,7 +131,7 @@ class RunIndex:
 
     def _suffixes(self, n: int, longest: int) -> np.ndarray:
         """Suffixes in order by prefix doubling; equal tails of texts in the order of the texts."""
-        order = np.argsort(self.words, kind="stable")
+        order = np.argsort(self.words)
         sorted_ = self.words[order]
         new = np.r_[True, sorted_[1:] != sorted_[:-1]]
         rank = np.empty(n, np.int64)
@@ -148,7 +148,7 @@ class RunIndex:
             first = rank[suffix]
             # One sort: rows of a group stay in the group's own rows.
             pair = first * (n + 2) + second
-            at = np.argsort(pair, kind="stable")
+            at = np.argsort(pair)
             suffix, pair, first = suffix[at], pair[at], first[at]
             order[rows] = suffix
             new = np.r_[True, pair[1:] != pair[:-1]]
@@ -157,6 +157,8 @@ class RunIndex:
             rank[suffix] = np.repeat(rows[begin], count)
             rows = rows[np.repeat(count > 1, count)]
             width *= 2
+        if len(rows):
+            order[rows] = order[rows][np.argsort(rank[order[rows]] * n + order[rows])]
         return order
 
     def common(self, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
@@ -233,7 +235,8 @@ def _index_batches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[p
 
     def marked(held: list[tuple]) -> pa.RecordBatch:
         spans = repeated_starts([x[4] for x in held], [x[3] for x in held], length)
-        rows = [(x[1], x[2], s.astype("<i4").tobytes()) for x, s in zip(held, spans) if len(s)]
+        # Contexts that stand several times are repeated as a whole and need no marks.
+        rows = [(x[1], x[2], s.astype("<i4").tobytes()) for x, s in zip(held, spans) if len(s) and x[3] == 1]
         columns = zip(*rows) if rows else ((), (), ())
         kinds = (pa.int64(), pa.int64(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["c1", "c2", "spans"])
@@ -252,7 +255,7 @@ def _index_batches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[p
 
 def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     """(r1, r2, spans): for each row of ``docs`` (r1, r2, data) with repeats, the strings that stand more than once,
-    as a list of (at, spans) of its contexts."""
+    as a list of (at, starts, spans) of its contexts; null spans are all of the context's string starts."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -284,18 +287,22 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
                 start = pa.array(np.arange(n, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays([*columns, start, w1, w2], names=["c1", "c2", "copies", "start", "w1", "w2"])
 
-    found = materialize(docs.mapInArrow(find, "r1 long, r2 long, at long, starts long, key long, own boolean, c1 long, c2 long"))
-    again = found.groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("own")).where("n > 1 or own").select("key")
+    every = materialize(docs.mapInArrow(find, "r1 long, r2 long, at long, starts long, key long, own boolean, c1 long, c2 long"))
+    again = every.groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("own")).where("n > 1 or own").select("key")
     again = materialize(again)  # stored, so that both sides of the join are plain shuffles, which Spark can split
-    found = materialize(found.join(again, "key", "left_semi").drop("own"))
+    found = materialize(every.join(again, "key", "left_semi").drop("own"))
+    discard(every, again)
     distinct = materialize(
         found.groupBy("key", "c1", "c2").agg(
             F.count("*").alias("copies"), F.min(F.struct("r1", "r2", "at", "starts")).alias("place")
         )
     )
-    sizes = distinct.groupBy("key").agg(F.sum(F.col("place.starts") + (length - 1)).alias("size"))
-    sizes = sizes.select("key", (F.col("size") > 2 * INDEX_BYTES).alias("large"))
-    wanted = distinct.join(sizes, "key").select("place.*", "key", "c1", "c2", "copies", "large")
+    # Few keys are large; where all contexts stand several times, all strings are repeated, and no text is needed.
+    size, least = F.sum(F.col("place.starts") + (length - 1)), F.min("copies")
+    kinds = distinct.groupBy("key").agg((size > 2 * INDEX_BYTES).alias("large"), (least > 1).alias("settled"))
+    kinds = materialize(kinds.where("large or settled"))
+    wanted = distinct.join(kinds, "key", "left").where("settled is null or not settled")
+    wanted = wanted.select("place.*", "key", "c1", "c2", "copies", F.coalesce("large", F.lit(False)).alias("large"))
     wanted = wanted.groupBy("r1", "r2").agg(F.collect_list(F.struct("at", "starts", "key", "c1", "c2", "copies", "large")).alias("wanted"))
     texts = docs.join(wanted, ["r1", "r2"]).select("data", "wanted")
     texts = texts.mapInArrow(cut, "key long, c1 long, c2 long, copies long, large boolean, context binary")
@@ -308,10 +315,12 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
         strings, "c1 long, c2 long, copies long, start int, w1 long, w2 long"
     )
     often = single.groupBy("w1", "w2").agg(F.sum("copies").alias("n")).where("n > 1").select("w1", "w2")
-    hits = single.join(often, ["w1", "w2"], "left_semi").groupBy("c1", "c2").agg(F.collect_set("start").alias("at"))
+    hits = single.where("copies = 1").join(often, ["w1", "w2"], "left_semi").groupBy("c1", "c2").agg(F.collect_set("start").alias("at"))
     hits = hits.mapInArrow(_runs, MARKS)
-    marks = materialize(marks.unionByName(hits).dropDuplicates(["c1", "c2"]))
-    spans = found.join(marks, ["c1", "c2"]).select("r1", "r2", F.struct("at", "spans").alias("span"))
+    whole = distinct.where("copies > 1").select("c1", "c2", F.lit(None).cast("binary").alias("spans"))
+    marks = materialize(marks.unionByName(hits).unionByName(whole))
+    discard(distinct, kinds, texts)
+    spans = found.join(marks, ["c1", "c2"]).select("r1", "r2", F.struct("at", "starts", "spans").alias("span"))
     return spans.groupBy("r1", "r2").agg(F.collect_set("span").alias("spans"))
 
 
@@ -331,7 +340,9 @@ def removed_runs(spans: list[dict] | None, length: int) -> np.ndarray:
     """Maximal runs (start, end) of bytes covered by repeated strings, from the marks of a document's contexts."""
     if not spans:
         return np.empty((0, 2), np.int64)
-    rows = np.concatenate([np.frombuffer(s["spans"], "<i4").reshape(-1, 2).astype(np.int64) + s["at"] for s in spans])
+    # No marks: all strings of the context are repeated.
+    marks = [np.array([0, s["starts"]], "<i4") if s["spans"] is None else np.frombuffer(s["spans"], "<i4") for s in spans]
+    rows = np.concatenate([m.reshape(-1, 2).astype(np.int64) + s["at"] for m, s in zip(marks, spans)])
     rows = rows[np.argsort(rows[:, 0], kind="stable")]
     rows[:, 1] += length - 1
     reach = np.maximum.accumulate(rows[:, 1])
