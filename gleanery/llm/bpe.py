@@ -19,16 +19,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from .common import parts, pick
+from .common import gathered, pick
 
-#: A run without white space, with the one space before it, or a run of white space as the tokenizers' pattern cuts it.
-_CHUNK = regex.compile(r" ?\S+|\s+(?!\S)|\s+")
-#: Remembered chunks and pre-tokens in each Python worker.
-REMEMBERED = 200_000
+#: Remembered pre-tokens in each Python worker; beyond that, only those of the last texts stay.
+REMEMBERED = 400_000
 #: Pre-tokens up to this many bytes are encoded many at a time; longer ones alone, and not remembered.
 SHORT = 64
-#: Characters of text that are encoded together.
-TOGETHER = 4 << 20
+#: Bytes of text that are encoded together, over several batches.
+TOGETHER = 8 << 20
 
 
 class RankQueue:
@@ -95,7 +93,6 @@ class Codec:
         keys = np.array([k for k, _ in pairs] + [self.size**2], np.int64)
         order = np.argsort(keys)
         self.keys, self.values = keys[order], np.array([r for _, r in pairs] + [-1], np.int64)[order]
-        self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
     def merge(self, word: bytes) -> list[int]:
@@ -198,40 +195,33 @@ class Codec:
         for r, part in zip(ranks[np.r_[0, cuts]].tolist(), np.split(at, cuts)):
             queue.bucket(r).append(part)
 
-    def _learn(self, chunks: set[str]) -> None:
-        """Encode chunks that are not remembered."""
-        cut = {c: self.pattern.findall(c) for c in chunks}
-        own: dict[str, bytes] = {}
+    def _learn(self, words: set[str]) -> None:
+        """Encode pre-tokens that are not remembered."""
         short = []
-        for word in {w for words in cut.values() for w in words}.difference(self.words):
+        for word in words:
             data = word.encode()
             whole = self.ranks.get(data)
             if whole is not None:
-                own[word] = whole.to_bytes(4, "little")
+                self.words[word] = whole.to_bytes(4, "little")
             elif len(data) <= SHORT:
                 short.append((word, data))
             else:
-                own[word] = np.array(self.merge(data), "<u4").tobytes()
+                self.words[word] = np.array(self.merge(data), "<u4").tobytes()
         if short:
-            own.update(zip([w for w, _ in short], self.merge_many([d for _, d in short])))
-        for chunk, words in cut.items():
-            self.chunks[chunk] = b"".join([own[w] if w in own else self.words[w] for w in words])
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        self.words.update((w, x) for w, x in own.items() if len(x) <= SHORT)
+            self.words.update(zip([w for w, _ in short], self.merge_many([d for _, d in short])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
-        cut = [_CHUNK.findall(x) for x in texts]
-        if len(self.chunks) > REMEMBERED:
-            self.chunks.clear()
-        missing = set().union(*cut).difference(self.chunks)
-        if missing:
-            self._learn(missing)
-        get = self.chunks.__getitem__
-        out = [b"".join(map(get, x)) for x in cut]
-        for chunk in [c for c in missing if len(c) > SHORT]:
-            del self.chunks[chunk]
+        cut = [self.pattern.findall(x) for x in texts]
+        seen = set().union(*cut)
+        missing = seen.difference(self.words)
+        self._learn(missing)
+        out = [b"".join(map(self.words.__getitem__, x)) for x in cut]
+        if len(self.words) > REMEMBERED:
+            self.words = {w: self.words[w] for w in seen if len(w) <= SHORT}
+        for word in missing:
+            if len(word) > SHORT:
+                self.words.pop(word, None)
         return out
 
     def decode(self, ids: bytes) -> bytes:
@@ -264,11 +254,10 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for batch in batches:
-            for part in parts(batch, "text", TOGETHER):
-                ids = own.encode([x.as_py() or "" for x in part.column("text")])
-                columns = [part.column("doc_id"), pa.array(ids, pa.binary()), pa.array(map(own.decode, ids), pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"])
+        for part in gathered(batches, "text", TOGETHER):
+            ids = own.encode([x or "" for x in part.column("text").to_pylist()])
+            columns = [part.column("doc_id"), pa.array(ids, pa.binary()), pa.array(map(own.decode, ids), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"])
 
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
     return rows.mapInArrow(encode, "doc_id long, ids binary, decoded binary")
@@ -279,16 +268,15 @@ def encode_report(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for batch in batches:
-            for part in parts(batch, "text", TOGETHER):
-                ids = own.encode([x.as_py() or "" for x in part.column("text")])
-                columns = [
-                    part.column("doc_id"),
-                    pa.array([len(x) // 4 for x in ids], pa.int64()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-                    pa.array([hashlib.sha256(own.decode(x)).hexdigest() for x in ids], pa.string()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        for part in gathered(batches, "text", TOGETHER):
+            ids = own.encode([x or "" for x in part.column("text").to_pylist()])
+            columns = [
+                part.column("doc_id"),
+                pa.array([len(x) // 4 for x in ids], pa.int64()),
+                pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                pa.array([hashlib.sha256(own.decode(x)).hexdigest() for x in ids], pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
     return rows.mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
