@@ -27,7 +27,7 @@ BLOCK_BITS = 17
 #: A round of blocks has to leave at most this share of the arcs (below 1); else pointer jumping takes over.
 SHRINKS = 0.7
 #: Turns of a conversation, siblings of a node, and neighbouring conversation ids in one group, as powers of two.
-TURN_BITS, SIBLING_BITS, ID_BITS = 10, 16, 10
+TURN_BITS, SIBLING_BITS, ID_BITS = 10, 8, 10
 _ROW_BITS = 33
 
 
