@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gleanery.llm import line_spread, minhash, packing, repeats, toxicity
-from gleanery.llm.common import materialize, pick, small_batches
+from gleanery.llm.common import discard, materialize, pick, small_batches
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Bytes of a repeated passage that is removed; fifty words of the corpus' languages have more.
@@ -33,19 +33,24 @@ def drop_widespread_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class, the one of the smallest doc_id; of rows that repeat a doc_id one.
+    """One document of each near-duplicate class, the one of the smallest doc_id.
 
-    Documents without words and rows without doc_id are in no class and stay.
+    A doc_id that stands on different texts keeps one row of each of them that is kept; of rows that repeat doc_id and text,
+    one stays. Documents without words and rows without doc_id are in no class and stay.
     """
     small_batches(spark)
-    docs = pick(docs, *COLUMNS)
-    found = materialize(minhash.near_duplicates(docs, width=5, per_cent=80))
-    chosen = found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"))
-    named = docs.join(chosen, "doc_id")
+    docs = pick(docs, *COLUMNS).withColumns(dict(zip(("t1", "t2"), minhash.text_hash("text"))))
+    row = ["doc_id", "t1", "t2"]
+    found = materialize(minhash.near_duplicate_rows(docs, width=5, per_cent=80).where("doc_id is not null"))
+    # Texts of one doc_id with the same shingles are copies of one another.
+    one = found.where("kept and n_shingles > 0").groupBy("doc_id", "d1", "d2")
+    chosen = one.agg(F.min(F.struct("t1", "t2")).alias("t"), F.count("*").alias("rows")).select("doc_id", "t.*", "rows")
+    without_words = found.where("n_shingles = 0").groupBy(*row).agg(F.count("*").alias("rows"))
+    named = docs.join(chosen.unionByName(without_words), row)
     # Almost every doc_id stands once; only the others need a choice among their rows.
-    repeated = named.where("rows > 1").drop("rows").dropDuplicates(["doc_id"])
-    once = named.where("rows = 1").drop("rows")
-    return once.unionByName(repeated).unionByName(docs.where("doc_id is null")).select(*COLUMNS)
+    repeated = named.where("rows > 1").dropDuplicates(row)
+    kept = named.where("rows = 1").unionByName(repeated).select(*COLUMNS)
+    return kept.unionByName(docs.where("doc_id is null").select(*COLUMNS))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,6 +82,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on documents; each result is written to the shared scratch folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir))
+    for i, (_, stage) in enumerate(STAGES):
+        before, docs = docs, materialize(stage(spark, docs, sf_dir))
+        if i:
+            discard(before)
     return docs
