@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gleanery import fixed_values as fv
 from gleanery.functions.arrays import preview_list
 from gleanery.functions.text import csv_safe
-from gleanery.operators import dedupe, joins, limits, rows, search, tables
+from gleanery.operators import dedupe, joins, keywords, limits, rows, search, tables
 from gleanery.sources.jobs import clean_terms, read_terms, tag_query
 
 from .base import JOB_TEXT_SQL, big, collapse_sql, job_text, joined, query, quote, strip_sql, table, work_folder
@@ -47,6 +47,27 @@ def p8_whole_word_hits(spark, sf_dir):
     return found.select("doc_id", joined("matched_keywords").alias("matched_keywords"))
 
 
+TERM = "[a-zà-ÿ]{8,}"
+
+
+@query(
+    "p8_keyword_table",
+    f"""with terms as (
+        select distinct unnest(regexp_extract_all(lower(text), '{TERM}')) as term from documents
+    ),
+    hits as (select doc_id, term from documents join terms on contains(lower(text), term))
+    select doc_id, count(*) as n_hits, md5(string_agg(upper(term), ',' order by length(term) desc, term)) as hits
+    from hits group by doc_id""",
+)
+def p8_keyword_table(spark, sf_dir):
+    """All longer words of the corpus (tens of thousands) as the keyword table, the longest first."""
+    texts = docs(spark, sf_dir).select("doc_id", "text")
+    terms = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("keyword"))
+    terms = terms.distinct().withColumn("place", -F.length("keyword").cast("bigint"))
+    found = keywords.match_keyword_table(texts, "text", terms, order="place")
+    return found.select("doc_id", big(F.size("matched_keywords")).alias("n_hits"), F.md5(F.array_join("matched_keywords", ",")).alias("hits"))
+
+
 @query(
     "p9_default_keyword_match",
     "select doc_id, 'AI' as matched_keywords from documents where text <> '' and contains(lower(text), 'ai')",
