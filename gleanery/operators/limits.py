@@ -138,28 +138,45 @@ def passes_until_idle(
     """The passes that a run makes: it stops after ``max_idle`` passes in a row without a new
     key, or after ``max_passes`` if that is given.
 
-    ``passes`` holds one row per pass. Only per-pass counts reach the ordered window.
+    ``passes`` holds one row per pass (a bigint column). Passes are numbered by :func:`row_index`, and the last pass with a
+    new key is carried from bucket to bucket of passes in the same two steps, so no task sees all passes, however
+    many there are; the stop is one number, read as a scalar subquery.
     """
     first_seen = sightings.groupBy(key).agg(F.min(pass_col).alias("_pass"))
     fresh = first_seen.groupBy("_pass").agg(F.count(F.lit(1)).alias("new_keys"))
-    made = passes.select(F.col(pass_col).alias("_pass")).distinct()
-    counted = (
-        (made if max_passes is None else made.orderBy("_pass").limit(max_passes))
-        .join(fresh, "_pass", "left")
-        .select("_pass", F.coalesce("new_keys", F.lit(0)).cast("bigint").alias("new_keys"))
-    )
-    in_order = Window.orderBy("_pass")
-    islands = counted.withColumn("_turn", F.row_number().over(in_order)).withColumn(
-        "_last_new",
-        F.coalesce(F.max(F.when(F.col("new_keys") > 0, F.col("_turn"))).over(in_order), F.lit(0)),
-    )
-    idle = islands.withColumn("idle_run", (F.col("_turn") - F.col("_last_new")).cast("bigint"))
-    stopped = F.min(F.when(F.col("idle_run") >= max_idle, F.col("_turn"))).over(Window.partitionBy())
-    return (
-        idle.withColumn("_stop", stopped)
-        .where(F.col("_stop").isNull() | (F.col("_turn") <= F.col("_stop")))
-        .select(F.col("_pass").alias(pass_col), "new_keys", "idle_run")
-    )
+    made = passes.select(F.col(pass_col).alias("_pass")).where("_pass is not null").distinct()
+    counted = made.join(fresh, "_pass", "left").select("_pass", F.coalesce("new_keys", F.lit(0)).cast("bigint").alias("new_keys"))
+    turns = row_index(materialize(counted), "_pass", "_turn").withColumn("_turn", F.col("_turn") + 1)
+    if max_passes is not None:
+        turns = turns.where(F.col("_turn") <= max_passes)
+    turns = carried_max(turns, "_turn", F.when(F.col("new_keys") > 0, F.col("_turn")), "_last_new")
+    idle = turns.withColumn("idle_run", (F.col("_turn") - F.coalesce("_last_new", F.lit(0))).cast("bigint"))
+    idle = materialize(idle.select("_pass", "_turn", "new_keys", "idle_run"))
+    stop = idle.where(F.col("idle_run") >= max_idle).agg(F.min("_turn").alias("stop")).scalar()
+    made = idle.where(stop.isNull() | (F.col("_turn") <= stop))
+    return made.select(F.col("_pass").alias(pass_col), "new_keys", "idle_run")
+
+
+def carried_max(df: DataFrame, index: str, value: Column, name: str) -> DataFrame:
+    """``name``: the largest ``value`` of all rows up to each one, in the order of a row number (bigint, distinct); null before
+    the first value that is not null.
+
+    Each bucket of 2**20 neighbouring rows has its running maximum; what was reached before a bucket comes from the maxima of
+    the buckets of its group and of the groups before, as in :func:`row_index`.
+    """
+    rows = df.withColumns({"_bucket": F.shiftright(index, _ROW_BITS), "_value": value})
+    buckets = rows.groupBy("_bucket").agg(F.max("_value").alias("_max")).withColumn("_group", F.shiftright("_bucket", _BUCKET_BITS))
+    groups = buckets.groupBy("_group").agg(F.max("_max").alias("_max"))
+
+    def reached(*within: str, by: str) -> Column:
+        earlier = Window.partitionBy(*within).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        return F.max("_max").over(earlier)
+
+    inner = buckets.select("_bucket", "_group", reached("_group", by="_bucket").alias("_inner"))
+    outer = groups.select("_group", reached(by="_group").alias("_outer"))
+    before = inner.join(outer, "_group").select("_bucket", F.greatest("_inner", "_outer").alias("_before"))
+    running = F.max("_value").over(Window.partitionBy("_bucket").orderBy(index))
+    return rows.withColumn("_running", running).join(before, "_bucket").select(*df.columns, F.greatest("_running", "_before").alias(name))
 
 
 def preview(jobs: DataFrame, limit: int = 20, order: str = "ord") -> DataFrame:

@@ -102,6 +102,31 @@ def test_passes_until_idle_against_brute_force(spark):
         assert collected(got, "p") == brute_passes(news, 3, 20)
 
 
+@pytest.mark.parametrize("row_bits, bucket_bits", [(3, 1), (20, 22)])
+def test_passes_until_idle_over_many_buckets(spark, monkeypatch, row_bits, bucket_bits):
+    monkeypatch.setattr(limits, "_ROW_BITS", row_bits)
+    monkeypatch.setattr(limits, "_BUCKET_BITS", bucket_bits)
+    rng = random.Random(row_bits)
+    passes = sorted(rng.sample(range(-50, 400), 200))
+    seen = [(p, f"k{p if rng.random() < 0.15 else 0}") for p in passes]
+    known, news = set(), []
+    for p, k in seen:
+        news.append((p, int(k not in known)))
+        known.add(k)
+    for max_idle in (5, 20, 500):
+        got = limits.passes_until_idle(
+            frame(spark, "p bigint, k string", *seen), frame(spark, "p bigint", *[(p,) for p in passes]), key="k", pass_col="p", max_idle=max_idle
+        )
+        assert collected(got, "p") == brute_passes(news, max_idle, 10**6)
+
+
+def test_two_million_passes(spark):
+    passes = spark.range(2_000_000).withColumnRenamed("id", "p")
+    seen = passes.where("p < 1900000").withColumn("k", F.col("p"))
+    made = limits.passes_until_idle(seen, passes, key="k", pass_col="p", max_idle=50_000)
+    assert made.agg(F.count("*"), F.max("p"), F.max("idle_run")).first()[:] == (1_950_000, 1_949_999, 50_000)
+
+
 def test_preview(spark):
     ddl = "ord int, search_query string, title string, company string, location string, published_at string, responsibilities array<string>, skills array<string>"
     df = frame(spark, ddl, (2, "q", "", None, "l", "2024-01-01T00:00:00.000Z", ["a"] * 5, []), (1, "q", "t" * 50, "c", "l", "", ["x" * 70], ["s"]))
