@@ -72,19 +72,19 @@ def by_candidate_url(
     ''. Of several stored pages of one link the last in ``order`` counts (without an order the
     smallest body).
 
-    Finding the variant joins links only; bodies are shuffled once, for the winners.
+    Finding the variant joins distinct links with distinct stored links; bodies are cut to one for each link before they meet
+    the winners, so any number of copies of a link on either side costs one row inside.
     """
     place = F.lit(0) if order is None else F.col(order)
     stored = stored.select(F.col(url).alias("_page_url"), F.col(body).alias("_body"), place.alias("_place"))
     one = F.min("_body") if order is None else F.max_by("_body", "_place")
-    variants = articles.select(
-        F.col(url).alias("_url"), F.posexplode(candidate_urls(url)).alias("_idx", "_page_url")
-    )
-    known = variants.join(stored.select("_page_url"), "_page_url")
+    links = articles.select(F.col(url).alias("_url")).distinct()
+    variants = links.select("_url", F.posexplode(candidate_urls("_url")).alias("_idx", "_page_url"))
+    known = variants.join(stored.select("_page_url").distinct(), "_page_url")
     best = known.groupBy("_url").agg(F.min_by("_page_url", "_idx").alias("_page_url"))
-    found = best.join(stored, "_page_url").groupBy("_url", "_page_url").agg(one.alias("_body")).select(
-        F.col("_url").alias(url), F.col("_page_url").alias("stored_url"), F.col("_body").alias(body)
-    )
+    asked = stored.join(best.select("_page_url").distinct(), "_page_url", "left_semi")
+    bodies = asked.groupBy("_page_url").agg(one.alias("_body"))
+    found = best.join(bodies, "_page_url").select(F.col("_url").alias(url), F.col("_page_url").alias("stored_url"), F.col("_body").alias(body))
     return articles.join(found, url, "left").withColumns(
         {"stored_url": or_empty("stored_url"), body: or_empty(body)}
     )

@@ -9,6 +9,7 @@ from gleanery.functions.urls import article_url
 from gleanery.operators import rows, tables
 from gleanery.operators.dedupe import first_wins, last_wins
 from gleanery.plans import blogs, feeds, jobs, posts, press
+from gleanery.sources import csv_ranges
 from gleanery.sources import feeds as feed_source
 from gleanery.sources import jobs as job_source
 from gleanery.sources import pages as page_source
@@ -703,6 +704,17 @@ def s8_csv_files(spark, sf_dir):
     return rows.select("doc_id", "source", "bad_row")
 
 
+@query(
+    "s8_csv_ranges",
+    """select doc_id::varchar as doc_id, source, coalesce(text, '') as text, false as bad_row from documents""",
+)
+def s8_csv_ranges(spark, sf_dir):
+    """Texts with quoted line breaks and quotes, each file read in ranges of 64 KB."""
+    path = f"{work_folder(spark)}/csv"
+    tables.write_csv(docs(spark, sf_dir).select("doc_id", "source", "text"), path)
+    return csv_ranges.read_csv_ranges(spark, path, ["doc_id", "source", "text"], range_bytes=1 << 16)
+
+
 # ---- streams ----
 
 

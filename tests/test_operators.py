@@ -359,3 +359,11 @@ def test_answer_function_failures_become_null(spark):
         return prompt.upper()
 
     assert collected(enrich.answer_requests(requests, answer), "batch_id") == [(0, "OK", None), (1, None, "RuntimeError: ")]
+
+
+def test_copies_of_a_link_on_both_sides_do_not_multiply(spark):
+    """Thirty thousand articles and as many stored pages of one link: pairs of them would not end."""
+    articles = spark.range(30_000).select("id", F.lit("http://a.com/x").alias("url"))
+    stored = spark.range(30_000).select(F.lit("http://www.a.com/x").alias("url"), F.format_string("b%05d", "id").alias("body"), "id")
+    got = joins.by_candidate_url(articles, stored, order="id").groupBy("stored_url", "body").count().collect()
+    assert [tuple(r) for r in got] == [("http://www.a.com/x", "b29999", 30_000)]
