@@ -10,8 +10,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fv
+from ..functions.boolean import matches_expression
 from ..functions.text import as_col, let, or_empty
-from ..sources.jobs import quoted_phrases
 from .dedupe import dedupe_text
 from .limits import first_rows
 from .rows import keep_computed
@@ -85,12 +85,11 @@ def search_jobs(
     rows: int | None = None,
     order: str = "ord",
 ) -> DataFrame:
-    """Job search: any quoted phrase of the title expression, location and company by
+    """Job search: title by a boolean expression (see ``functions.boolean``), location and company by
     substring, codes by equality; with ``rows``, that many first rows in order."""
     out = jobs
     if title:
-        lowered = F.lower(or_empty("title"))
-        out = out.where(F.exists(quoted_phrases(title), lambda p: F.contains(lowered, p)))
+        out = out.where(matches_expression("title", title))
     if location:
         out = out.where(F.contains(F.lower(or_empty("location")), F.lit(location.lower())))
     if companies:

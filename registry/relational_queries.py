@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gleanery import fixed_values as fv
 from gleanery.functions.arrays import preview_list
+from gleanery.functions.boolean import matches_stored_expression
 from gleanery.functions.text import csv_safe
 from gleanery.operators import dedupe, joins, keywords, limits, rows, search, tables
 from gleanery.sources.jobs import clean_terms, read_terms, tag_query
@@ -162,6 +163,37 @@ def p12_job_search(spark, sf_dir):
     return found.select("p_partkey", "p_name", "p_brand")
 
 
+_EXPRESSION = '("small ring" OR box OR (red AND NOT "red widget")) AND NOT (large NOT bolt)'
+
+
+@query(
+    "p12_title_expression",
+    """select p_partkey, p_name from part where
+    (contains(lower(p_name), 'small ring') or contains(lower(p_name), 'box')
+        or (contains(lower(p_name), 'red') and not contains(lower(p_name), 'red widget')))
+    and not (contains(lower(p_name), 'large') and not contains(lower(p_name), 'bolt'))""",
+)
+def p12_title_expression(spark, sf_dir):
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", F.col("p_name").alias("title"))
+    return search.search_jobs(parts, title=_EXPRESSION).select("p_partkey", "p_name")
+
+
+@query(
+    "p12_stored_expressions",
+    """select p_partkey, case p_partkey % 4
+        when 0 then contains(lower(p_name), lower(split_part(p_name, ' ', 1))) and not contains(lower(p_name), 'box')
+        when 1 then contains(lower(p_name), 'red') or contains(lower(p_name), 'ring') and contains(lower(p_name), 'small')
+        when 2 then true end as matches
+    from part""",
+)
+def p12_stored_expressions(spark, sf_dir):
+    """A search expression in each row; one in four cannot be read."""
+    kind = F.col("p_partkey") % 4
+    first = F.concat(F.lit('"'), F.split("p_name", " ")[0], F.lit('" NOT box'))
+    own = F.when(kind == 0, first).when(kind == 1, "red OR ring AND small").when(kind == 2, " ").otherwise("(red OR")
+    return table(spark, sf_dir, "part").select("p_partkey", matches_stored_expression("p_name", own).alias("matches"))
+
+
 def articles(spark, sf_dir):
     """Documents as press articles."""
     return docs(spark, sf_dir).select(
