@@ -14,6 +14,11 @@ from .common import pick
 
 #: Templates: common licence notices by SPDX-like name. Any mapping of name to texts can be given instead.
 TEMPLATES: dict[str, list[str]] = {
+    "AGPL-3.0": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Affero General Public License as published by the Free Software Foundation, either version 3 of the License, "
+        "or (at your option) any later version.",
+    ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
@@ -36,20 +41,53 @@ TEMPLATES: dict[str, list[str]] = {
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     ],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2."],
+    "CC0-1.0": [
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this "
+        "software to the public domain worldwide. This software is distributed without any warranty.",
+    ],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License as published by the Free Software Foundation; either version 2 of the License, "
+        "or (at your option) any later version.",
+    ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
         "General Public License as published by the Free Software Foundation, either version 3 of the License, "
         "or (at your option) any later version.",
     ],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ],
+    "LGPL-2.1": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, "
+        "or (at your option) any later version.",
+    ],
+    "LGPL-3.0": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, "
+        "or (at your option) any later version.",
+    ],
     "MIT": [
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
         "associated documentation files (the \"Software\"), to deal in the Software without restriction.",
     ],
+    "MPL-2.0": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    ],
 }
 
+#: Words that tell near licences apart: a unit has to hold those of its template, and no others.
+DECIDING = frozenset("affero lesser library nc noncommercial sa sharealike noderivatives nd mozilla apache".split())
+#: Templates of up to this many words are notices, whose numbers (versions) have to stand in the unit too.
+NOTICE = 100
+
 _WORD = re.compile(r"[a-z0-9]+")
 NAMES = ["doc_id", "n_units", "n_matches", "licence", "line", "shared", "bigrams", "dice"]
 SCHEMA = "doc_id long, n_units long, n_matches long, licence string, line int, shared int, bigrams int, dice double"
@@ -165,14 +203,18 @@ class TextScanner:
     """
 
     def __init__(self, templates: dict[str, list[str]], threshold: float):
-        self.templates, self.homes = [], {}
+        self.templates, self.homes, self.needed, self.barred = [], {}, [], []
         for name in sorted(templates):
             for text in templates[name]:
                 if pairs := bigrams(text):
                     least = max(1, threshold / (2 - threshold) * len(pairs) * (1 - 1e-9))
                     for pair in pairs:
                         self.homes.setdefault(pair, []).append(len(self.templates))
-                    self.templates.append((name, pairs, len(words(text)), least))
+                    own = words(text)
+                    numbers = {w for w in own if w.isdigit() and len(own) <= NOTICE}
+                    self.needed.append(numbers | DECIDING.intersection(own))
+                    self.barred.append(DECIDING.difference(own))
+                    self.templates.append((name, pairs, len(own), least))
         self.threshold = threshold
 
     def document(self, text: str | None) -> tuple:
@@ -201,7 +243,7 @@ class TextScanner:
             fixed = [("document", 0, len(found)), *[("paragraph", a, b) for a, b in paragraphs], *[("line", a, b) for a, b in lines]]
             for kind, a, b, common, own in [*self.fixed(pairs, template, fixed, least), *self.windows(pairs, template, size, least)]:
                 dice = 2 * common / (own + len(template))
-                if dice >= self.threshold:
+                if dice >= self.threshold and self._named(k, found[a:b]):
                     names.add(name)
                     rank = (-common, -dice, a, b - a, len(template), name, kind, own)
                     top = rank if top is None or rank < top else top
@@ -210,13 +252,18 @@ class TextScanner:
         common, dice, a, n, of, name, kind, own = top
         return (len(found), sorted(names), name, kind, a, n, -common, own + of, -dice)
 
+    def _named(self, k: int, unit: list[str]) -> bool:
+        """Whether a unit holds the words that tell a template from its near ones."""
+        return self.needed[k].issubset(unit) and self.barred[k].isdisjoint(unit)
+
     def fixed(self, pairs, template, units, least) -> Iterator[tuple]:
         before = [0]
         for pair in pairs:
             before.append(before[-1] + (pair in template))
         for kind, a, b in units:
+            # An empty unit at the end begins behind the last pair.
             last = max(a, b - 1)
-            if before[last] - before[a] >= least:
+            if b > a and before[last] - before[a] >= least:
                 own = set(pairs[a:last])
                 yield kind, a, b, len(own & template), len(own)
 
@@ -250,6 +297,9 @@ def scan_licence_texts(
     with a template, so that a whole licence text goes before a notice inside it; ties go to the higher Dice, the
     earlier unit, the shorter one, the smaller template, the name, then the kind.
 
+    Near licences are told apart by ``DECIDING`` words (and, in notices, numbers): a unit has to hold those of the template and
+    none of the others.
+
     Defined cases: a null or empty text has no word and no licence; units of fewer than two words match nothing;
     without templates nothing matches; repeated rows come back as often as they went in; other columns play no
     part. Narrow map work: no shuffle; linear in the words, and once more for each template that is mostly there.

@@ -76,17 +76,9 @@ def drop_widespread_lines(
     the map tasks, so a line that a third of all rows carry costs a row per task and site there. The join of
     lines with the widespread ones has one row per line on its right side; Spark splits its large partitions.
     """
-    return _cut(docs, min_sites, None, site, keep)
-
-
-def _cut(docs: DataFrame, min_sites: int, max_share: float | None, site: str, keep: tuple[str, ...]) -> DataFrame:
-    """With ``max_share`` copies count like other rows, and a document of which more than that share of the
-    characters would go stays whole."""
     docs = pick(docs, "doc_id", "text", *keep, site=site)
     hashed = _hashed(docs)
-    sited = hashed.where("site is not null")
-    if max_share is None:
-        sited = sited.groupBy("a", "b", "c", "d").agg(F.min("site").alias("site"))
+    sited = hashed.where("site is not null").groupBy("a", "b", "c", "d").agg(F.min("site").alias("site"))
     pairs = materialize(sited.select("a", "b", "site").distinct())
     bad = widespread(pairs, min_sites).withColumn("bad", F.lit(True))
     flags = hashed.join(bad, ["a", "b"]).groupBy("row").agg(
@@ -102,16 +94,12 @@ def _cut(docs: DataFrame, min_sites: int, max_share: float | None, site: str, ke
     marked = marked.withColumn("kept", F.when(F.col("drop").isNull(), F.col("lines")).otherwise(kept))
     text = F.array_join("kept", "\n")
     marked = marked.withColumn("cut", F.coalesce(text, F.lit("")))
-    whole = F.lit(False) if max_share is None else F.length("cut") < F.length("text") * (1 - max_share)
     return marked.select(
         "doc_id",
-        F.when(F.col("drop").isNull() | whole, F.col("text")).otherwise(F.col("cut")).alias("text"),
+        F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.col("cut")).alias("text"),
         *keep,
         F.greatest(F.coalesce(F.size("lines"), F.lit(0)), F.lit(0)).cast("long").alias("n_lines"),
-        F.when(F.col("drop").isNull() | whole, F.lit(0))
-        .otherwise(F.size("lines") - F.size("kept"))
-        .cast("long")
-        .alias("n_removed"),
+        F.when(F.col("drop").isNull(), F.lit(0)).otherwise(F.size("lines") - F.size("kept")).cast("long").alias("n_removed"),
     )
 
 
@@ -133,13 +121,7 @@ def _flags(size: Column, places: Column) -> Column:
     return F.flatten(runs)
 
 
-def line_spread_report(
-    docs: DataFrame, min_sites: int = 10, max_share: float | None = 0.5, site: str = "source"
-) -> DataFrame:
-    """doc_id, n_lines, n_removed, kept_sha256: with ``max_share`` None the digest form of :func:`drop_widespread_lines`.
-
-    Otherwise copies count like other rows, and a document of which more than ``max_share`` of the characters
-    would go stays whole, with its widespread lines.
-    """
-    out = _cut(docs, min_sites, max_share, site, ())
+def line_spread_report(docs: DataFrame, min_sites: int = 10, site: str = "source") -> DataFrame:
+    """doc_id, n_lines, n_removed, kept_sha256: the digest form of :func:`drop_widespread_lines`."""
+    out = drop_widespread_lines(docs, min_sites, site)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))

@@ -70,11 +70,14 @@ def plain_text(text, threshold, templates):
     for name in templates:
         for template in templates[name]:
             size, other = len(licences.words(template)), licences.bigrams(template)
+            has = set(licences.words(template))
+            needed = {w for w in has if w in licences.DECIDING or (w.isdigit() and size <= licences.NOTICE)}
             windows = [("window", i, i + size) for i in range(len(found) - size + 1)]
             for kind, a, b in units + windows:
                 own = frozenset(zip(found[a:b], found[a + 1 : b]))
                 shared, both = len(own & other), len(own) + len(other)
-                if shared and 2 * shared / both >= threshold:
+                told = needed <= set(found[a:b]) and not set(found[a:b]) & (licences.DECIDING - has)
+                if shared and told and 2 * shared / both >= threshold:
                     names.add(name)
                     best.append((-shared, -2 * shared / both, a, b - a, len(other), name, kind, both))
     if not best:
@@ -100,3 +103,32 @@ def test_whole_and_wrapped_licences_are_found(spark):
     found = {r.doc_id: r for r in licences.scan_licence_texts(documents(spark, rows)).collect()}
     assert all(found[i + j].licence == name and found[i + j].dice > 0.99 for j in (0, 10) for i, name in enumerate(texts))
     assert (found[20].licences, found[21].licences, found[22].licences) == (["MIT"], ["MIT"], [])
+
+
+def test_a_text_may_end_with_blank_lines(spark):
+    rows = [(1, "Released under the MIT License.\n\n"), (2, "Released under the MIT License.\n"), (3, "\n")]
+    found = {r.doc_id: r.licences for r in licences.scan_licence_texts(documents(spark, rows)).collect()}
+    assert found == {1: ["MIT"], 2: ["MIT"], 3: []}
+
+
+def test_near_licences_are_told_apart(spark):
+    gnu = (
+        "This {0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1} as published by the "
+        "Free Software Foundation; either version {2} of the License, or (at your option) any later version."
+    )
+    cases = [
+        ("GPL-2.0", gnu.format("program", "General Public License", "2")),
+        ("GPL-3.0", gnu.format("program", "General Public License", "3")),
+        ("LGPL-2.1", gnu.format("library", "Lesser General Public License", "2.1")),
+        ("LGPL-3.0", gnu.format("program", "Lesser General Public License", "3")),
+        ("AGPL-3.0", gnu.format("program", "Affero General Public License", "3")),
+        ("ISC", licences.TEMPLATES["ISC"][0].replace("and/or ", "and ")),
+        ("CC0-1.0", licences.TEMPLATES["CC0-1.0"][0].replace("the author", "Jane Doe")),
+        ("MPL-2.0", licences.TEMPLATES["MPL-2.0"][0]),
+    ]
+    cases += [(name, text) for name, texts in licences.TEMPLATES.items() for text in texts]
+    rows = [(i, f"Some prose of a program.\n\n{text}\n\nMore prose.") for i, (_, text) in enumerate(cases)]
+    found = {r.doc_id: (r.licence, r.licences) for r in licences.scan_licence_texts(documents(spark, rows)).collect()}
+    assert found == {i: (name, [name]) for i, (name, _) in enumerate(cases)}
+    lines = {r.doc_id: r.licence for r in licences.scan_licences(documents(spark, rows)).collect()}
+    assert lines == {i: name for i, (name, _) in enumerate(cases)}

@@ -13,22 +13,12 @@ def normal(line):
     return re.sub(r"[ \t\n\x0b\f\r]+", " ", line).strip(" ").lower()
 
 
-def plain(rows, min_sites, max_share=0.5):
-    sites = defaultdict(set)
-    for _, text, site in rows:
-        for line in (text or "").split("\n"):
-            if site is not None:
-                sites[normal(line)].add(site)
-    out = []
-    for i, text, _ in rows:
-        lines = (text or "").split("\n")
-        kept = [x for x in lines if not normal(x) or len(sites[normal(x)]) < min_sites]
-        removed = len(lines) - len(kept)
-        joined = "\n".join(kept)
-        if not removed or len(joined) < len(text) * (1 - max_share):
-            joined, removed = text or "", 0
-        out.append((i, 0 if text is None else len(lines), removed, hashlib.sha256(joined.encode()).hexdigest()))
-    return sorted(out, key=str)
+def plain(rows, min_sites):
+    """The report's rows, from :func:`plain_texts`."""
+    n_lines = lambda text: 0 if text is None else len(text.split("\n"))
+    sha = lambda text: hashlib.sha256((text or "").encode()).hexdigest()
+    kept = plain_texts(rows, min_sites, in_order=True)
+    return sorted([(i, n_lines(old), n, sha(text)) for (i, text, n), (_, old, _) in zip(kept, rows)], key=str)
 
 
 def cases():
@@ -62,7 +52,7 @@ def test_empty_table(spark):
     assert line_spread.line_spread_report(documents(spark, cases()).limit(0)).collect() == []
 
 
-def plain_texts(rows, min_sites):
+def plain_texts(rows, min_sites, in_order=False):
     """Every widespread line goes; equal texts count with one site."""
     first, sites = {}, defaultdict(set)
     for _, text, site in rows:
@@ -78,7 +68,7 @@ def plain_texts(rows, min_sites):
         lines = (text or "").split("\n")
         kept = [x for x in lines if not normal(x) or len(sites[normal(x)]) < min_sites]
         out.append((i, None if text is None else "\n".join(kept), len(lines) - len(kept)))
-    return sorted(out, key=str)
+    return out if in_order else sorted(out, key=str)
 
 
 @pytest.mark.parametrize("min_sites", [1, 9, 10, 11])
