@@ -285,7 +285,6 @@ POST_REACTIONS_CLASS = "social-details-social-counts__reactions"
 POST_COMMENTS_CLASS = "social-details-social-counts__comments"
 POST_IMPRESSIONS_CLASS = "analytics-entry-point"
 MAX_IDLE_PASSES = 3
-MAX_PASSES = 2000
 
 # Press articles.
 PRESS_COLUMNS = [

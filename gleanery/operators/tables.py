@@ -56,6 +56,23 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def append_batch(df: DataFrame, root: str, batch_id: int) -> None:
+    """Append the rows of a numbered batch to a folder of batches; a batch that is written again replaces its first try.
+
+    For ``foreachBatch``, which may hand over a batch twice after a failure: its rows count once.
+    """
+    df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/batch={batch_id}")
+
+
+def read_batches(spark: SparkSession, root: str, schema: StructType | str) -> DataFrame:
+    """The rows of all batches that :func:`append_batch` wrote; an empty table when there is none."""
+    empty = spark.createDataFrame([], schema)
+    fs, path = _folder(spark, root)
+    if not fs.exists(path):
+        return empty
+    return spark.read.schema(empty.schema).parquet(root).select(*empty.columns)
+
+
 # ---- versions ----
 
 
@@ -257,11 +274,12 @@ def backfill(rows: DataFrame, details: DataFrame, order: str | None = None) -> D
 
 
 def backfill_table(
-    spark: SparkSession, root: str, details: DataFrame, schema: StructType | str, order: str = "ord"
+    spark: SparkSession, root: str, details: DataFrame, schema: StructType | str, order: str = "ord", max_deltas: int = 16
 ) -> dict[str, int]:
     """Backfill a versioned table; returns the counts of filled rows and of rows that stay without body.
 
-    Only filled rows are written, as one change on top of the last version; nothing is written when none was filled.
+    Only filled rows are written, as one change on top of the last version; nothing is written when none was filled. More than
+    ``max_deltas`` changes are merged into a new version.
     """
     seen = Observation("backfill")
     states = {s: F.count(F.when(F.col("fill_state") == s, 1)).alias(s) for s in ("filled", "missing")}
@@ -271,4 +289,6 @@ def backfill_table(
     version = committed_version(spark, root)
     if counts["filled"] and version is not None:
         write_delta(spark, filled, root, version)
+        if len(committed_deltas(spark, root, version)) > max_deltas:
+            write_next_version(spark, read_table(spark, root, schema, order), root)
     return {"filled": counts["filled"], "missing": counts["missing"]}

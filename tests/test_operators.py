@@ -367,3 +367,16 @@ def test_copies_of_a_link_on_both_sides_do_not_multiply(spark):
     stored = spark.range(30_000).select(F.lit("http://www.a.com/x").alias("url"), F.format_string("b%05d", "id").alias("body"), "id")
     got = joins.by_candidate_url(articles, stored, order="id").groupBy("stored_url", "body").count().collect()
     assert [tuple(r) for r in got] == [("http://www.a.com/x", "b29999", 30_000)]
+
+
+def test_backfills_are_merged_now_and_then(spark, tmp_path):
+    ddl = "ord bigint, region_id string, article_url string, article_text string"
+    root = str(tmp_path / "t")
+    rows = frame(spark, ddl, *[(i, str(i), "u", "") for i in range(4)])
+    tables.write_next_version(spark, rows, root)
+    for i in range(3):
+        blocks = "Id string, Blocks array<struct<Role: string, Text: string>>"
+        details = frame(spark, blocks, (str(i), [("text", f"body {i}")]))
+        assert tables.backfill_table(spark, root, details, ddl, max_deltas=1) == {"filled": 1, "missing": 3 - i}
+    assert tables.committed_version(spark, root) == 2
+    assert [r.article_text for r in tables.read_table(spark, root, ddl).orderBy("ord").collect()] == ["body 0", "body 1", "body 2", ""]
