@@ -67,3 +67,49 @@ def test_the_count_loses_no_pair_at_the_threshold():
     b = 0.980001 * a + math.sqrt(1 - 0.980001**2) * projections.unit_rows(away)
     hits = dict(projections.SortedProjections(b, 0.98).links(a))
     assert all(i in hits[i] for i in range(300))
+
+
+def cells_of(units, block, threshold):
+    """The visits of one label, with its projections."""
+    used = max(0, math.ceil(math.log2(len(units) / block)))
+    values = units @ projections.directions(units.shape[1])[:, : projections.CUTS]
+    cuts = np.tile(values.mean(axis=0), (len(units), 1))
+    reach = projections.squared_reach(threshold) + 1e-9
+    return projections.visited_cells(values, cuts, np.full(len(units), used), reach), 2**used
+
+
+@pytest.mark.parametrize("threshold", [0.98, 0.9])
+def test_linked_rows_meet_in_one_cell(threshold):
+    rng = np.random.default_rng(5)
+    centres = projections.unit_rows(rng.normal(0, 1, (40, 32)))
+    units = projections.unit_rows(centres[rng.integers(40, size=1500)] + rng.normal(0, 0.028, (1500, 32)))
+    (row, cell, home), _ = cells_of(units, 8, threshold)
+    where = dict(zip(row[home].tolist(), cell[home].tolist()))
+    assert len(where) == home.sum() == 1500
+    seen = set(zip(row.tolist(), cell.tolist()))
+    assert len(seen) == len(row)
+    linked = np.argwhere(np.triu(units @ units.T >= threshold, 1)).tolist()
+    assert len(linked) > 1000 and len({where[a] for a, _ in linked}) > 20
+    for a, b in linked:
+        low, high = sorted((a, b), key=where.get)
+        assert (low, where[high]) in seen
+    assert all(c >= where[r] for r, c in seen)
+
+
+def test_compared_pairs_grow_less_than_quadratically():
+    """One label, without any clusters: of sixteen times the rows, each visits less than eight times the cells."""
+    rng = np.random.default_rng(6)
+    visits = []
+    for n in (1 << 12, 1 << 16):
+        units = projections.unit_rows(rng.normal(0, 1, (n, 64)))
+        (row, _, _), _ = cells_of(units, 16, 0.98)
+        visits.append(len(row) / n)
+    assert visits[1] / visits[0] < 8
+
+
+@pytest.mark.parametrize("block", [3, 11])
+def test_one_label_in_many_cells(spark, block):
+    rows = [(i, v, 1) for i, v, _ in clusters(9, 150)]
+    rows += [(300 + i, [1.0 + i * 1e-4, *[0.5] * 23], 1) for i in range(40)]
+    rows += [(400 + i, [1.0, 0.1 * i], 1) for i in range(20)] + [(500 + i, [float(i + 1)], 1) for i in range(9)]
+    assert found(spark, rows, 0.95, block=block) == plain(rows, 0.95)
