@@ -8,7 +8,7 @@ from gleanery import fixed_values as fv
 from gleanery.functions.arrays import preview_list
 from gleanery.functions.boolean import matches_stored_expression
 from gleanery.functions.text import csv_safe
-from gleanery.operators import dedupe, joins, keywords, limits, rows, search, tables
+from gleanery.operators import dedupe, joins, keywords, limits, rows, search, tables, trigrams
 from gleanery.sources.jobs import clean_terms, read_terms, tag_query
 
 from .base import JOB_TEXT_SQL, big, collapse_sql, job_text, joined, query, quote, strip_sql, table, work_folder
@@ -241,6 +241,40 @@ def p13_article_count(spark, sf_dir):
     return found.agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
+NEEDLES = ("the", "The ", "src1", "licensed under", ". a", "a b", "in", "zzzz")
+_NEEDLES = ", ".join(f"({quote(n)})" for n in NEEDLES)
+
+
+def article_index(spark, sf_dir):
+    """The articles, and a stored index of their titles and texts."""
+    rows, folder = articles(spark, sf_dir), work_folder(spark)
+    trigrams.write_index(rows, folder, ["title", "article_text"])
+    return rows, trigrams.read_index(spark, folder)
+
+
+@query(
+    "p13_indexed_needles",
+    f"""select needle, doc_id from documents, (values {_NEEDLES}) n(needle)
+    where contains(lower(text), lower(needle)) or contains(lower(source), lower(needle))""",
+)
+def p13_indexed_needles(spark, sf_dir):
+    rows, index = article_index(spark, sf_dir)
+    return trigrams.find_texts(rows, index, NEEDLES, ["title", "article_text"]).select("needle", "doc_id")
+
+
+@query(
+    "p13_indexed_search",
+    f"""with f as (
+        select doc_id, lower({collapse_sql('text')}) as body from documents
+        where contains(lower(text), 'licensed') and contains('by ' || source, 'src') and lang in ('en', 'fr'))
+    select min(doc_id) as doc_id from f group by body""",
+)
+def p13_indexed_search(spark, sf_dir):
+    rows, index = article_index(spark, sf_dir)
+    criteria = {"author": "Src", "languages": "en, FR", "hide_same": True}
+    return trigrams.search_indexed(rows, index, text="Licensed", **criteria).select("doc_id")
+
+
 @query(
     "p14_past_day",
     """select event_id from events, (select max(ts) as as_of from events)
