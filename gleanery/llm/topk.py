@@ -7,6 +7,8 @@ inner product that the remaining dimensions can still add reaches the k-th best
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -139,7 +141,14 @@ def scaled(vectors: DataFrame, scale: float = 64.0) -> DataFrame:
     Rows with a null id and vectors that are null or hold null or non-finite components are left out.
     """
     rows = pick(vectors, id="vec_id", vector="embedding").where(F.col("id").isNotNull() & sound(F.col("vector")))
-    whole = F.transform("vector", lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("double"))
+
+    def whole_number(x):
+        # Doubles of 2^53 and more are whole numbers, and beyond 2^63 no bigint.
+        x = F.lit(scale) * x.cast("double")
+        x = F.greatest(F.least(x, F.lit(sys.float_info.max)), F.lit(-sys.float_info.max))
+        return F.when(F.abs(x) < EXACT, F.floor(x).cast("double")).otherwise(x)
+
+    whole = F.transform("vector", whole_number)
     return rows.select(F.col("id").cast("long"), whole.alias("vector")).groupBy("id").agg(F.min("vector").alias("vector"))
 
 
@@ -158,7 +167,8 @@ def top_k(
 
     Defined cases: vectors that are null or hold null or non-finite components and rows without vec_id take no
     part; of rows that share a vec_id the smallest vector counts; vectors of different lengths are compared over
-    the components both have; scores beyond 64 bits are ranked exactly and shown as the nearest 64-bit number; an
+    the components both have; scores beyond 64 bits are ranked exactly and shown as the nearest 64-bit number,
+    those of more than 38 digits count as equal; components that are no longer finite when scaled count as the largest double; an
     empty table gives an empty result; other columns play no part.
 
     At scale: queries and rows are cut into blocks of fixed size by a hash of their id, and a task holds one block

@@ -54,3 +54,11 @@ def test_scores_beyond_doubles_are_ranked_exactly(spark):
     assert found(spark, rows, 3, 2) == plain(rows, 3, 2)
     huge = found(spark, [(0, [1e30]), (1, [1e30])], 1, 2)
     assert huge == [(0, 1, 1, 2**63 - 1)]
+
+
+def test_components_beyond_64_bits(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1e18, 0.0]), (2, [3e33, 0.0]), (3, [-1e30, 0.0]), (4, [1e17, 0.5]), (5, [1e308, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in topk.top_k(df, 5, every=20).orderBy("rank").select("vec_id", "score").collect()]
+    top, low = 2**63 - 1, -(2**63)
+    assert got == [(5, top), (2, top), (1, top), (4, top), (3, low)]
