@@ -69,3 +69,16 @@ def test_no_keywords(spark):
     df = spark.createDataFrame([(1, "text")], "i int, text string")
     empty = spark.createDataFrame([], "keyword string")
     assert keywords.match_keyword_table(df, "text", empty).collect() == []
+
+
+@pytest.mark.parametrize("whole_word", [False, True])
+def test_a_large_table_is_neither_collected_nor_held_by_a_worker(spark, monkeypatch, whole_word):
+    """Phrases, quotes of patterns and signs at word ends, by joins alone."""
+    monkeypatch.setattr(keywords, "AUTOMATON_CHARS", 10)
+    texts = [(1, "Big DATA\nlake, big data"), (2, r"a\E.b c"), (3, "xbig data"), (4, "c++ and c+"), (5, None), (6, "a  b\ta b"), (7, "é_é é")]
+    listed = [(3, "big data"), (2, "data\nlake"), (1, r"a\e.b"), (1, r"\e.b c"), (0, "c++"), (0, "+"), (4, "a b"), (4, "b\ta"), (None, "é"), (7, "not here")]
+    df = spark.createDataFrame(texts, "i int, text string")
+    found = keywords.match_keyword_table(df, "text", spark.createDataFrame(listed, "place bigint, keyword string"), order="place", whole_word=whole_word)
+    known = [(-1 if p is None else p, k) for p, k in listed]
+    assert {r.i: r.matched_keywords for r in found.collect()} == plain(texts, known, whole_word)
+    assert "Python" not in plan(found)
