@@ -27,8 +27,8 @@ def first_n(df: DataFrame, keys: str | Sequence[str], order: Sequence[Column], n
 
 
 def first_wins(df: DataFrame, keys: str | Sequence[str], order: Order) -> DataFrame:
-    """The first row of each key in the given order. Null counts as a key."""
-    return first_n(df, keys, [F.col(c).asc() for c in _names(order)], 1)
+    """The first row of each key in the given order, nulls of the order last. Null counts as a key."""
+    return first_n(df, keys, [F.col(c).asc_nulls_last() for c in _names(order)], 1)
 
 
 def last_wins(df: DataFrame, keys: str | Sequence[str], order: Order) -> DataFrame:

@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registered
 from gleanery import fixed_values as fv
 from gleanery.operators import dedupe, enrich, joins, limits, rows, search, tables
 
@@ -380,3 +381,17 @@ def test_backfills_are_merged_now_and_then(spark, tmp_path):
         assert tables.backfill_table(spark, root, details, ddl, max_deltas=1) == {"filled": 1, "missing": 3 - i}
     assert tables.committed_version(spark, root) == 2
     assert [r.article_text for r in tables.read_table(spark, root, ddl).orderBy("ord").collect()] == ["body 0", "body 1", "body 2", ""]
+
+
+def test_first_wins_with_nulls_in_the_order(spark):
+    df = frame(spark, "k string, o int", ("a", None), ("a", 2), ("a", 3), ("b", None))
+    assert set(collected(dedupe.first_wins(df, "k", "o"))) == {("a", 2), ("b", None)}
+
+
+def test_lines_that_share_a_number_keep_the_same_one(spark, tmp_path):
+    lines = [(1, 5, 1, float(q)) for q in (9, 3, 7)] + [(2, None, 1, 4.0), (2, 8, None, 5.0), (2, 8, 2, 6.0)]
+    df = frame(spark, "l_partkey long, l_orderkey long, l_linenumber int, l_quantity double", *lines)
+    for i, rows in enumerate((df, df.orderBy("l_quantity"), df.orderBy(F.desc("l_quantity")))):
+        rows.coalesce(1).write.parquet(f"{tmp_path}/{i}/lineitem.parquet")
+        got = registered.queries()["d4_first_per_key"](spark, f"{tmp_path}/{i}")
+        assert set(collected(got)) == {(1, 5, 1, 3.0), (2, 8, 2, 6.0)}
