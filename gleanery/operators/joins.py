@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import nonblank, or_empty
 from ..functions.urls import candidate_urls
-from .dedupe import first_wins, last_wins
+from .dedupe import Order, _names, first_wins, last_wins
 
 
 def latest_by_id(df: DataFrame, key: str, order) -> DataFrame:
@@ -66,18 +66,18 @@ def by_row_id(
 
 
 def by_candidate_url(
-    articles: DataFrame, stored: DataFrame, *, url: str = "url", body: str = "body", order: str | None = None
+    articles: DataFrame, stored: DataFrame, *, url: str = "url", body: str = "body", order: Order | None = None
 ) -> DataFrame:
     """Attach the body of the first host variant of each article's link that is stored, else
-    ''. Of several stored pages of one link the last in ``order`` counts (without an order the
-    smallest body).
+    ''. Of several stored pages of one link the last in ``order`` (one or more columns) counts, of those
+    with the same place the one with the largest body; without an order the smallest body.
 
     Finding the variant joins distinct links with distinct stored links; bodies are cut to one for each link before they meet
     the winners, so any number of copies of a link on either side costs one row inside.
     """
-    place = F.lit(0) if order is None else F.col(order)
+    place = F.lit(0) if order is None else F.struct(*[F.col(c) for c in _names(order)])
     stored = stored.select(F.col(url).alias("_page_url"), F.col(body).alias("_body"), place.alias("_place"))
-    one = F.min("_body") if order is None else F.max_by("_body", "_place")
+    one = F.min("_body") if order is None else F.max(F.struct("_place", "_body"))["_body"]
     links = articles.select(F.col(url).alias("_url")).distinct()
     variants = links.select("_url", F.posexplode(candidate_urls("_url")).alias("_idx", "_page_url"))
     known = variants.join(stored.select("_page_url").distinct(), "_page_url")

@@ -570,7 +570,7 @@ def j7_repeated_pages(spark, sf_dir):
 
 
 def candidate_urls(spark, sf_dir, copies):
-    """Links to pages that are stored several times; the last copy has the body."""
+    """Links to pages that are stored several times; the last copy has the body, of pages with one link that of the last page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     link = (
         F.when(F.col("page_id") % 2 == 0, F.col("url"))
@@ -578,9 +578,9 @@ def candidate_urls(spark, sf_dir, copies):
         .otherwise(F.replace("url", F.lit("://"), F.lit("://www.")))
     )
     stored = pages.withColumn("turn", F.explode(F.sequence(F.lit(1), F.lit(copies)))).select(
-        "url", "turn", F.concat(F.when(F.col("turn") == copies, "body ").otherwise("old "), F.col("page_id").cast("string")).alias("body")
+        "url", "turn", "page_id", F.concat(F.when(F.col("turn") == copies, "body ").otherwise("old "), F.col("page_id").cast("string")).alias("body")
     )
-    found = joins.by_candidate_url(pages.select("page_id", link.alias("url")), stored, order="turn")
+    found = joins.by_candidate_url(pages.select("page_id", link.alias("url")), stored, order=["turn", "page_id"])
     return found.select("page_id", F.col("url").alias("link"), "stored_url", "body")
 
 

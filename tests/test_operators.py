@@ -395,3 +395,11 @@ def test_lines_that_share_a_number_keep_the_same_one(spark, tmp_path):
         rows.coalesce(1).write.parquet(f"{tmp_path}/{i}/lineitem.parquet")
         got = registered.queries()["d4_first_per_key"](spark, f"{tmp_path}/{i}")
         assert set(collected(got)) == {(1, 5, 1, 3.0), (2, 8, 2, 6.0)}
+
+
+@pytest.mark.parametrize("name", ["j7_candidate_urls", "j7_repeated_pages"])
+def test_pages_that_share_a_link_give_the_last_body(spark, tmp_path, name):
+    pages = frame(spark, "page_id long, url string", (9, "http://a.b/x"), (10, "http://a.b/x"), (2, "http://a.b/x"), (4, "http://c.d/"))
+    pages.coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    got = registered.queries()[name](spark, str(tmp_path))
+    assert {r.page_id: r.body for r in got.collect()} == {2: "body 10", 9: "body 10", 10: "body 10", 4: "body 4"}
