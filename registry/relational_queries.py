@@ -159,6 +159,7 @@ def p12_job_search(spark, sf_dir):
         companies=["Brand#1", "BRAND#2"],
         published_after="0005",
         work_type="2",
+        rows=1000,
     )
     return found.select("p_partkey", "p_name", "p_brand")
 

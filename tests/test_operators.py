@@ -403,3 +403,10 @@ def test_pages_that_share_a_link_give_the_last_body(spark, tmp_path, name):
     pages.coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
     got = registered.queries()[name](spark, str(tmp_path))
     assert {r.page_id: r.body for r in got.collect()} == {2: "body 10", 9: "body 10", 10: "body 10", 4: "body 4"}
+
+
+def test_job_search_gives_the_first_thousand(spark, tmp_path):
+    rows = spark.range(1500).selectExpr("1500 - id as p_partkey", "'small ring' as p_name", "'Brand#1' as p_brand", "'T' as p_type", "7 as p_size")
+    rows.write.parquet(f"{tmp_path}/part.parquet")
+    got = registered.queries()["p12_job_search"](spark, str(tmp_path))
+    assert sorted(r.p_partkey for r in got.collect()) == list(range(1, 1001))
