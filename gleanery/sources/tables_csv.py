@@ -39,14 +39,15 @@ def _is_bad(columns: list[str], max_chars: int):
 
 
 def read_csv_tolerant(
-    spark: SparkSession, path: str, columns: list[str], max_chars: int = fv.MAX_FIELD_CHARS, multi_line: bool = True, header: bool = True
+    spark: SparkSession, path: str, columns: list[str], max_chars: int = fv.MAX_FIELD_CHARS, multi_line: bool = True, header: bool = True,
+    limited: list[str] | None = None,
 ) -> DataFrame:
     """Like ``read_csv``, with a ``bad_row`` flag for rows with a wrong number of fields or a
-    field over the size limit."""
+    field over the size limit, which holds for all columns or only for the ``limited`` ones."""
     rows = spark.read.options(
         header=str(header).lower(), mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, multiLine=str(multi_line).lower(), **_CSV
     ).schema(_text_schema(columns, corrupt=True)).csv(path)
-    return _flagged(rows, columns, max_chars)
+    return _flagged(rows, columns, max_chars, limited)
 
 
 def parse_csv_tolerant(
@@ -60,8 +61,8 @@ def parse_csv_tolerant(
     return _flagged(rows.select(*kept, "r.*"), columns, max_chars)
 
 
-def _flagged(rows: DataFrame, columns: list[str], max_chars: int) -> DataFrame:
-    flagged = rows.withColumn("bad_row", _is_bad(columns, max_chars)).drop(CORRUPT)
+def _flagged(rows: DataFrame, columns: list[str], max_chars: int, limited: list[str] | None = None) -> DataFrame:
+    flagged = rows.withColumn("bad_row", _is_bad(columns if limited is None else limited, max_chars)).drop(CORRUPT)
     return flagged.fillna("", subset=columns)
 
 

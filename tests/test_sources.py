@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registered
 from gleanery import fixed_values as fv
 from gleanery.functions import html
 from gleanery.sources import feeds, jobs, pages, press, tables_csv
@@ -180,3 +181,10 @@ def test_csv(spark, tmp_path):
 
 def test_parse_html_of_text_only(one):
     assert one(F.size(html.paragraphs("h")), "h string", "no markup") == 0
+
+
+def test_the_size_limit_of_one_column_spares_the_others(spark, tmp_path):
+    rows = [(1, "src1", "en"), (123456, "src1", "en"), (123457, "src12", "en"), (123458, "src1", "fr")]
+    spark.createDataFrame(rows, "doc_id long, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = registered.queries()["s8_csv_files"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.bad_row for r in got} == {"1": False, "123456": False, "123457": True, "123458": True}
