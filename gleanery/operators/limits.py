@@ -12,8 +12,9 @@ from ..functions.text import nonempty
 from ..session import materialize
 from .dedupe import first_n
 
-# Rows a single task may number, and buckets a single task may add up, as powers of two.
-_ROW_BITS = 20
+# Rows that are numbered together, and buckets a single task may add up, as powers of two. The rows of a bucket meet in one
+# task, with all their columns: few enough to be a small share of a partition even with whole texts.
+_ROW_BITS = 10
 _BUCKET_BITS = 22
 
 
@@ -24,7 +25,7 @@ def row_index(
     ``partition_by``), without one window over all rows.
 
     Rows fall into buckets of neighbouring order values. As values are unique, a bucket holds
-    at most 2**20 rows, also where one partition key holds most of the table. Bucket counts
+    at most 2**10 rows, also where one partition key holds most of the table. Bucket counts
     become offsets in two steps, over groups of 2**22 buckets and over the at most 2**22
     groups, so every window is bounded. The input is read twice, for the counts and for the
     rows: store a costly one first.
@@ -161,7 +162,7 @@ def carried_max(df: DataFrame, index: str, value: Column, name: str) -> DataFram
     """``name``: the largest ``value`` of all rows up to each one, in the order of a row number (bigint, distinct); null before
     the first value that is not null.
 
-    Each bucket of 2**20 neighbouring rows has its running maximum; what was reached before a bucket comes from the maxima of
+    Each bucket of 2**10 neighbouring rows has its running maximum; what was reached before a bucket comes from the maxima of
     the buckets of its group and of the groups before, as in :func:`row_index`.
     """
     rows = df.withColumns({"_bucket": F.shiftright(index, _ROW_BITS), "_value": value})

@@ -133,3 +133,16 @@ def test_feed_dates_are_parsed_once(spark):
 
     # Reading the year off the finished date takes four patterns; the feed dates are not parsed again.
     assert months("flow_feeds_scan_and_clean") == months("p15_feed_match_rows") + 4
+
+
+def test_numbered_rows_are_spread_over_tasks(spark):
+    """Dense order values: the rows, which carry whole texts, do not meet in one task."""
+    df = spark.range(20_000).select(F.col("id").alias("ord"), F.repeat(F.lit("x"), 50).alias("text"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = limits.row_index(df, "ord").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) > 1 and max(r["count"] for r in sizes) < 15_000
+    wrong = limits.row_index(df, "ord").where("row_idx <> ord")
+    assert wrong.count() == 0
