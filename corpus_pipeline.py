@@ -19,7 +19,7 @@ PASSAGE_BYTES = 240
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, trained on a bounded sample of the labelled ones, does not call toxic."""
+    """Documents that the classifier, trained on all labelled ones, does not call toxic."""
     docs = pick(docs, *COLUMNS)
     model = toxicity.fit(docs, small_batches(spark).read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.keep_clean(docs, model)

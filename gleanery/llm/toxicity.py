@@ -3,7 +3,8 @@
 A word's vector is the sum of hashed embeddings of the word, its beginnings and its end, so unseen forms of a known
 word are known too. Filters of several widths slide over the word vectors; each filter's largest response over
 the whole text (max pooling) goes into a logistic output. The first embedding dimension starts as the smoothed
-log-odds of each hash bucket, which the first filter reads; everything is then trained by gradient descent.
+log-odds of each hash bucket over all labelled rows, which the first filter reads; everything is then trained by gradient
+descent, in shards of the labelled rows that start alike and whose movements are averaged.
 The decision threshold is calibrated for each language on rows kept out of the training; the language is guessed from
 the text's own function words.
 """
@@ -19,12 +20,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import parts, pick
+from .common import discard, materialize, parts, pick
 
-#: Labelled rows used at most, toxic and clean, and the longest whole text taken as an example.
-MAX_TOXIC = 2000
-MAX_CLEAN = 4000
-MAX_CHARS = 40_000
+#: Bytes of labelled texts that one task trains on; more texts make more tasks.
+SHARD_BYTES = 12 << 20
+#: Parts of one in which summed parameters and logits are counted, so that sums do not depend on their order.
+_UNIT = 1 << 30
+_BINS = 1000
+_WIDE = 16
 BUCKETS = 1 << 16
 WIDTHS = (1, 2, 3)
 FILTERS = 8
@@ -125,6 +128,11 @@ class Scorer:
         self.table = self.model.responses(np.full((1, 4), BUCKETS)).astype(np.float32)
 
     def texts(self, texts: list[str]) -> np.ndarray:
+        logits, languages = self.logits(texts)
+        return self.model.scores(logits, languages)
+
+    def logits(self, texts: list[str]) -> tuple[np.ndarray, list[str]]:
+        """The model's output for each text before any threshold, and the text's language."""
         cut = [words(x) for x in texts]
         if len(self.rows) > REMEMBERED:
             self._reset()
@@ -141,27 +149,28 @@ class Scorer:
             ids.append(np.fromiter(map(get, x), np.int64, len(x)))
             ids.append(np.zeros(pad, np.int64))
             n += len(x) + pad
-        logits = self.model.logits(self.table, np.concatenate(ids), np.array(starts))
-        return self.model.scores(logits, [language(x) for x in cut])
+        return self.model.logits(self.table, np.concatenate(ids), np.array(starts)), [language(x) for x in cut]
 
 
-def _log_odds(quads: list[np.ndarray], labels: np.ndarray, smooth: float = 4.0) -> np.ndarray:
-    """Of each bucket, from the number of toxic and clean texts in which it occurs."""
-    counts = np.zeros((2, BUCKETS + 1))
+def _counts(quads: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """The number of clean and of toxic texts in which each bucket occurs."""
+    counts = np.zeros((2, BUCKETS + 1), np.int64)
     for q, y in zip(quads, labels):
         counts[int(y), np.unique(q)] += 1
-    toxic, clean = max(1, int(labels.sum())), max(1, int((1 - labels).sum()))
-    scale = toxic / clean
+    return counts
+
+
+def _log_odds(counts: np.ndarray, toxic: int, clean: int, smooth: float = 4.0) -> np.ndarray:
+    """Of each bucket, from the number of toxic and clean texts in which it occurs."""
+    scale = max(1, toxic) / max(1, clean)
     odds = np.log((counts[1] + smooth) / (counts[0] * scale + smooth))
     odds[BUCKETS] = 0
     return odds
 
 
-def train(texts: list[str], labels: list[int], seed: int = 11, epochs: int = EPOCHS) -> Model:
-    """Train on whole texts; every fifth example is kept for the calibration of the thresholds.
-
-    Without examples of both kinds the model gives 0.5 less a little for every text.
-    """
+def _start(odds: np.ndarray | None, seed: int = 11) -> tuple[Model, np.random.Generator]:
+    """The model before any training, and the generator that made it; without odds there is nothing to learn from, and the
+    model gives 0.5 less a little for every text."""
     rng = np.random.default_rng(seed)
     embeddings = rng.normal(0, 0.05, (BUCKETS + 1, DIMENSIONS))
     filters = [rng.normal(0, 0.1, (k * DIMENSIONS, FILTERS)) for k in WIDTHS]
@@ -169,11 +178,19 @@ def train(texts: list[str], labels: list[int], seed: int = 11, epochs: int = EPO
         embeddings, filters, [np.zeros(FILTERS) for _ in WIDTHS], rng.normal(0, 0.05, FILTERS * len(WIDTHS)), 0.0
     )
     embeddings[BUCKETS] = 0
-    y = np.array(labels, float)
-    if len(set(labels)) < 2:
+    if odds is None:
         model.output[:] = 0
         model.threshold = 1e-3
-        return model
+        return model, rng
+    embeddings[:, 0] = odds
+    filters[0][:, 0] = 0
+    filters[0][0, 0] = 1
+    model.output[0] = 1
+    return model, rng
+
+
+def _read(texts: list[str]) -> tuple[list[np.ndarray], list[str]]:
+    """The buckets of each text's words, with padding behind, and its language."""
     pad = np.full((max(WIDTHS) - 1, 4), BUCKETS, np.int32)
     quads, languages, known = [], [], {}
     for text in texts:
@@ -181,22 +198,35 @@ def train(texts: list[str], labels: list[int], seed: int = 11, epochs: int = EPO
         for w in found:
             if w not in known:
                 known[w] = len(known)
-        own = np.fromiter(map(known.__getitem__, found), np.int32, len(found))
-        quads.append(own)
+        quads.append(np.fromiter(map(known.__getitem__, found), np.int32, len(found)))
         languages.append(language(found))
     table = np.array([buckets(w) for w in known], np.int32).reshape(-1, 4)
-    known.clear()
-    quads = [np.concatenate([table[own], pad]) for own in quads]
+    return [np.concatenate([table[own], pad]) for own in quads], languages
+
+
+def _weights(y: np.ndarray, toxic: int, clean: int) -> np.ndarray:
+    """Weights by which toxic and clean examples count alike, from their numbers in all shards."""
+    return np.where(y > 0, 0.5 / max(1, toxic), 0.5 / max(1, clean)) * (toxic + clean)
+
+
+def train(texts: list[str], labels: list[int], seed: int = 11, epochs: int = EPOCHS) -> Model:
+    """Train on whole texts in one process; every fifth example is kept for the calibration of the thresholds.
+    ``fit`` does the same with the examples of a table, in shards.
+
+    Without examples of both kinds the model gives 0.5 less a little for every text.
+    """
+    y = np.array(labels, float)
+    if len(set(labels)) < 2:
+        return _start(None, seed)[0]
+    quads, languages = _read(texts)
     kept = np.array([i % 5 == 4 for i in range(len(texts))]) if len(texts) >= 50 else np.zeros(len(texts), bool)
     learn = np.flatnonzero(~kept)
-    embeddings[:, 0] = _log_odds([quads[i] for i in learn], y[learn])
-    filters[0][:, 0] = 0
-    filters[0][0, 0] = 1
-    model.output[0] = 1
-    weight = np.where(y > 0, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(y)
-    _descend(model, quads, y, weight, learn, rng, epochs)
+    toxic = int(y[learn].sum())
+    model, rng = _start(_log_odds(_counts([quads[i] for i in learn], y[learn]), toxic, len(learn) - toxic), seed)
+    _descend(model, quads, y, _weights(y, int(y.sum()), int((1 - y).sum())), learn, rng, epochs)
+    rows = kept if kept.any() else np.ones(len(y), bool)
     found = np.array([_forward(model, [q])[0][0] for q in quads])
-    _calibrate(model, found, y, languages, kept if kept.any() else np.ones(len(y), bool))
+    _calibrate(model, found[rows], y[rows], 1 - y[rows], np.array(languages)[rows])
     return model
 
 
@@ -262,49 +292,147 @@ def _descend(model, quads, y, weight, learn, rng, epochs, size=32, rate=0.05):
             model.filters, model.biases, model.output = new_filters, new_biases, output
 
 
-def _best_threshold(logits: np.ndarray, y: np.ndarray) -> float:
-    """The middle of the widest range of thresholds with the fewest wrong decisions."""
-    order = np.argsort(logits)
-    x, y = logits[order], y[order]
+def _best_threshold(logits: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> float:
+    """The middle of the widest range of thresholds with the fewest wrong decisions, from the numbers of toxic and clean
+    examples at each logit."""
+    order = np.argsort(logits, kind="stable")
+    x, toxic, clean = logits[order], toxic[order], clean[order]
     # A threshold before position i calls i and everything after it toxic.
-    wrong = np.concatenate([[0], np.cumsum(y)]) + np.concatenate([np.cumsum((1 - y)[::-1])[::-1], [0]])
+    wrong = np.concatenate([[0], np.cumsum(toxic)]) + np.concatenate([np.cumsum(clean[::-1])[::-1], [0]])
     edges = np.concatenate([[x[0] - 1], x, [x[-1] + 1]])
     widths = np.where(wrong == wrong.min(), edges[1:] - edges[:-1], -1)
     i = int(np.argmax(widths))
     return float((edges[i] + edges[i + 1]) / 2)
 
 
-def _calibrate(model: Model, logits, y, languages, rows, least: int = 20) -> None:
-    """Thresholds by language where it has enough kept-out examples of both kinds, else one for all."""
-    model.threshold = _best_threshold(logits[rows], y[rows]) if len(set(y[rows])) == 2 else 0.0
-    languages = np.array(languages)
+def _calibrate(model: Model, logits: np.ndarray, toxic: np.ndarray, clean: np.ndarray, languages: np.ndarray, least: int = 20) -> None:
+    """Thresholds by language where it has enough examples of both kinds, else one for all."""
+    model.threshold = _best_threshold(logits, toxic, clean) if toxic.sum() and clean.sum() else 0.0
     for name in sorted(set(languages.tolist())):
-        own = rows & (languages == name)
-        if y[own].sum() >= least and (1 - y[own]).sum() >= least:
-            model.thresholds[name] = _best_threshold(logits[own], y[own])
+        own = languages == name
+        if toxic[own].sum() >= least and clean[own].sum() >= least:
+            model.thresholds[name] = _best_threshold(logits[own], toxic[own], clean[own])
+
+
+def _flat(model: Model) -> np.ndarray:
+    """All parameters as rows of ``_WIDE`` numbers."""
+    arrays = [model.embeddings, *model.filters, *model.biases, model.output, np.array([model.offset])]
+    flat = np.concatenate([a.ravel() for a in arrays])
+    return np.concatenate([flat, np.zeros(-len(flat) % _WIDE)]).reshape(-1, _WIDE)
+
+
+def _put(model: Model, rows: np.ndarray) -> None:
+    """Set all parameters from such rows."""
+    flat, at = rows.ravel(), 0
+
+    def take(like: np.ndarray) -> np.ndarray:
+        nonlocal at
+        at += like.size
+        return flat[at - like.size : at].reshape(like.shape).copy()
+
+    model.embeddings = take(model.embeddings)
+    model.filters = [take(w) for w in model.filters]
+    model.biases = [take(b) for b in model.biases]
+    model.output = take(model.output)
+    model.offset = float(flat[at])
+
+
+def _bucket_counts(learn: DataFrame) -> np.ndarray:
+    """The number of clean and of toxic texts in which each bucket occurs, over all rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, BUCKETS + 1), np.int64)
+        for batch in batches:
+            for part in parts(batch, "text", TOGETHER):
+                counts += _counts(_read(part.column("text").to_pylist())[0], part.column("toxic").to_numpy())
+        met = np.flatnonzero(counts.any(axis=0))
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array(met, pa.int64()), "clean": counts[0, met], "toxic": counts[1, met]})
+
+    sums = learn.select("toxic", "text").mapInArrow(run, "bucket long, clean long, toxic long").groupBy("bucket")
+    # A row for each bucket at most: of fixed size, whatever the number of texts.
+    found = sums.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow()
+    counts = np.zeros((2, BUCKETS + 1))
+    counts[:, found["bucket"].to_numpy()] = found["clean"].to_numpy(), found["toxic"].to_numpy()
+    return counts
+
+
+def _trained(learn: DataFrame, odds: np.ndarray, toxic: int, clean: int, shards: int, epochs: int) -> Model:
+    """The model moved by the mean of what each shard's descent moves, by the shard's share of the rows."""
+    names = [f"v{i}" for i in range(_WIDE)]
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        y = table["toxic"].to_numpy().astype(float)
+        model, rng = _start(odds)
+        before = _flat(model).copy()
+        _descend(model, _read(table["text"].to_pylist())[0], y, _weights(y, toxic, clean), np.arange(len(y)), rng, epochs)
+        moved = np.round((_flat(model) - before) * (len(y) * _UNIT)).astype(np.int64)
+        rows = np.flatnonzero(moved.any(axis=1))
+        columns = {n: pa.array(moved[rows, i]) for i, n in enumerate(names)}
+        return pa.table({"row": pa.array(rows, pa.int64())} | columns)
+
+    shard = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(shards)).alias("shard")
+    dealt = learn.select(shard, "doc_id", "toxic", "text").repartition(shards, "shard").groupBy("shard")
+    moves = dealt.applyInArrow(run, "row long, " + ", ".join(f"{n} long" for n in names))
+    # A row for each row of parameters: of fixed size, whatever the number of shards.
+    found = moves.groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
+    model, _ = _start(odds)
+    rows = _flat(model)
+    rows[found["row"].to_numpy()] += np.stack([found[n].to_numpy() for n in names], axis=1) / ((toxic + clean) * _UNIT)
+    _put(model, rows)
+    return model
+
+
+def _set_thresholds(model: Model, kept: DataFrame) -> None:
+    """Calibrate on all rows of a table, by the number of toxic and clean ones at each logit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            for part in parts(batch, "text", TOGETHER):
+                logits, languages = scorer.logits(part.column("text").to_pylist())
+                bins = np.round(np.clip(logits, -100, 100) * _BINS).astype(np.int64)
+                yield pa.RecordBatch.from_pydict({"language": languages, "bin": bins, "toxic": part.column("toxic")})
 
+    counted = kept.select("toxic", "text").mapInArrow(run, "language string, bin long, toxic int").groupBy("language", "bin")
+    # A row for each bin and language at most.
+    found = counted.agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).toArrow().sort_by([("language", "ascending"), ("bin", "ascending")])
+    toxic = found["toxic"].to_numpy()
+    _calibrate(model, found["bin"].to_numpy() / _BINS, toxic, found["n"].to_numpy() - toxic, np.array(found["language"].to_pylist()))
 
-def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> Model:
-    """Train on a bounded sample of labelled rows: at most so many toxic and clean ones, of whole texts up to
-    ``MAX_CHARS`` characters, the first in the order of a hash of their ids.
 
-    Rows with a null id or label are no examples; of several labels of one id the largest counts.
+def fit(docs: DataFrame, labels: DataFrame, epochs: int = EPOCHS) -> Model:
+    """Train on all labelled rows with their whole texts. A fifth of them, chosen by a hash of their ids, sets the thresholds
+    (of fewer than 50 rows all do, and all are learned from).
+
+    Log-odds are counted over all rows; the descent runs over shards of ``SHARD_BYTES`` of text, each in one task, from the same
+    start, and the model is moved by their mean; thresholds come from counts. The driver gets rows for buckets, parameters and
+    bins, whose number does not grow with the table. Runs jobs when called.
+
+    Rows with a null id, text or label are no examples; of several labels of one id the largest counts.
     """
     marks = pick(labels, "doc_id", "toxic").where("doc_id is not null and toxic is not null")
-    marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    order = F.xxhash64("doc_id")
-    chosen = [
-        marks.where(F.col("toxic") == kind).orderBy(order, "doc_id").limit(most)
-        for kind, most in ((1, max_toxic), (0, max_clean))
-    ]
-    # At most max_toxic + max_clean ids: a bounded side.
-    sample = F.broadcast(chosen[0].unionByName(chosen[1]))
-    texts = pick(docs, "doc_id", "text").where(F.length("text") <= MAX_CHARS)
-    found = texts.join(sample, "doc_id").select("doc_id", "toxic", "text").toArrow().sort_by([("doc_id", "ascending")])
-    names = np.array([zlib.crc32(str(x).encode()) for x in found["doc_id"].to_pylist()], np.int64)
-    at = np.argsort(names, kind="stable")[: max_toxic + max_clean].tolist()
-    text, toxic = found["text"].to_pylist(), found["toxic"].to_pylist()
-    return train([text[i] for i in at], [int(toxic[i]) for i in at])
+    marks = marks.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+    texts = pick(docs, "doc_id", "text").where("doc_id is not null and text is not null")
+    examples = materialize(texts.join(marks, "doc_id").select("doc_id", "toxic", "text"))
+    try:
+        kept = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 4
+        learned = F.when(~kept, 1).otherwise(0)
+        seen = examples.agg(
+            F.count("*").alias("rows"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic"), F.sum(learned).alias("learned"),
+            F.sum(learned * F.col("toxic")).alias("learned_toxic"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes"),
+        ).first()
+        few = seen["rows"] < 50
+        n, toxic = (seen["rows"], seen["toxic"]) if few else (seen["learned"], seen["learned_toxic"])
+        if not 0 < toxic < n:
+            return _start(None)[0]
+        learn, judged = (examples, examples) if few else (examples.where(~kept), examples.where(kept))
+        odds = _log_odds(_bucket_counts(learn), toxic, n - toxic)
+        model = _trained(learn, odds, toxic, n - toxic, 1 + int(seen["bytes"]) // SHARD_BYTES, epochs)
+        _set_thresholds(model, judged)
+        return model
+    finally:
+        discard(examples)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

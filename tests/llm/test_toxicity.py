@@ -86,3 +86,25 @@ def test_nothing_to_learn_from_and_empty_tables(spark):
     none = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     assert {r.predicted for r in toxicity.toxicity_report(docs, none).collect()} == {0}
     assert toxicity.toxicity_report(docs.limit(0), none.limit(0)).collect() == []
+
+
+def test_every_labelled_row_is_learned_from(spark, monkeypatch):
+    """More rows than one task takes, long texts among them; a word that few of the rows hold is learned."""
+    monkeypatch.setattr(toxicity, "SHARD_BYTES", 100_000)
+    r = random.Random(5)
+    rows = labelled(7000, seed=5) + [(7000 + i, "the house " * 9000 + (f"vilewort{i % 3} " * 3 if i % 2 else ""), i % 2) for i in range(40)]
+    rows += [(8000 + i, " ".join(r.choices(WORDS["en"].split(), k=20)) + " zzrare", 1) for i in range(40)]
+    docs = documents(spark, [(i, t) for i, t, _ in rows])
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows], "doc_id long, quality int, toxic int")
+    counted = []
+    monkeypatch.setattr(toxicity, "_log_odds", lambda counts, toxic, clean, real=toxicity._log_odds: counted.append((counts, toxic + clean)) or real(counts, toxic, clean))
+    model = toxicity.fit(docs, labels)
+    counts, n = counted[0]
+    assert n > 0.75 * len(rows)
+    assert counts[:, toxicity.buckets("house")[0]].sum() >= sum("house" in t.split() for _, t, _ in rows) * 0.75
+    assert counts[1, toxicity.buckets("zzrare")[0]] >= 25
+    fresh = labelled(300, seed=6)
+    scores = toxicity.Scorer(model).texts([t for _, t, _ in fresh])
+    assert np.mean([(s >= 0.5) == bool(y) for s, (_, _, y) in zip(scores, fresh)]) > 0.97
+    again = toxicity.fit(docs.repartition(7), labels)
+    assert np.array_equal(model.embeddings, again.embeddings) and model.thresholds == again.thresholds
