@@ -3,6 +3,7 @@
 import io
 from contextlib import redirect_stdout
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,3 +147,20 @@ def test_numbered_rows_are_spread_over_tasks(spark):
     assert len(sizes) > 1 and max(r["count"] for r in sizes) < 15_000
     wrong = limits.row_index(df, "ord").where("row_idx <> ord")
     assert wrong.count() == 0
+
+
+def test_pages_travel_to_python_in_small_batches(spark, tmp_path):
+    """Whatever batches the session had: a worker holds few pages at once."""
+    rows = spark.range(2000).selectExpr("id as page_id", "'u' as url", "concat('<p>', repeat('three words here ', 1000), id) as html")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")}
+    try:
+        for k in held:
+            spark.conf.set(k, "2000000000")
+        pages = registered.registry.base.table(spark, str(tmp_path), "pages")
+        sizes = F.arrow_udf(lambda x: pa.array([sum(len(v) for v in x.to_pylist())] * len(x), pa.int64()), "long")
+        most = pages.select(sizes("html").alias("n")).agg(F.max("n"), F.count("*")).first()
+        assert most[0] < 16 << 20 and most[1] == 2000
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
