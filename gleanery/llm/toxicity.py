@@ -13,8 +13,10 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,9 @@ SHARD_BYTES = 12 << 20
 _UNIT = 1 << 30
 _BINS = 1000
 _WIDE = 16
+#: Labels of so many neighbouring ids (as a power of two) are one row, and packed labels of so many bytes are broadcast.
+_NEAR_BITS = 10
+_BROADCAST = 64 << 20
 BUCKETS = 1 << 16
 WIDTHS = (1, 2, 3)
 FILTERS = 8
@@ -60,9 +65,9 @@ def buckets(word: str) -> tuple[int, int, int, int]:
 def language(found: list[str]) -> str:
     """The language with most function words among the words; "" if there are none."""
     counts = {k: 0 for k in FUNCTION_WORDS}
-    for word in found:
-        for k in _LANGUAGES.get(word, ()):
-            counts[k] += 1
+    for word, n in Counter(filter(_LANGUAGES.__contains__, found)).items():
+        for k in _LANGUAGES[word]:
+            counts[k] += n
     best = max(counts, key=counts.get)
     return best if counts[best] else ""
 
@@ -189,19 +194,13 @@ def _start(odds: np.ndarray | None, seed: int = 11) -> tuple[Model, np.random.Ge
     return model, rng
 
 
-def _read(texts: list[str]) -> tuple[list[np.ndarray], list[str]]:
-    """The buckets of each text's words, with padding behind, and its language."""
+def _read(texts: list[list[str]]) -> list[np.ndarray]:
+    """The buckets of each text's words, with padding behind."""
     pad = np.full((max(WIDTHS) - 1, 4), BUCKETS, np.int32)
-    quads, languages, known = [], [], {}
-    for text in texts:
-        found = words(text)
-        for w in found:
-            if w not in known:
-                known[w] = len(known)
-        quads.append(np.fromiter(map(known.__getitem__, found), np.int32, len(found)))
-        languages.append(language(found))
+    known = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(texts)))}
     table = np.array([buckets(w) for w in known], np.int32).reshape(-1, 4)
-    return [np.concatenate([table[own], pad]) for own in quads], languages
+    own = (np.fromiter(map(known.__getitem__, found), np.int32, len(found)) for found in texts)
+    return [np.concatenate([table[x], pad]) for x in own]
 
 
 def _weights(y: np.ndarray, toxic: int, clean: int) -> np.ndarray:
@@ -218,7 +217,8 @@ def train(texts: list[str], labels: list[int], seed: int = 11, epochs: int = EPO
     y = np.array(labels, float)
     if len(set(labels)) < 2:
         return _start(None, seed)[0]
-    quads, languages = _read(texts)
+    found = [words(x) for x in texts]
+    quads, languages = _read(found), [language(x) for x in found]
     kept = np.array([i % 5 == 4 for i in range(len(texts))]) if len(texts) >= 50 else np.zeros(len(texts), bool)
     learn = np.flatnonzero(~kept)
     toxic = int(y[learn].sum())
@@ -235,10 +235,19 @@ def _forward(model: Model, quads: list[np.ndarray]):
     sizes = np.array([len(q) for q in quads])
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     flat = np.concatenate(quads)
-    vectors = model.embeddings[flat].sum(axis=1)
+    vectors = model.embeddings[flat[:, 0]]
+    for i in range(1, flat.shape[1]):
+        vectors += model.embeddings[flat[:, i]]
+    slices = [w[j * DIMENSIONS : (j + 1) * DIMENSIONS] for k, w in zip(WIDTHS, model.filters) for j in range(k)]
+    responses, column = vectors @ np.concatenate(slices, axis=1), 0
     pooled, places = [], []
-    for k, w, bias in zip(WIDTHS, model.filters, model.biases):
-        total = sum(np.roll(vectors, -j, axis=0) @ w[j * DIMENSIONS : (j + 1) * DIMENSIONS] for j in range(k))
+    for k, bias in zip(WIDTHS, model.biases):
+        total = responses[:, column : column + FILTERS].copy()
+        for j in range(1, k):
+            ahead = responses[:, column + j * FILTERS : column + (j + 1) * FILTERS]
+            total[:-j] += ahead[j:]
+            total[-j:] += ahead[:j]
+        column += k * FILTERS
         at = np.array([s + np.argmax(total[s : s + max(1, n - k + 1)], axis=0) for s, n in zip(starts, sizes)])
         pooled.append(np.maximum(np.take_along_axis(total, at, axis=0) + bias, 0))
         places.append(at)
@@ -344,7 +353,8 @@ def _bucket_counts(learn: DataFrame) -> np.ndarray:
         counts = np.zeros((2, BUCKETS + 1), np.int64)
         for batch in batches:
             for part in parts(batch, "text", TOGETHER):
-                counts += _counts(_read(part.column("text").to_pylist())[0], part.column("toxic").to_numpy())
+                found = [list(set(words(x))) for x in part.column("text").to_pylist()]
+                counts += _counts(_read(found), part.column("toxic").to_numpy())
         met = np.flatnonzero(counts.any(axis=0))
         yield pa.RecordBatch.from_pydict({"bucket": pa.array(met, pa.int64()), "clean": counts[0, met], "toxic": counts[1, met]})
 
@@ -365,7 +375,7 @@ def _trained(learn: DataFrame, odds: np.ndarray, toxic: int, clean: int, shards:
         y = table["toxic"].to_numpy().astype(float)
         model, rng = _start(odds)
         before = _flat(model).copy()
-        _descend(model, _read(table["text"].to_pylist())[0], y, _weights(y, toxic, clean), np.arange(len(y)), rng, epochs)
+        _descend(model, _read([words(x) for x in table["text"].to_pylist()]), y, _weights(y, toxic, clean), np.arange(len(y)), rng, epochs)
         moved = np.round((_flat(model) - before) * (len(y) * _UNIT)).astype(np.int64)
         rows = np.flatnonzero(moved.any(axis=1))
         columns = {n: pa.array(moved[rows, i]) for i, n in enumerate(names)}
@@ -401,6 +411,28 @@ def _set_thresholds(model: Model, kept: DataFrame) -> None:
     _calibrate(model, found["bin"].to_numpy() / _BINS, toxic, found["n"].to_numpy() - toxic, np.array(found["language"].to_pylist()))
 
 
+def _examples(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, toxic, text of the labelled rows, stored.
+
+    Labels of neighbouring ids are packed into one row, a few bytes for each label, so that they can be broadcast to
+    the texts; only where they are too many are the texts shuffled.
+    """
+    marks = pick(labels, "doc_id", "toxic").where("doc_id is not null and toxic is not null")
+    near = F.shiftright("doc_id", _NEAR_BITS).alias("near")
+    place = F.expr(f"cast(doc_id & {(1 << _NEAR_BITS) - 1} as smallint)")
+    marks = marks.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") > 0).cast("tinyint").alias("toxic"))
+    packed = marks.groupBy(near).agg(F.map_from_entries(F.collect_list(F.struct(place.alias("place"), "toxic"))).alias("marks"))
+    packed = materialize(packed)
+    size = packed.agg(F.coalesce(F.sum(F.size("marks") * 3 + 100), F.lit(0))).first()[0]
+    texts = pick(docs, "doc_id", "text").where("doc_id is not null and text is not null")
+    texts = texts.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    met = texts.join(F.broadcast(packed) if size <= _BROADCAST else packed, F.shiftright("doc_id", _NEAR_BITS) == F.col("near"))
+    toxic = F.try_element_at("marks", place).cast("int").alias("toxic")
+    examples = materialize(met.select("doc_id", toxic, "text").where("toxic is not null"))
+    discard(packed)
+    return examples
+
+
 def fit(docs: DataFrame, labels: DataFrame, epochs: int = EPOCHS) -> Model:
     """Train on all labelled rows with their whole texts. A fifth of them, chosen by a hash of their ids, sets the thresholds
     (of fewer than 50 rows all do, and all are learned from).
@@ -411,10 +443,7 @@ def fit(docs: DataFrame, labels: DataFrame, epochs: int = EPOCHS) -> Model:
 
     Rows with a null id, text or label are no examples; of several labels of one id the largest counts.
     """
-    marks = pick(labels, "doc_id", "toxic").where("doc_id is not null and toxic is not null")
-    marks = marks.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    texts = pick(docs, "doc_id", "text").where("doc_id is not null and text is not null")
-    examples = materialize(texts.join(marks, "doc_id").select("doc_id", "toxic", "text"))
+    examples = _examples(docs, labels)
     try:
         kept = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 4
         learned = F.when(~kept, 1).otherwise(0)
