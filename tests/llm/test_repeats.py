@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gleanery.llm import repeats
@@ -106,3 +107,15 @@ def test_empty_table_and_null_id(spark):
     out = {r.doc_id: r for r in repeats.repeats_report(docs, 16).collect()}
     assert out[None].n_removed == 32 and out[1].n_bytes == 0
     assert out[1].kept_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_indexes_stay_small(monkeypatch):
+    """Keys are gathered up to an index's size and never beyond it; only a key that has more makes a larger index."""
+    sizes = []
+    monkeypatch.setattr(repeats, "repeated_starts", lambda texts, copies, length: sizes.append(sum(map(len, texts))) or [()] * len(texts))
+    monkeypatch.setattr(repeats, "INDEX_BYTES", 100_000)
+    keys = [key for key, n in enumerate((3, 3, 3, 12, 1, 3)) for _ in range(n)]
+    columns = [keys, range(len(keys)), range(len(keys)), [1] * len(keys), [bytes(20_000)] * len(keys)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "c1", "c2", "copies", "context"])
+    list(repeats._index_batches(iter([batch.slice(i, 4) for i in range(0, len(keys), 4)]), 240))
+    assert sizes == [60_000, 60_000, 60_000, 240_000, 80_000]
