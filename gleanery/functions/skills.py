@@ -180,18 +180,45 @@ def _skill_tokens(text: Column) -> Column:
     return F.transform(hits, lambda t: F.coalesce(F.try_element_at(spelling, F.lower(t)), t))
 
 
+def _last_words(phrases: list[str]) -> dict[str, str]:
+    """For each phrase of several words its last word, or the shortest of these words that this begins with."""
+    words = {p: p.rsplit(" ", 1)[1] for p in phrases if " " in p}
+    return {p: min((w for w in words.values() if word.startswith(w)), key=len) for p, word in words.items()}
+
+
+def _blank_and_word(words) -> str:
+    """Pattern for a blank and one of some words; few characters are blanks, and one branch for each initial follows."""
+    initials = sorted({w[0] for w in words})
+    return " (?:" + "|".join(re.escape(c) + _any_of(sorted({w[1:] for w in words if w[0] == c})) for c in initials) + ")"
+
+
+_LAST_WORDS = _last_words(fv.SKILL_PHRASES)
+
+
+def _skill_phrases(lowered: Column) -> Column:
+    """The known phrases that a text holds anywhere, in the order of the list.
+
+    One pass looks for the last words of all phrases; only phrases whose last word stands in the text are looked for.
+    """
+    ends = F.regexp_extract_all(lowered, F.lit(_blank_and_word(_LAST_WORDS.values())), F.lit(0))
+
+    def present(ends: Column) -> Column:
+        def has(phrase: str) -> Column:
+            held = F.contains(lowered, F.lit(phrase))
+            return F.array_contains(ends, " " + _LAST_WORDS[phrase]) & held if phrase in _LAST_WORDS else held
+
+        # One test per phrase: faster than a lambda over the phrase list.
+        return F.array_compact(F.array(*[F.when(has(p), F.lit(p)) for p in fv.SKILL_PHRASES]))
+
+    return let(F.array_distinct(ends), present)
+
+
 def local_skills(description: Column | str, section_skills: Column | str, hashtags: bool = True) -> Column:
     """Skills found by rules: the skill section, known phrases, hashtags (optional), known
     words and acronyms; normalized."""
     text = or_empty(description)
 
-    def phrases(lowered: Column) -> Column:
-        # One test per phrase: faster than a lambda over the phrase list.
-        return F.array_compact(
-            F.array(*[F.when(F.contains(lowered, F.lit(p)), F.lit(p)) for p in fv.SKILL_PHRASES])
-        )
-
-    parts = [F.coalesce(as_col(section_skills), no_strings()), let(F.lower(text), phrases)]
+    parts = [F.coalesce(as_col(section_skills), no_strings()), let(F.lower(text), _skill_phrases)]
     if hashtags:
         parts.append(
             F.transform(
@@ -235,18 +262,18 @@ def empty_insight() -> Column:
 def local_insight(description: Column | str, spaced_roles: bool = False) -> Column:
     """Titles, responsibilities, skills and requirements by rules, as one struct."""
 
-    def build(text: Column) -> Column:
-        return let(
-            description_sections(text),
-            lambda s: F.struct(
-                guess_titles(text, spaced_roles).alias("job_titles"),
-                s["responsibilities"].alias("responsibilities"),
-                local_skills(text, s["skills"]).alias("skills"),
-                s["requirements"].alias("requirements"),
-            ),
+    text = or_empty(description)
+
+    def others(sections: Column) -> Column:
+        return F.struct(
+            sections["responsibilities"].alias("responsibilities"),
+            local_skills(text, sections["skills"]).alias("skills"),
+            sections["requirements"].alias("requirements"),
         )
 
-    return let(or_empty(description), build)
+    # Titles stand apart: a query that reads only them computes no sections and skills.
+    titles, rest = guess_titles(text, spaced_roles), let(description_sections(text), others)
+    return F.struct(titles.alias("job_titles"), *[rest[name].alias(name) for name in INSIGHT_FIELDS[1:]])
 
 
 def insight_for_mode(description: Column | str, mode: str | None = "local") -> Column:

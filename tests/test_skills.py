@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from gleanery import fixed_values as fv
 from gleanery.functions import skills
@@ -156,3 +157,23 @@ def test_normalizing_twice_changes_nothing_without_cuttable_parts(each):
     raw = [["Go, Rust/Zig", "Team work; go"], ["a, b", "B"]]
     once = each(skills.normalize_skills, raw, "array<string>")
     assert each(skills.normalize_skills, once, "array<string>") == once
+
+
+def test_known_phrases_by_their_last_words(each):
+    texts = [
+        "big data science, xmachine learnings; Natural Language Processing", "data  science", "learning big\ndata", "", None,
+        "go-to-market strategy go-to-market strategies", " data data data", "RİSK management Risk Management",
+    ]
+    found = each(lambda c: skills._skill_phrases(F.lower(F.coalesce(c, F.lit("")))), texts)
+    assert found == [[p for p in fv.SKILL_PHRASES if p in (t or "").lower()] for t in texts]
+
+
+def test_last_words_that_begin_others_stand_for_them():
+    assert skills._last_words(["big data", "my database", "one"]) == {"big data": "data", "my database": "data"}
+
+
+def test_titles_alone_need_no_skills(spark):
+    rows = spark.createDataFrame([("hiring",)], "descr string").select(skills.insight_for_mode("descr", "local").alias("i"))
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "machine learning" in plan(rows)
+    assert "machine learning" not in plan(rows.select("i.job_titles"))
