@@ -1,5 +1,8 @@
 """Readers on small documents of our own."""
 
+import gc
+
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
@@ -188,3 +191,19 @@ def test_the_size_limit_of_one_column_spares_the_others(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     got = registered.queries()["s8_csv_files"](spark, str(tmp_path)).collect()
     assert {r.doc_id: r.bad_row for r in got} == {"1": False, "123456": False, "123457": True, "123458": True}
+
+
+@pytest.mark.parametrize("reader", [html._posts, lambda page: html._cards(page, "https://b.c")])
+def test_the_collector_rests_while_a_page_is_read(reader):
+    page = "<main>" + "<div class='feed-shared-update-v2'><a target=_blank href=/x><h3>t</h3><p>s</p></a></div>" * 2000 + "</main>"
+    gc.collect()
+    before = sum(g["collections"] for g in gc.get_stats())
+    inside = html.uncollected(lambda p: (reader(p), sum(g["collections"] for g in gc.get_stats()))[1], page)
+    assert inside == before and gc.isenabled()
+
+
+def test_classes_are_read_whole():
+    page = html.parse_html("<p class='ab c'></p><p id='a'></p><p class='&#97; b'></p><p>")
+    assert [n.has_class("a") for n in page.walk()] == [False, False, True, False]
+    assert [n.has_class("c") for n in page.walk()] == [True, False, False, False]
+    assert {tag: len(nodes) for tag, nodes in page.by_tag().items()} == {"p": 4}
