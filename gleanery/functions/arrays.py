@@ -40,6 +40,30 @@ def distinct_exact(values: Column | str) -> Column:
     return F.array_distinct(as_col(values))
 
 
+def counted(values: Column | str) -> Column:
+    """Each distinct item of an array with the number of times it stands there, as structs (item, n), sorted by
+    item; null items count as equal."""
+
+    def lengths(items: Column) -> Column:
+        heads = F.filter(
+            F.transform(items, lambda _, i: i),
+            lambda i: (i == 0) | ~F.get(items, i).eqNullSafe(F.get(items, i - 1)),
+        )
+
+        def length(at: Column) -> Column:
+            return F.transform(
+                at,
+                lambda a, k: F.struct(
+                    F.get(items, a).alias("item"),
+                    (F.coalesce(F.get(at, k + 1), F.size(items)) - a).cast("bigint").alias("n"),
+                ),
+            )
+
+        return let(heads, length)
+
+    return let(F.sort_array(as_col(values)), lengths)
+
+
 def clean_items(values: Column | str) -> Column:
     """Items without soft hyphens and outer blanks; null and empty ones dropped."""
     items = F.filter(F.transform(as_col(values), press_text), lambda x: x.isNotNull() & (x != ""))

@@ -108,11 +108,14 @@ JOB_TEXT_SQL = (
 )
 
 
-def job_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+def with_job_text(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "source", "lang", "text", job_text().alias("descr"))
 
 
+def job_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_job_text(table(spark, sf_dir, "documents"))
+
+
 JOB_DOCS_SQL = f"docs as (select doc_id, source, lang, text, {JOB_TEXT_SQL} as descr from documents)"
 
 UNIX_DESCR = "replace(replace(descr, chr(13) || chr(10), chr(10)), chr(13), chr(10))"

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from gleanery import fixed_values as fv
 from gleanery.functions import skills as s
+from gleanery.functions.arrays import counted
+from gleanery.session import materialize
 
 from .base import (
     JOB_DOCS_SQL,
@@ -22,6 +24,7 @@ from .base import (
     shorten_sql,
     strip_sql,
     table,
+    with_job_text,
 )
 
 
@@ -45,10 +48,23 @@ def x2_description_sections(spark, sf_dir):
     from routed group by all""",
 )
 def l7_section_state(spark, sf_dir):
-    lines = job_docs(spark, sf_dir).select("doc_id", F.explode(s.tagged_lines("descr")).alias("t"))
-    return lines.groupBy(
-        "doc_id", F.col("t.line").alias("line"), F.coalesce("t.code", F.lit("-")).alias("code")
-    ).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    # Lines are counted in their row; only rows that share their doc_id with others meet in an aggregation, whose
+    # memory would else grow with the lines of a whole split. Shared ids are stored: with their size known, a few
+    # or none of them (the usual case) don't make the texts move.
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    rows_of_id = docs.groupBy(F.col("doc_id").alias("id")).agg(F.count(F.lit(1)).alias("n_rows"))
+    shared = materialize(rows_of_id.where("n_rows > 1").select("id"))
+    same = F.col("doc_id").eqNullSafe(F.col("id"))
+
+    def line_counts(rows):
+        counts = with_job_text(rows).select("doc_id", F.explode(counted(s.tagged_lines("descr"))).alias("c"))
+        return counts.select(
+            "doc_id", F.col("c.item.line").alias("line"), F.coalesce("c.item.code", F.lit("-")).alias("code"), "c.n"
+        )
+
+    alone = line_counts(docs.join(shared, same, "left_anti"))
+    together = line_counts(docs.join(shared, same, "left_semi"))
+    return alone.union(together.groupBy("doc_id", "line", "code").agg(F.sum("n").alias("n")))
 
 
 @query(

@@ -177,3 +177,8 @@ def test_string_list(each):
 def test_preview_list(each):
     raw = [["aa", "bb", "cc"], ["a"], [], None]
     assert each(lambda c: arrays.preview_list(c, 2, 5), raw, "array<string>") == ["aa; …", "a", "-", "-"]
+
+
+def test_counted_items(each):
+    got = each(arrays.counted, [["b", "a", "b", None, "b", None], [], None, ["a"]], "array<string>")
+    assert [v and [tuple(e) for e in v] for v in got] == [[(None, 2), ("a", 1), ("b", 3)], [], None, [("a", 1)]]

@@ -1,6 +1,7 @@
 """Plans that must hold at scale, and hot keys."""
 
 import io
+from collections import Counter
 from contextlib import redirect_stdout
 
 import pyarrow as pa
@@ -8,8 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
+from gleanery.functions.skills import tagged_lines
 from gleanery.operators import dedupe, joins, limits, tables
 from gleanery.session import materialize, scratch_dir
+from registry.base import job_docs
 
 SF = "/root/testdata/sf0.001"
 
@@ -164,3 +167,31 @@ def test_pages_travel_to_python_in_small_batches(spark, tmp_path):
     finally:
         for k, v in held.items():
             spark.conf.set(k, v)
+
+
+def job_rows(spark, folder, rows):
+    spark.createDataFrame(rows, "doc_id bigint, source string, lang string, text string").write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def test_section_lines_are_counted_in_their_rows(spark, tmp_path):
+    rows = [(i, "web", "en", f"One {i}, two. Two {i}, one") for i in range(200)]
+    found = registered.queries()["l7_section_state"](spark, job_rows(spark, tmp_path, rows))
+    assert found.count() > 200
+    # The only aggregation by lines is that of rows that share their doc_id.
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    alone, together = text.split("LeftAnti")[0], text.split("LeftAnti")[1].split("LeftSemi")[0]
+    assert "Aggregate" not in alone and "Aggregate" in together
+
+
+def test_section_lines_of_shared_and_missing_ids(spark, tmp_path):
+    text = "Same line. Same line, other\n\nSame line"
+    rows = [(1, "web", "en", text), (1, "web", "en", text), (1, "net", "en", "Same line"), (2, "web", "en", text)]
+    rows += [(None, "web", "en", text), (None, "web", "en", text), (None, "web", None, text), (None, "web", "de", "Same line")]
+    rows += [(3, "web", "en", None), (4, "web", "en", "")]
+    folder = job_rows(spark, tmp_path, rows)
+    found = [tuple(r) for r in registered.queries()["l7_section_state"](spark, folder).collect()]
+    lines = job_docs(spark, folder).select("doc_id", tagged_lines("descr").alias("tagged")).collect()
+    wanted = Counter((d, t.line, t.code or "-") for d, tagged in lines for t in tagged or [])
+    assert len(found) == len(wanted) and {r[:3]: r[3] for r in found} == wanted
+    assert max(n for d, *_, n in found if d is None) > 2
