@@ -119,3 +119,19 @@ def test_indexes_stay_small(monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "c1", "c2", "copies", "context"])
     list(repeats._index_batches(iter([batch.slice(i, 4) for i in range(0, len(keys), 4)]), 240))
     assert sizes == [60_000, 60_000, 60_000, 240_000, 80_000]
+
+
+def test_report_shows_what_remains(spark):
+    """A passage of 60 words goes from both texts, the rest stays; a character of which a string covers a part becomes U+FFFD."""
+    r = random.Random(4)
+    other = lambda n: " ".join("".join(r.choices("abcdefghij", k=8)) for _ in range(n))
+    passage = other(60)
+    around = [(f"{other(20)}{i}", f"{i}{other(20)}") for i in range(2)]
+    rows = [(i, f"{a}{passage}{b}") for i, (a, b) in enumerate(around)] + [(2, other(100)), (3, None)]
+    rows += [(4, "é" + "x" * 399 + "y"), (5, "ĩ" + "x" * 399 + "z")]  # é and ĩ end with the same byte
+    out = {x.doc_id: x for x in repeats.repeats_report(documents(spark, rows)).collect()}
+    for i, (a, b) in enumerate(around):
+        assert out[i].text == f"{a}{b}" and out[i].n_bytes == len(rows[i][1]) and out[i].n_removed == len(passage)
+    assert out[2].text == rows[2][1] and out[3].text == ""
+    assert out[4].text == "�y" and out[4].kept_sha256 == hashlib.sha256(b"\xc3y").hexdigest()
+    assert out[5].text == "�z" and out[5].kept_sha256 == hashlib.sha256(b"\xc4z").hexdigest()
