@@ -16,7 +16,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -51,10 +51,18 @@ FUNCTION_WORDS = {
     "fr": "au aux avec ce dans de des du elle en est et il la le les mais ne pas pour que qui se sur un une",
 }
 _WORD = re.compile(r"\w+")
+#: Of each character of one byte itself if words may hold it, else a space.
+_SPACED = bytes(i if _WORD.match(chr(i)) else 32 for i in range(256))
+#: Bytes of a word up to which hashes are computed for many words at once.
+_LONG = 64
 
 
 def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    lower = text.lower()
+    try:  # faster where all characters have one byte
+        return lower.encode("latin-1").translate(_SPACED).decode("latin-1").split()
+    except UnicodeEncodeError:
+        return _WORD.findall(lower)
 
 
 def buckets(word: str) -> tuple[int, int, int, int]:
@@ -62,6 +70,43 @@ def buckets(word: str) -> tuple[int, int, int, int]:
     return tuple(zlib.crc32(x.encode()) % BUCKETS for x in (word, "<" + word[:4], "<" + word[:5], word[-4:] + ">"))
 
 
+def _crc(register: np.ndarray | np.uint32, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """CRC-32 registers moved on by the bytes from ``begin`` to ``end``, for many ranges at once."""
+    order = np.argsort(begin - end, kind="stable")  # longest first
+    out, at, sizes = np.broadcast_to(register, begin.shape)[order], begin[order], (end - begin)[order]
+    for i, n in enumerate(np.searchsorted(-sizes, -np.arange(sizes[0])).tolist()):
+        out[:n] = _CRC[(out[:n] ^ data[at[:n] + i]) & 255] ^ (out[:n] >> 8)
+    back = np.empty_like(out)
+    back[order] = out
+    return back
+
+
+def _quads(found: list[str]) -> np.ndarray:
+    """The hash buckets of each word, as :func:`buckets` gives them, for many words at once."""
+    if not found:
+        return np.empty((0, 4), np.int32)
+    data = np.frombuffer(("\0".join(found) + "\0").encode(), np.uint8)
+    chars = np.flatnonzero((data & 0xC0) != 0x80)
+    stop = np.flatnonzero(data[chars] == 0)
+    first = np.r_[0, stop[:-1] + 1]
+    begin, end, sizes = chars[first], chars[stop], stop - first
+    four, five, tail = chars[first + np.minimum(sizes, 4)], chars[first + np.minimum(sizes, 5)], chars[stop - np.minimum(sizes, 4)]
+    start = np.uint32(0xFFFFFFFF)
+    long = np.flatnonzero(end - begin > _LONG)
+    whole = _crc(start, data, begin, np.where(end - begin > _LONG, begin, end))
+    whole[long] = [zlib.crc32(found[i].encode()) ^ 0xFFFFFFFF for i in long.tolist()]
+    to_four = _crc(_CRC[(start ^ ord("<")) & 255] ^ (start >> 8), data, begin, four)
+    to_five = _crc(to_four, data, four, five)
+    last = _crc(start, data, tail, end)
+    last = _CRC[(last ^ ord(">")) & 255] ^ (last >> 8)
+    return (~np.stack([whole, to_four, to_five, last], axis=1) % BUCKETS).astype(np.int32)
+
+
+_CRC = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    _CRC = np.where(_CRC & 1, _CRC >> 1 ^ 0xEDB88320, _CRC >> 1).astype(np.uint32)
+
+
 def language(found: list[str]) -> str:
     """The language with most function words among the words; "" if there are none."""
     counts = {k: 0 for k in FUNCTION_WORDS}
@@ -76,6 +121,8 @@ _LANGUAGES: dict[str, list[str]] = {}
 for _k, _words in FUNCTION_WORDS.items():
     for _w in _words.split():
         _LANGUAGES.setdefault(_w, []).append(_k)
+#: Of each function word, after a row for all other words, the languages that have it.
+_HAS = np.array([[0] * len(FUNCTION_WORDS)] + [[int(k in v) for k in FUNCTION_WORDS] for v in _LANGUAGES.values()])
 
 
 def sigmoid(x):
@@ -96,7 +143,7 @@ class Model:
 
     def responses(self, quads: np.ndarray) -> np.ndarray:
         """The part of every filter's response that a word gives at each place of the filter."""
-        vectors = self.embeddings[quads].sum(axis=1)
+        vectors = _vectors(self.embeddings, quads)
         return np.concatenate([vectors @ w.reshape(k, DIMENSIONS, FILTERS)[j] for k, w in zip(WIDTHS, self.filters) for j in range(k)], axis=1)
 
     def logits(self, table: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -104,10 +151,12 @@ class Model:
         pooled, at = [], 0
         ends = np.r_[starts[1:], len(ids)]
         for k, bias in zip(WIDTHS, self.biases):
-            total = None
             for j in range(k):
-                part = table[:, at : at + FILTERS][np.roll(ids, -j) if j else ids]
-                total = part if total is None else total + part
+                part = np.take(np.ascontiguousarray(table[:, at : at + FILTERS]), ids, axis=0)
+                if j:
+                    total[:-j] += part[j:]
+                else:
+                    total = part
                 at += FILTERS
             for back in range(1, k):
                 total[ends - back] = -np.inf  # the filter would reach into the next text
@@ -119,18 +168,33 @@ class Model:
         return sigmoid(logits - np.array([self.thresholds.get(x, self.threshold) for x in languages]))
 
 
+def _vectors(embeddings: np.ndarray, quads: np.ndarray) -> np.ndarray:
+    """The sum of the embeddings of each word's buckets."""
+    out = embeddings[quads[:, 0]]
+    for i in range(1, quads.shape[1]):
+        out += embeddings[quads[:, i]]
+    return out
+
+
+class _Rows(dict):
+    """The row of each word in a table that begins with the padding; a word not met before gets the next one."""
+
+    def __missing__(self, word: str) -> int:
+        row = self[word] = len(self) + 1
+        return row
+
+
 class Scorer:
-    """A model with the responses of the words it has met."""
+    """A model with the responses of the words it has met; function words stand first."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.rows: dict[str, int] = {}
-        self.table = np.zeros((0, 0))
         self._reset()
 
     def _reset(self) -> None:
-        self.rows = {}
-        self.table = self.model.responses(np.full((1, 4), BUCKETS)).astype(np.float32)
+        self.rows = _Rows(zip(_LANGUAGES, range(1, len(_LANGUAGES) + 1)))
+        quads = np.concatenate([np.full((1, 4), BUCKETS, np.int32), _quads(list(_LANGUAGES))])
+        self.table = self.model.responses(quads).astype(np.float32)
 
     def texts(self, texts: list[str]) -> np.ndarray:
         logits, languages = self.logits(texts)
@@ -138,30 +202,37 @@ class Scorer:
 
     def logits(self, texts: list[str]) -> tuple[np.ndarray, list[str]]:
         """The model's output for each text before any threshold, and the text's language."""
-        cut = [words(x) for x in texts]
         if len(self.rows) > REMEMBERED:
             self._reset()
-        new = list(set().union(*cut).difference(self.rows))
-        if new:
-            self.rows.update(zip(new, range(len(self.table), len(self.table) + len(new))))
-            added = self.model.responses(np.array([buckets(w) for w in new]))
-            self.table = np.concatenate([self.table, added.astype(np.float32)])
+        cut, met = [words(x) for x in texts], len(self.rows)
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+        found = np.fromiter(map(self.rows.__getitem__, chain.from_iterable(cut)), np.int32, sizes.sum())
+        if new := list(islice(self.rows, met, None)):
+            self.table = np.concatenate([self.table, self.model.responses(_quads(new)).astype(np.float32)])
         pad = max(WIDTHS) - 1
-        ids, starts, n = [], [], 0
-        get = self.rows.__getitem__
-        for x in cut:
-            starts.append(n)
-            ids.append(np.fromiter(map(get, x), np.int64, len(x)))
-            ids.append(np.zeros(pad, np.int64))
-            n += len(x) + pad
-        return self.model.logits(self.table, np.concatenate(ids), np.array(starts)), [language(x) for x in cut]
+        text = np.repeat(np.arange(len(texts)), sizes)
+        ids = np.zeros(len(found) + pad * len(texts), np.int32)
+        ids[np.arange(len(found)) + pad * text] = found
+        starts = np.cumsum(sizes + pad) - sizes - pad
+        return self.model.logits(self.table, ids, starts), _languages(found, text, len(texts))
+
+
+def _languages(found: np.ndarray, text: np.ndarray, n: int) -> list[str]:
+    """:func:`language` of ``n`` texts, from the rows of their words and the text of each word."""
+    at = np.flatnonzero(found < len(_HAS))
+    met = np.bincount(text[at] * len(_HAS) + found[at], minlength=n * len(_HAS)).reshape(n, -1)
+    counts, names = met @ _HAS, list(FUNCTION_WORDS)
+    return [names[i] if most else "" for i, most in zip(counts.argmax(axis=1).tolist(), counts.max(axis=1).tolist())]
 
 
-def _counts(quads: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+def _counts(quads: np.ndarray, texts: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     """The number of clean and of toxic texts in which each bucket occurs."""
-    counts = np.zeros((2, BUCKETS + 1), np.int64)
-    for q, y in zip(quads, labels):
-        counts[int(y), np.unique(q)] += 1
+    counts, last = np.zeros((2, BUCKETS + 1), np.int64), np.empty(BUCKETS + 1, np.int64)
+    for x, y in zip(texts, labels):
+        found = quads[x].ravel()
+        at = np.arange(len(found))
+        last[found] = at
+        counts[int(y), found[last[found] == at]] += 1
     return counts
 
 
@@ -194,13 +265,11 @@ def _start(odds: np.ndarray | None, seed: int = 11) -> tuple[Model, np.random.Ge
     return model, rng
 
 
-def _read(texts: list[list[str]]) -> list[np.ndarray]:
-    """The buckets of each text's words, with padding behind."""
-    pad = np.full((max(WIDTHS) - 1, 4), BUCKETS, np.int32)
-    known = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(texts)))}
-    table = np.array([buckets(w) for w in known], np.int32).reshape(-1, 4)
-    own = (np.fromiter(map(known.__getitem__, found), np.int32, len(found)) for found in texts)
-    return [np.concatenate([table[x], pad]) for x in own]
+def _read(texts: list[list[str]]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The buckets of each distinct word, after those of the padding, and each text as rows of them, with padding behind."""
+    known, pad = _Rows(), np.zeros(max(WIDTHS) - 1, np.int32)
+    rows = [np.concatenate([np.fromiter(map(known.__getitem__, x), np.int32, len(x)), pad]) for x in texts]
+    return np.concatenate([np.full((1, 4), BUCKETS, np.int32), _quads(list(known))]), rows
 
 
 def _weights(y: np.ndarray, toxic: int, clean: int) -> np.ndarray:
@@ -218,44 +287,49 @@ def train(texts: list[str], labels: list[int], seed: int = 11, epochs: int = EPO
     if len(set(labels)) < 2:
         return _start(None, seed)[0]
     found = [words(x) for x in texts]
-    quads, languages = _read(found), [language(x) for x in found]
+    (quads, rows), languages = _read(found), [language(x) for x in found]
     kept = np.array([i % 5 == 4 for i in range(len(texts))]) if len(texts) >= 50 else np.zeros(len(texts), bool)
     learn = np.flatnonzero(~kept)
     toxic = int(y[learn].sum())
-    model, rng = _start(_log_odds(_counts([quads[i] for i in learn], y[learn]), toxic, len(learn) - toxic), seed)
-    _descend(model, quads, y, _weights(y, int(y.sum()), int((1 - y).sum())), learn, rng, epochs)
-    rows = kept if kept.any() else np.ones(len(y), bool)
-    found = np.array([_forward(model, [q])[0][0] for q in quads])
-    _calibrate(model, found[rows], y[rows], 1 - y[rows], np.array(languages)[rows])
+    model, rng = _start(_log_odds(_counts(quads, [rows[i] for i in learn], y[learn]), toxic, len(learn) - toxic), seed)
+    _descend(model, quads, rows, y, _weights(y, int(y.sum()), int((1 - y).sum())), learn, rng, epochs)
+    judged = kept if kept.any() else np.ones(len(y), bool)
+    logits = np.array([_forward(model, [quads[x]])[0][0] for x in rows])
+    _calibrate(model, logits[judged], y[judged], 1 - y[judged], np.array(languages)[judged])
     return model
 
 
-def _forward(model: Model, quads: list[np.ndarray]):
-    """Logits of some texts, and what the gradients need: word vectors, pooled values and their places."""
-    sizes = np.array([len(q) for q in quads])
+def _forward(model: Model, texts: list[np.ndarray], quads: np.ndarray | None = None):
+    """Logits of some texts, given as the buckets of their words or as rows of ``quads``, and what the gradients need: buckets
+    and vectors of the words, the word at each place, pooled values and their places."""
+    sizes = np.array([len(x) for x in texts])
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    flat = np.concatenate(quads)
-    vectors = model.embeddings[flat[:, 0]]
-    for i in range(1, flat.shape[1]):
-        vectors += model.embeddings[flat[:, i]]
-    slices = [w[j * DIMENSIONS : (j + 1) * DIMENSIONS] for k, w in zip(WIDTHS, model.filters) for j in range(k)]
-    responses, column = vectors @ np.concatenate(slices, axis=1), 0
+    flat = np.concatenate(texts)
+    if quads is None:
+        quads, at = flat, np.arange(len(flat))
+    else:  # each word of these texts once
+        met = np.zeros(len(quads), bool)
+        met[flat] = True
+        met = np.flatnonzero(met)
+        at = np.empty(len(quads), np.int32)
+        at[met] = np.arange(len(met))
+        quads, at = quads[met], at[flat]
+    vectors = _vectors(model.embeddings, quads)
     pooled, places = [], []
-    for k, bias in zip(WIDTHS, model.biases):
-        total = responses[:, column : column + FILTERS].copy()
+    for k, w, bias in zip(WIDTHS, model.filters, model.biases):
+        total = np.take(vectors @ w[:DIMENSIONS], at, axis=0)
         for j in range(1, k):
-            ahead = responses[:, column + j * FILTERS : column + (j + 1) * FILTERS]
+            ahead = np.take(vectors @ w[j * DIMENSIONS : (j + 1) * DIMENSIONS], at, axis=0)
             total[:-j] += ahead[j:]
             total[-j:] += ahead[:j]
-        column += k * FILTERS
-        at = np.array([s + np.argmax(total[s : s + max(1, n - k + 1)], axis=0) for s, n in zip(starts, sizes)])
-        pooled.append(np.maximum(np.take_along_axis(total, at, axis=0) + bias, 0))
-        places.append(at)
+        place = np.array([s + np.argmax(total[s : s + max(1, n - k + 1)], axis=0) for s, n in zip(starts, sizes)])
+        pooled.append(np.maximum(np.take_along_axis(total, place, axis=0) + bias, 0))
+        places.append(place)
     pooled_all = np.concatenate(pooled, axis=1)
-    return pooled_all @ model.output + model.offset, flat, vectors, pooled_all, places
+    return pooled_all @ model.output + model.offset, quads, vectors, at, pooled_all, places
 
 
-def _descend(model, quads, y, weight, learn, rng, epochs, size=32, rate=0.05):
+def _descend(model, quads, texts, y, weight, learn, rng, epochs, size=32, rate=0.05):
     """Adagrad over mini-batches; only the places that won the pooling have gradients."""
     memory = {}
 
@@ -273,7 +347,7 @@ def _descend(model, quads, y, weight, learn, rng, epochs, size=32, rate=0.05):
         order = rng.permutation(learn)
         for at in range(0, len(order), size):
             some = order[at : at + size]
-            logits, flat, vectors, pooled, places = _forward(model, [quads[i] for i in some])
+            logits, met, vectors, word, pooled, places = _forward(model, [texts[i] for i in some], quads)
             error = (sigmoid(logits) - y[some]) * weight[some] / len(some)
             back = error[:, None] * model.output * (pooled > 0)
             word_rows, word_gradients = [], []
@@ -282,7 +356,7 @@ def _descend(model, quads, y, weight, learn, rng, epochs, size=32, rate=0.05):
                 g, p = back[:, n * FILTERS : (n + 1) * FILTERS], places[n]
                 gradient = np.empty_like(w)
                 for j in range(k):
-                    rows = (p + j) % len(vectors)
+                    rows = word[(p + j) % len(word)]
                     part = slice(j * DIMENSIONS, (j + 1) * DIMENSIONS)
                     gradient[part] = np.einsum("bfd,bf->df", vectors[rows], g)
                     word_rows.append(rows.ravel())
@@ -291,11 +365,11 @@ def _descend(model, quads, y, weight, learn, rng, epochs, size=32, rate=0.05):
                 new_biases.append(step(("b", n), model.biases[n], g.sum(axis=0)))
             output = step("o", model.output, pooled.T @ error)
             model.offset = float(step("c", np.array(model.offset), error.sum()))
-            rows = flat[np.concatenate(word_rows)].ravel()
-            gradients = np.repeat(np.concatenate(word_gradients), 4, axis=0)
-            used, where = np.unique(rows, return_inverse=True)
-            summed = np.zeros((len(used), DIMENSIONS))
-            np.add.at(summed, where, gradients)
+            rows = met[np.concatenate(word_rows)].ravel()
+            sort = np.argsort(rows, kind="stable")
+            rows = rows[sort]
+            first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+            used, summed = rows[first], np.add.reduceat(np.concatenate(word_gradients)[sort // met.shape[1]], first, axis=0)
             summed[used == BUCKETS] = 0
             step("e", model.embeddings, summed, used)
             model.filters, model.biases, model.output = new_filters, new_biases, output
@@ -354,7 +428,7 @@ def _bucket_counts(learn: DataFrame) -> np.ndarray:
         for batch in batches:
             for part in parts(batch, "text", TOGETHER):
                 found = [list(set(words(x))) for x in part.column("text").to_pylist()]
-                counts += _counts(_read(found), part.column("toxic").to_numpy())
+                counts += _counts(*_read(found), part.column("toxic").to_numpy())
         met = np.flatnonzero(counts.any(axis=0))
         yield pa.RecordBatch.from_pydict({"bucket": pa.array(met, pa.int64()), "clean": counts[0, met], "toxic": counts[1, met]})
 
@@ -366,6 +440,12 @@ def _bucket_counts(learn: DataFrame) -> np.ndarray:
     return counts
 
 
+def _dealt(learn: DataFrame, shards: int) -> DataFrame:
+    """shard, doc_id, toxic, text: each shard in a partition of its own."""
+    shard = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(shards)).cast("int").alias("shard")
+    return learn.select(shard, "doc_id", "toxic", "text").repartitionById(shards, F.col("shard"))
+
+
 def _trained(learn: DataFrame, odds: np.ndarray, toxic: int, clean: int, shards: int, epochs: int) -> Model:
     """The model moved by the mean of what each shard's descent moves, by the shard's share of the rows."""
     names = [f"v{i}" for i in range(_WIDE)]
@@ -375,15 +455,13 @@ def _trained(learn: DataFrame, odds: np.ndarray, toxic: int, clean: int, shards:
         y = table["toxic"].to_numpy().astype(float)
         model, rng = _start(odds)
         before = _flat(model).copy()
-        _descend(model, _read([words(x) for x in table["text"].to_pylist()]), y, _weights(y, toxic, clean), np.arange(len(y)), rng, epochs)
+        _descend(model, *_read([words(x) for x in table["text"].to_pylist()]), y, _weights(y, toxic, clean), np.arange(len(y)), rng, epochs)
         moved = np.round((_flat(model) - before) * (len(y) * _UNIT)).astype(np.int64)
         rows = np.flatnonzero(moved.any(axis=1))
         columns = {n: pa.array(moved[rows, i]) for i, n in enumerate(names)}
         return pa.table({"row": pa.array(rows, pa.int64())} | columns)
 
-    shard = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(shards)).alias("shard")
-    dealt = learn.select(shard, "doc_id", "toxic", "text").repartition(shards, "shard").groupBy("shard")
-    moves = dealt.applyInArrow(run, "row long, " + ", ".join(f"{n} long" for n in names))
+    moves = _dealt(learn, shards).groupBy("shard").applyInArrow(run, "row long, " + ", ".join(f"{n} long" for n in names))
     # A row for each row of parameters: of fixed size, whatever the number of shards.
     found = moves.groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
     model, _ = _start(odds)

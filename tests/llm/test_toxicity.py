@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gleanery.llm import toxicity
 
@@ -108,3 +109,32 @@ def test_every_labelled_row_is_learned_from(spark, monkeypatch):
     assert np.mean([(s >= 0.5) == bool(y) for s, (_, _, y) in zip(scores, fresh)]) > 0.97
     again = toxicity.fit(docs.repartition(7), labels)
     assert np.array_equal(model.embeddings, again.embeddings) and model.thresholds == again.thresholds
+
+
+def test_many_words_at_once_are_read_as_one_by_one():
+    r = random.Random(7)
+    found = ["".join(r.choices("abcäöß日本語𝒳_0é", k=r.choice([1, 2, 3, 4, 5, 6, 9, 70, 300]))) for _ in range(3000)]
+    assert np.array_equal(toxicity._quads(found), [toxicity.buckets(w) for w in found])
+    assert toxicity._quads([]).shape == (0, 4)
+    some = "".join(map(chr, range(256))) + "ŒΣĿ’\u2028İ"
+    for alphabet in (some, some[:256], some[:128]):
+        for _ in range(300):
+            text = "".join(r.choices(alphabet, k=r.randint(0, 60)))
+            assert toxicity.words(text) == toxicity._WORD.findall(text.lower())
+
+
+def test_words_are_not_hashed_one_by_one(model, monkeypatch):
+    rows = labelled(60, seed=8) + [(60, "", 0), (61, "der in en", 0), (62, "la la la und und und der", 0)]
+    texts = [t for _, t, _ in rows]
+    before = toxicity.Scorer(model).texts(texts)
+    monkeypatch.setattr(toxicity, "buckets", None)
+    scorer = toxicity.Scorer(model)
+    assert np.array_equal(scorer.texts(texts), before)
+    assert scorer.logits(texts)[1] == [toxicity.language(toxicity.words(t)) for t in texts]
+    assert toxicity.train(texts, [y for _, _, y in rows]).thresholds is not None
+
+
+def test_a_task_trains_one_shard(spark):
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit(0).alias("toxic"), F.lit("").alias("text"))
+    dealt = toxicity._dealt(rows, 23).select(F.spark_partition_id().alias("p"), "shard").distinct().collect()
+    assert len(dealt) == len({x.p for x in dealt}) == len({x.shard for x in dealt}) == 23
