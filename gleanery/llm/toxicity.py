@@ -14,9 +14,9 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -204,9 +204,9 @@ class Scorer:
         """The model's output for each text before any threshold, and the text's language."""
         if len(self.rows) > REMEMBERED:
             self._reset()
-        cut, met = [words(x) for x in texts], len(self.rows)
-        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-        found = np.fromiter(map(self.rows.__getitem__, chain.from_iterable(cut)), np.int32, sizes.sum())
+        met = len(self.rows)
+        cut = [np.fromiter(map(self.rows.__getitem__, x), np.int32, len(x)) for x in map(words, texts)]
+        sizes, found = np.array([len(x) for x in cut]), np.concatenate(cut)
         if new := list(islice(self.rows, met, None)):
             self.table = np.concatenate([self.table, self.model.responses(_quads(new)).astype(np.float32)])
         pad = max(WIDTHS) - 1
@@ -265,7 +265,7 @@ def _start(odds: np.ndarray | None, seed: int = 11) -> tuple[Model, np.random.Ge
     return model, rng
 
 
-def _read(texts: list[list[str]]) -> tuple[np.ndarray, list[np.ndarray]]:
+def _read(texts: Iterable[list[str]]) -> tuple[np.ndarray, list[np.ndarray]]:
     """The buckets of each distinct word, after those of the padding, and each text as rows of them, with padding behind."""
     known, pad = _Rows(), np.zeros(max(WIDTHS) - 1, np.int32)
     rows = [np.concatenate([np.fromiter(map(known.__getitem__, x), np.int32, len(x)), pad]) for x in texts]
@@ -455,7 +455,7 @@ def _trained(learn: DataFrame, odds: np.ndarray, toxic: int, clean: int, shards:
         y = table["toxic"].to_numpy().astype(float)
         model, rng = _start(odds)
         before = _flat(model).copy()
-        _descend(model, *_read([words(x) for x in table["text"].to_pylist()]), y, _weights(y, toxic, clean), np.arange(len(y)), rng, epochs)
+        _descend(model, *_read(words(x) for x in table["text"].to_pylist()), y, _weights(y, toxic, clean), np.arange(len(y)), rng, epochs)
         moved = np.round((_flat(model) - before) * (len(y) * _UNIT)).astype(np.int64)
         rows = np.flatnonzero(moved.any(axis=1))
         columns = {n: pa.array(moved[rows, i]) for i, n in enumerate(names)}
